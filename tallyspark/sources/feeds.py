@@ -17,7 +17,7 @@ WHOLE_FILE_BYTES = 256 * 1024 * 1024
 HEADER_BYTES = 64 * 1024
 # Stands for "no text at all": landing turns it back into ''.
 NEVER = "\u0001"
-FILE_PATH = F.col("_metadata.file_path")
+FILE_PATH = "_metadata.file_path"
 
 
 def infer_feed(file_name: str, contracts: dict[str, FeedContract]) -> FeedContract | None:
@@ -31,7 +31,7 @@ def discover(spark: SparkSession, folder: str, contract: FeedContract) -> DataFr
     """(path, name, length) of a feed's files; no file contents are read."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", contract.file_glob).load(folder)
     return files.select(
-        FILE_PATH.alias("path"), F.col("_metadata.file_name").alias("name"), F.col("length").alias("length")
+        F.col(FILE_PATH).alias("path"), F.col("_metadata.file_name").alias("name"), F.col("length").alias("length")
     )
 
 
@@ -67,14 +67,14 @@ def manifest(spark: SparkSession, files: Sequence, whole_bytes: int = WHOLE_FILE
         start = F.decode(F.substring("content", 1, HEADER_BYTES), "UTF-8")
         found.append(
             whole.select(
-                FILE_PATH.alias("path"),
+                F.col(FILE_PATH).alias("path"),
                 content_batch_id(F.col("content")).alias("batch_id"),
                 F.substring_index(start, "\n", 1).alias("header"),
             )
         )
     if large:
         lines = spark.read.text(large).select(
-            "value", FILE_PATH.alias("path"), (F.col("_metadata.file_block_start") == 0).alias("head"),
+            "value", F.col(FILE_PATH).alias("path"), (F.col("_metadata.file_block_start") == 0).alias("head"),
             F.monotonically_increasing_id().alias("at"),
         )
         digests = lines.groupBy("path").agg(
@@ -112,7 +112,7 @@ def read_text_columns(spark: SparkSession, paths: Sequence[str], columns: Sequen
         .csv(list(paths))
     )
     texts = [F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in columns]
-    return raw.select(*texts, FILE_PATH.alias("_path"))
+    return raw.select(*texts, F.col(FILE_PATH).alias("_path"))
 
 
 def stamp(rows: DataFrame, loaded_at: Column, source_file: Column, batch_id: Column, source_system: str) -> DataFrame:

@@ -154,6 +154,33 @@ def raw_pos_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_text(net, CONTRACTS_HERE["pos_orders"])
 
 
+def spoiled_pos_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sales feed with corrupt cells, one kind per product number ending."""
+    ending = F.substring("product_id", -2, 2)
+
+    def where(end: str, column: str, value: Column) -> Column:
+        return F.when(ending == end, value).otherwise(F.col(column))
+
+    day = F.col("order_date").cast("date")
+    return raw_pos_orders(spark, sf_dir).withColumns(
+        {
+            "quantity": F.when(ending == "17", F.lit("abc"))
+            .when(ending == "18", F.concat("quantity", F.lit(".0")))
+            .when(ending == "16", F.concat("quantity", F.lit(".5")))
+            .otherwise(F.col("quantity")),
+            "order_date": F.when(ending == "19", F.lit("31/31/1999"))
+            .when(ending == "20", F.date_format(day, "MM/dd/yyyy"))
+            .when(ending == "26", F.lit("2019-01-01"))
+            .otherwise(F.col("order_date")),
+            "currency": F.when(ending == "21", F.lit("GBP")).when(ending == "27", F.lit("JPY")).otherwise(F.col("currency")),
+            "discount_pct": where("23", "discount_pct", F.lit("1.5")),
+            "unit_price": where("24", "unit_price", F.lit("-1")),
+            "customer_id": where("25", "customer_id", F.lit("12345")),
+            "product_id": where("22", "product_id", F.lit("null")),
+        }
+    )
+
+
 def _extracts_of(df: DataFrame, feed: str) -> DataFrame:
     """One copy of a table per extract date, with its load metadata."""
     dates = F.explode(F.array(*[F.lit(d) for d in EXTRACTS]))
