@@ -95,7 +95,7 @@ def manifest(spark: SparkSession, files: Sequence, whole_bytes: int = WHOLE_FILE
 
 def header_columns(header: str) -> tuple[str, ...]:
     """Column names of a header line."""
-    line = header.lstrip("﻿").rstrip("\r\n")
+    line = header.lstrip("\ufeff").rstrip("\r\n")
     return tuple(name.strip() for name in next(csv.reader([line])))
 
 
