@@ -113,11 +113,12 @@ def count_broken(raw: DataFrame, contract: FeedContract) -> FileCounts:
         *[F.coalesce(F.sum(r.broken.cast("bigint")), F.lit(0)).alias(n) for n, r in named],
     )
 
+    parts = [counts]
+
     def add_duplicates(keys: list[str], column: str, rule: str, nulls: bool) -> None:
-        nonlocal counts
         name = f"r{len(named)}"
         source = df if nulls else df.where(F.col(keys[0]).isNotNull())
-        counts = counts.join(duplicate_count(source, keys, name), FILE, "left")
+        parts.append(duplicate_count(source, keys, name))
         named.append((name, Rule(column, rule, "repeated", F.lit(None))))
 
     for c in present:
@@ -127,6 +128,11 @@ def count_broken(raw: DataFrame, contract: FeedContract) -> FileCounts:
     if contract.unique_key and keys and all(k in raw.columns for k in keys):
         add_duplicates(keys, "+".join(keys), "primary_key_unique", nulls=True)
 
+    if len(parts) > 1:
+        # Every part holds one row per file; laid over each other by file.
+        wide = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        counts = wide.groupBy(FILE).agg(*[F.max(c).alias(c) for c in wide.columns if c != FILE])
+
     missing = sorted(set(contract.names) - set(raw.columns))
     extra = sorted(set(raw.columns) - set(contract.names) - set(META_COLUMNS))
     structural = [Rule(c, "missing_column", "required column absent", F.lit(1)) for c in missing]

@@ -19,6 +19,9 @@ from tallyspark.operators.upsert import upsert
 
 LOG_SCHEMA = "version bigint, parts array<struct<value:string,path:string>>, batches array<string>"
 PART = "part"
+NO_PARTITION = "none"
+# Write tasks per partition, so a month that holds most rows is not one task's work.
+FILES_PER_PARTITION = 64
 
 
 class TableStore:
@@ -90,35 +93,40 @@ class TableStore:
 
         A partition is touched when a new row falls into it or when it holds the old
         row of a replaced key; all others are carried over by path. Finding them
-        reads the key columns only. The number of partitions (months) is small.
+        reads the key columns only. The number of partitions (months) is small, and
+        their values must be plain words, as they name folders.
         """
         version, parts = self._parts(name)
+        value = F.coalesce(partition.cast("string"), F.lit(NO_PARTITION))
         # Written once, so the batch is not recomputed for each use below.
         staged = self._fresh(f"{name}.staging")
-        new.withColumn(PART, partition).write.parquet(staged)
+        new.withColumn(PART, value).write.parquet(staged)
         batch = self.spark.read.parquet(staged)
+        hit = {r[0] for r in batch.select(PART).distinct().collect()}
+        if not hit:
+            return self.read(name) if parts else self.replace(name, batch.drop(PART))
         kept: list[tuple[str | None, str]] = []
         merged = batch
         if parts:
-            hit = {r[0] for r in batch.select(PART).distinct().collect()}
             key = F.to_json(F.struct(*keys))
-            old = self._load([p for _, p in parts]).select(key.alias("_old"), partition.alias(PART), *keys)
+            old = self._load([p for _, p in parts]).select(key.alias("_old"), value.alias(PART), *keys)
             arriving = batch.select(key.alias("_new")).distinct()
             moved = lookup_join(old, arriving, "_old", "_new", list(keys), how="left_semi")
             hit |= {r[0] for r in moved.select(PART).distinct().collect()}
-            kept = [(v, p) for v, p in parts if v not in hit]
-            touched = [p for v, p in parts if v in hit]
+            # Folders written without partitions may hold rows of any of them.
+            mixed = [p for v, p in parts if v is None]
+            if mixed:
+                hit |= {r[0] for r in self._load(mixed).select(value).distinct().collect()}
+            kept = [(v, p) for v, p in parts if v is not None and v not in hit]
+            touched = [p for v, p in parts if v is None or v in hit]
             if touched:
-                before = self._load(touched).withColumn(PART, partition)
-                merged = upsert(before, batch, keys)
+                merged = upsert(self._load(touched).withColumn(PART, value), batch, keys)
         path = self._fresh(name)
-        # Partition folders are named by value; the column itself is derived again
-        # on the next upsert and is not stored.
-        merged.repartition(PART, F.pmod(F.xxhash64(*keys), F.lit(FILES_PER_PARTITION))).write.partitionBy(PART).parquet(path)
-        values = [r[0] for r in self.spark.read.parquet(path).select(F.col(PART).cast("string")).distinct().collect()]
-        parts = kept + [(v, f"{path}/{PART}={v}") for v in values]
-        self._commit(name, version + 1, parts, [])
+        spread = F.pmod(F.xxhash64(*keys), F.lit(FILES_PER_PARTITION))
+        merged.repartition(PART, spread).write.partitionBy(PART).parquet(path)
+        # Every merged row lies in a touched partition; some of those may be empty now.
+        folder = F.regexp_extract("_metadata.file_path", f"/{PART}=([^/]+)/", 1)
+        filled = {r[0] for r in self.spark.read.parquet(path).select(folder).distinct().collect()}
+        written = [(v, f"{path}/{PART}={v}") for v in sorted(hit) if v in filled]
+        self._commit(name, version + 1, kept + written, [])
         return self.read(name)
-
-
-FILES_PER_PARTITION = 64

@@ -59,3 +59,18 @@ def test_readers_keep_their_version(spark, store):
     old = store.replace("gold.t", frame(spark, [("a", "1", 1)]))
     store.replace("gold.t", frame(spark, [("b", "1", 2)]))
     assert rows(old) == [("a", "1", 1)]
+
+
+def test_upsert_of_nothing_and_of_null_partitions(spark, store):
+    none = frame(spark, [("a", "2024-01", 1)]).limit(0)
+    assert store.upsert("gold.f", none, ["id"], F.col("month")).count() == 0
+    out = store.upsert("gold.f", frame(spark, [("a", None, 1), ("b", "2024-01", 2)]), ["id"], F.col("month"))
+    assert rows(out) == [("a", None, 1), ("b", "2024-01", 2)]
+    assert rows(store.upsert("gold.f", none, ["id"], F.col("month"))) == rows(out)
+    assert rows(store.upsert("gold.f", frame(spark, [("a", None, 5)]), ["id"], F.col("month"))) == [("a", None, 5), ("b", "2024-01", 2)]
+
+
+def test_upsert_into_a_replaced_table(spark, store):
+    store.replace("gold.f", frame(spark, [("a", "2024-01", 1), ("b", "2024-02", 2)]))
+    out = store.upsert("gold.f", frame(spark, [("b", "2024-03", 20)]), ["id"], F.col("month"))
+    assert rows(out) == [("a", "2024-01", 1), ("b", "2024-03", 20)]
