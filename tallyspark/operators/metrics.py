@@ -1,8 +1,8 @@
 """Answer a metric request as a DataFrame plan.
 
-Filter values become literals, so a value is never more than a value. The fact is
-aggregated by its own key columns first; dimensions then join those few rows, once
-each, even when used both as slice and as filter.
+Filter values become literals, so a value is never more than a value. Each dimension
+joins once, even when used both as slice and as filter: by broadcast when counted
+small, otherwise after the fact has been aggregated by its own key columns.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.operators.joins import BROADCAST_ROWS, lookup_join
+from tallyspark.operators.joins import BROADCAST_ROWS, rows_within, salted_join
 from tallyspark.plans.metric_registry import DIMENSIONS, FILTERS, METRICS, TIME_GRAINS, Metric
 
 ROW_CAP = 1000
@@ -91,18 +91,27 @@ def metric(
         if dim.table is not None:
             lookups.setdefault((dim.table, dim.key), set()).add(dim.column)
 
-    own = [DIMENSIONS[d].column for d in groups if DIMENSIONS[d].table is None]
-    keys = sorted({*own, *(key for _, key in lookups), *([spec.distinct] if spec.distinct else [])})
-    rows = base.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in spec.sums]) if spec.sums else base.select(*keys).distinct()
-
+    rows, large = base, []
     for (table, key), columns in sorted(lookups.items()):
-        side = tables[table].select(F.col(key).alias("_key"), *sorted(columns))
+        side = tables[table].select(F.col(key).alias(f"_{key}"), *sorted(columns))
         narrowing = [k for k in wanted if FILTERS[k].dimension.table == table]
         for k in narrowing:
             side = side.where(F.col(FILTERS[k].dimension.column).isin(*wanted[k]))
         # A filter on a dimension drops unmatched rows, which an inner join does sooner.
         how = "inner" if narrowing else "left"
-        rows = lookup_join(rows, side, key, "_key", keys, how=how, max_broadcast_rows=max_broadcast_rows).drop("_key")
+        if rows_within(side, max_broadcast_rows):
+            rows = rows.join(F.broadcast(side), F.col(key) == F.col(f"_{key}"), how)
+        else:
+            large.append((key, side, how))
+
+    if large:
+        # Too large to broadcast: shrink the fact to one row per key combination.
+        own = [DIMENSIONS[d].column for d in groups if DIMENSIONS[d].table is None]
+        joined = [c for (_, key), cols in lookups.items() if key not in {k for k, _, _ in large} for c in cols]
+        keys = sorted({*own, *joined, *(key for key, _, _ in large), *([spec.distinct] if spec.distinct else [])})
+        rows = rows.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in spec.sums]) if spec.sums else rows.select(*keys).distinct()
+        for key, side, how in large:
+            rows = salted_join(rows, side, key, f"_{key}", keys, how=how)
 
     out = rows.groupBy(*[F.col(DIMENSIONS[d].column).alias(d) for d in groups]).agg(spec.value().alias(name))
     if groups:

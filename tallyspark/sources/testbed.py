@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tallyspark.functions.calendar import month_start
 from tallyspark.functions.casting import cents
+from tallyspark.operators.joins import lookup_join
 from tallyspark.sources.contracts import CONTRACTS, FeedContract
 
 # Fixed values of the driver's tables.
@@ -73,6 +74,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on a table too small to be scanned in that many tasks; a table
+    with enough splits is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _text_id(prefix: str, key: str, width: int) -> Column:
     return F.concat(F.lit(prefix), F.lpad(F.col(key).cast("string"), width, "0"))
 
@@ -94,28 +102,28 @@ def _as_text(df: DataFrame, contract: FeedContract) -> DataFrame:
 
 
 def customer_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nations = table(spark, sf_dir, "nation").join(
-        table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
-    )
-    return table(spark, sf_dir, "customer").join(
-        nations.select("n_nationkey", "r_name"), F.col("c_nationkey") == F.col("n_nationkey")
-    )
+    regions = table(spark, sf_dir, "region")
+    nations = lookup_join(table(spark, sf_dir, "nation"), regions, "n_regionkey", "r_regionkey", ["n_nationkey"], how="inner")
+    places = nations.select("n_nationkey", "r_name")
+    return lookup_join(table(spark, sf_dir, "customer"), places, "c_nationkey", "n_nationkey", ["c_custkey"], how="inner")
 
 
 def raw_pos_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as a point-of-sale feed: one batch per order year."""
     buyers = customer_regions(spark, sf_dir).select("c_custkey", "r_name")
-    orders = (
-        table(spark, sf_dir, "orders")
-        .select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("order_date"), "o_orderpriority")
-        .join(buyers, F.col("o_custkey") == F.col("c_custkey"))
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("order_date"), "o_orderpriority"
     )
-    lines = (
-        table(spark, sf_dir, "lineitem")
-        .select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_returnflag")
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(table(spark, sf_dir, "part").select("p_partkey", "p_retailprice"), F.col("l_partkey") == F.col("p_partkey"))
+    placed = lookup_join(orders, buyers, "o_custkey", "c_custkey", ["o_orderkey"], how="inner")
+    items = spread(
+        table(spark, sf_dir, "lineitem").select(
+            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_returnflag"
+        )
     )
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
+    item = ["l_orderkey", "l_linenumber", "l_suppkey"]
+    ordered = lookup_join(items, placed, "l_orderkey", "o_orderkey", item, how="inner")
+    lines = lookup_join(ordered, parts, "l_partkey", "p_partkey", item, how="inner")
     year = F.year("order_date")
     returned = (F.col("l_returnflag") == "R") & (F.col("l_suppkey") % 10 == 0)
     dirt = F.col("l_partkey") % 12
