@@ -45,43 +45,45 @@ def gate_nulls(raw: DataFrame, contract: FeedContract) -> DataFrame:
     return raw.withColumns({n: F.when(~F.col(n).isin(*NA_WORDS), F.col(n)) for n in present})
 
 
-def _castable(col: Column, dtype: str) -> Column:
-    number = col.try_cast("double")
-    if dtype == "integer":
-        return number.isNotNull() & (number == F.rint(number))
-    if dtype in ("float", "numeric"):
-        return number.isNotNull()
-    if dtype in ("date", "timestamp"):
-        return parse_timestamp(col).isNotNull()
-    if dtype == "boolean":
-        return col.isin(*TRUE_WORDS, *FALSE_WORDS)
-    return F.lit(True)
-
-
-def _comparable(col: Column, dtype: str) -> Column:
-    return parse_timestamp(col) if dtype in ("date", "timestamp") else col.try_cast("double")
+def _parsed(rule: ColumnRule) -> Column:
+    """A cell in comparable form, NULL when it does not parse."""
+    col = F.col(rule.name)
+    if rule.dtype in ("date", "timestamp"):
+        return parse_timestamp(col)
+    if rule.dtype == "boolean":
+        return F.when(col.isin(*TRUE_WORDS, *FALSE_WORDS), col)
+    return col.try_cast("double")
 
 
 def _bound(value: float | str, dtype: str) -> Column:
     return F.lit(value).cast("timestamp" if dtype in ("date", "timestamp") else "double")
 
 
+def _value(rule: ColumnRule) -> str:
+    return f"_parsed_{rule.name}"
+
+
 def column_rules(rule: ColumnRule) -> list[Rule]:
-    """Row conditions of one column. Range, domain and pattern rules skip nulls."""
+    """Row conditions of one column, over its text and its parsed value. Range,
+    domain and pattern rules skip nulls."""
     col = F.col(rule.name)
-    good = _castable(col, rule.dtype)
+    value = F.col(_value(rule))
+    good = F.lit(True)
     out = []
     if rule.dtype != "string":
+        good = value.isNotNull()
+        if rule.dtype == "integer":
+            good = good & (value == F.rint(value))
         out.append(Rule(rule.name, "dtype", f"not castable to {rule.dtype}", col.isNotNull() & ~good))
     if not rule.nullable:
         out.append(Rule(rule.name, "not_null", "null in a non-nullable column", col.isNull()))
     if rule.allowed is not None:
         out.append(Rule(rule.name, "accepted_values", "outside the accepted values", ~col.isin(*rule.allowed)))
     if rule.min is not None:
-        low = good & (_comparable(col, rule.dtype) < _bound(rule.min, rule.dtype))
+        low = good & (value < _bound(rule.min, rule.dtype))
         out.append(Rule(rule.name, "min", f"below {rule.min}", low))
     if rule.max is not None:
-        high = good & (_comparable(col, rule.dtype) > _bound(rule.max, rule.dtype))
+        high = good & (value > _bound(rule.max, rule.dtype))
         out.append(Rule(rule.name, "max", f"above {rule.max}", high))
     if rule.regex is not None:
         out.append(Rule(rule.name, "regex", f"does not match {rule.regex}", ~col.rlike(f"^(?:{rule.regex})")))
@@ -108,9 +110,11 @@ def count_broken(raw: DataFrame, contract: FeedContract) -> FileCounts:
     present = [c for c in contract.columns if c.name in raw.columns]
     rules = [r for c in present for r in column_rules(c)]
     named = [(f"r{i}", r) for i, r in enumerate(rules)]
-    counts = df.groupBy(FILE).agg(
+    # Parsed once per row here; every rule of the column reads the result.
+    values = df.withColumns({_value(c): _parsed(c) for c in present if c.dtype != "string"})
+    counts = values.groupBy(FILE).agg(
         F.count(F.lit(1)).alias("rows"),
-        *[F.coalesce(F.sum(r.broken.cast("bigint")), F.lit(0)).alias(n) for n, r in named],
+        *[F.count_if(r.broken).alias(n) for n, r in named],
     )
 
     parts = [counts]

@@ -7,23 +7,42 @@ starts clean. One writer per table at a time.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyspark.operators.joins import lookup_join
 from tallyspark.operators.upsert import upsert
 
-LOG_SCHEMA = "version bigint, parts array<struct<value:string,path:string>>, batches array<string>"
+LOG_SCHEMA = "version bigint, schema string, parts array<struct<value:string,path:string>>, batches array<string>"
 PART = "part"
 NO_PARTITION = "none"
 # Write tasks per partition, so a month that holds most rows is not one task's work.
 FILES_PER_PARTITION = 64
 
 
+@dataclass(frozen=True)
+class Version:
+    """What one commit makes live."""
+
+    number: int
+    schema: T.StructType | None
+    parts: list[tuple[str | None, str]]
+
+
+def widened(old: T.StructType | None, new: T.StructType) -> T.StructType:
+    """Old columns, then columns only the new rows have."""
+    fields = list(old.fields) if old is not None else []
+    names = {f.name for f in fields}
+    return T.StructType([*fields, *[f for f in new.fields if f.name not in names]])
+
+
 class TableStore:
     """Tables under one root: ``<root>/<layer>/<table>``."""
 
@@ -42,22 +61,25 @@ class TableStore:
                 return None
             raise
 
-    def _parts(self, name: str) -> tuple[int, list[tuple[str | None, str]]]:
-        """Live version and its folders: one log row."""
+    def _live(self, name: str) -> Version:
+        """Live version, its columns and its folders: one log row."""
         log = self.log(name)
-        last = None if log is None else log.select("version", "parts").orderBy(F.desc("version")).first()
-        return (0, []) if last is None else (last.version, [(p.value, p.path) for p in last.parts])
+        last = None if log is None else log.drop("batches").orderBy(F.desc("version")).first()
+        if last is None:
+            return Version(0, None, [])
+        return Version(last.version, T.StructType.fromJson(json.loads(last.schema)), [(p.value, p.path) for p in last.parts])
 
     def exists(self, name: str) -> bool:
-        return self._parts(name)[0] > 0
+        return self._live(name).number > 0
 
     def read(self, name: str) -> DataFrame | None:
         """The live table, or None before its first commit."""
-        parts = self._parts(name)[1]
-        return self._load([path for _, path in parts]) if parts else None
+        live = self._live(name)
+        return self._load(live.schema, [path for _, path in live.parts]) if live.parts else None
 
-    def _load(self, paths: Sequence[str]) -> DataFrame:
-        return self.spark.read.option("mergeSchema", "true").parquet(*paths)
+    def _load(self, schema: T.StructType, paths: Sequence[str]) -> DataFrame:
+        # The logged schema saves reading every footer; columns a file lacks are NULL.
+        return self.spark.read.schema(schema).parquet(*paths)
 
     def batches(self, name: str) -> DataFrame:
         """Ids of every batch ever committed to a table."""
@@ -66,8 +88,8 @@ class TableStore:
             return self.spark.createDataFrame([], "batch_id string")
         return log.select(F.explode("batches").alias("batch_id")).distinct()
 
-    def _commit(self, name: str, version: int, parts: list[tuple[str | None, str]], batches: Sequence[str]) -> None:
-        row = [(version, [{"value": v, "path": p} for v, p in parts], list(batches))]
+    def _commit(self, name: str, version: Version, batches: Sequence[str] = ()) -> None:
+        row = [(version.number, version.schema.json(), [{"value": v, "path": p} for v, p in version.parts], list(batches))]
         self.spark.createDataFrame(row, LOG_SCHEMA).coalesce(1).write.mode("append").json(f"{self._home(name)}/log")
 
     def _fresh(self, name: str) -> str:
@@ -75,18 +97,18 @@ class TableStore:
 
     def replace(self, name: str, df: DataFrame) -> DataFrame:
         """Publish a new full version; the old one stays readable until then."""
-        version, _ = self._parts(name)
         path = self._fresh(name)
         df.write.parquet(path)
-        self._commit(name, version + 1, [(None, path)], [])
+        self._commit(name, Version(self._live(name).number + 1, df.schema, [(None, path)]))
         return self.read(name)
 
     def append(self, name: str, df: DataFrame, batches: Sequence[str] = ()) -> None:
         """Add rows, recording the batches they came from in the same commit."""
-        version, parts = self._parts(name)
         path = self._fresh(name)
         df.write.parquet(path)
-        self._commit(name, version + 1, [*parts, (None, path)], batches)
+        live = self._live(name)
+        schema = widened(live.schema, df.schema)
+        self._commit(name, Version(live.number + 1, schema, [*live.parts, (None, path)]), batches)
 
     def upsert(self, name: str, new: DataFrame, keys: Sequence[str], partition: Column) -> DataFrame:
         """Keyed upsert that rewrites only the partitions it touches.
@@ -96,7 +118,8 @@ class TableStore:
         reads the key columns only. The number of partitions (months) is small, and
         their values must be plain words, as they name folders.
         """
-        version, parts = self._parts(name)
+        live = self._live(name)
+        parts = live.parts
         value = F.coalesce(partition.cast("string"), F.lit(NO_PARTITION))
         # Written once, so the batch is not recomputed for each use below.
         staged = self._fresh(f"{name}.staging")
@@ -109,24 +132,24 @@ class TableStore:
         merged = batch
         if parts:
             key = F.to_json(F.struct(*keys))
-            old = self._load([p for _, p in parts]).select(key.alias("_old"), value.alias(PART), *keys)
+            old = self._load(live.schema, [p for _, p in parts]).select(key.alias("_old"), value.alias(PART), *keys)
             arriving = batch.select(key.alias("_new")).distinct()
             moved = lookup_join(old, arriving, "_old", "_new", list(keys), how="left_semi")
             hit |= {r[0] for r in moved.select(PART).distinct().collect()}
             # Folders written without partitions may hold rows of any of them.
             mixed = [p for v, p in parts if v is None]
             if mixed:
-                hit |= {r[0] for r in self._load(mixed).select(value).distinct().collect()}
+                hit |= {r[0] for r in self._load(live.schema, mixed).select(value).distinct().collect()}
             kept = [(v, p) for v, p in parts if v is not None and v not in hit]
             touched = [p for v, p in parts if v is None or v in hit]
             if touched:
-                merged = upsert(self._load(touched).withColumn(PART, value), batch, keys)
+                merged = upsert(self._load(live.schema, touched).withColumn(PART, value), batch, keys)
         path = self._fresh(name)
         spread = F.pmod(F.xxhash64(*keys), F.lit(FILES_PER_PARTITION))
         merged.repartition(PART, spread).write.partitionBy(PART).parquet(path)
         # Every merged row lies in a touched partition; some of those may be empty now.
         folder = F.regexp_extract("_metadata.file_path", f"/{PART}=([^/]+)/", 1)
-        filled = {r[0] for r in self.spark.read.parquet(path).select(folder).distinct().collect()}
+        filled = {r[0] for r in self.spark.read.schema(new.schema).parquet(path).select(folder).distinct().collect()}
         written = [(v, f"{path}/{PART}={v}") for v in sorted(hit) if v in filled]
-        self._commit(name, version + 1, kept + written, [])
+        self._commit(name, Version(live.number + 1, widened(live.schema, new.schema), kept + written))
         return self.read(name)

@@ -1,4 +1,5 @@
 from dataclasses import replace
+from functools import reduce
 
 import pytest
 from pyspark.sql import functions as F
@@ -42,26 +43,28 @@ def test_allowed_dirt_passes(spark):
     assert passes(df) and broken(df) == {}
 
 
-@pytest.mark.parametrize(
-    "change, column, rule",
-    [
-        ({"currency": "GBP"}, "currency", "accepted_values"),
-        ({"order_date": "2019-01-01"}, "order_date", "min"),
-        ({"order_date": "2026-01-01"}, "order_date", "max"),
-        ({"customer_id": "12345"}, "customer_id", "regex"),
-        ({"quantity": "abc"}, "quantity", "dtype"),
-        ({"quantity": "3.5"}, "quantity", "dtype"),
-        ({"order_date": "not a day"}, "order_date", "dtype"),
-        ({"product_id": None}, "product_id", "not_null"),
-        ({"product_id": "N/A"}, "product_id", "not_null"),
-        ({"discount_pct": "1.01"}, "discount_pct", "max"),
-        ({"unit_price": "-0.01"}, "unit_price", "min"),
-    ],
-)
-def test_corruption_is_named(spark, change, column, rule):
-    df = landed(spark, GOOD, GOOD | change)
-    assert broken(df) == {(column, rule): 1}
-    assert not passes(df)
+CORRUPT = [
+    ({"currency": "GBP"}, "currency", "accepted_values"),
+    ({"order_date": "2019-01-01"}, "order_date", "min"),
+    ({"order_date": "2026-01-01"}, "order_date", "max"),
+    ({"customer_id": "12345"}, "customer_id", "regex"),
+    ({"quantity": "abc"}, "quantity", "dtype"),
+    ({"quantity": "3.5"}, "quantity", "dtype"),
+    ({"order_date": "not a day"}, "order_date", "dtype"),
+    ({"product_id": None}, "product_id", "not_null"),
+    ({"product_id": "N/A"}, "product_id", "not_null"),
+    ({"discount_pct": "1.01"}, "discount_pct", "max"),
+    ({"unit_price": "-0.01"}, "unit_price", "min"),
+]
+
+
+def test_corruption_is_named_per_file(spark):
+    """One file per kind of corruption, beside a clean one."""
+    files = [landed(spark, GOOD, GOOD | change).withColumn("_source_file", F.lit(str(i))) for i, (change, _, _) in enumerate(CORRUPT)]
+    df = reduce(lambda a, b: a.unionByName(b), [landed(spark, GOOD), *files])
+    found = {(r.file, r.column, r.rule, r.n) for r in gate.violations(df, POS).collect()}
+    assert found == {(str(i), c, r, 1) for i, (_, c, r) in enumerate(CORRUPT)}
+    assert {v.file: v.passed for v in gate.verdicts(df, POS).collect()} == {"f.csv": True} | {str(i): False for i in range(len(CORRUPT))}
 
 
 def test_accepted_forms(spark):

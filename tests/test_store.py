@@ -28,11 +28,11 @@ def test_replace_and_append(spark, store):
 def test_upsert_touches_only_its_partitions(spark, store):
     first = frame(spark, [("a", "2024-01", 1), ("b", "2024-02", 2), ("c", "2024-03", 3)])
     store.upsert("gold.f", first, ["id"], F.col("month"))
-    before = dict(store._parts("gold.f")[1])
+    before = dict(store._live("gold.f").parts)
     second = frame(spark, [("b", "2024-02", 20), ("d", "2024-02", 4)])
     out = store.upsert("gold.f", second, ["id"], F.col("month"))
     assert rows(out) == [("a", "2024-01", 1), ("b", "2024-02", 20), ("c", "2024-03", 3), ("d", "2024-02", 4)]
-    after = dict(store._parts("gold.f")[1])
+    after = dict(store._live("gold.f").parts)
     assert before["2024-01"] == after["2024-01"] and before["2024-03"] == after["2024-03"]
     assert before["2024-02"] != after["2024-02"]
     again = store.upsert("gold.f", second, ["id"], F.col("month"))
@@ -43,7 +43,7 @@ def test_upsert_moves_a_key_between_partitions(spark, store):
     store.upsert("gold.f", frame(spark, [("a", "2024-01", 1), ("b", "2024-01", 2), ("z", "2024-05", 9)]), ["id"], F.col("month"))
     out = store.upsert("gold.f", frame(spark, [("a", "2024-02", 10), ("z", "2024-06", 90)]), ["id"], F.col("month"))
     assert rows(out) == [("a", "2024-02", 10), ("b", "2024-01", 2), ("z", "2024-06", 90)]
-    assert "2024-05" not in dict(store._parts("gold.f")[1])
+    assert "2024-05" not in dict(store._live("gold.f").parts)
 
 
 def test_upsert_appends_new_columns(spark, store):
