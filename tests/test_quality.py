@@ -5,16 +5,16 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from tallyspark.operators import quality
 from tallyspark.plans import checks
 from tallyspark.plans.build import GOLD, MARTS
-from tallyspark.plans.workbench import Workbench
 from tests.conftest import SMALL, rows
 
 
 @pytest.fixture(scope="module")
 def w(spark):
-    return Workbench(spark, SMALL)
+    return entry.workbench(spark, SMALL)
 
 
 def test_declared_counts():
