@@ -89,9 +89,13 @@ def lookup_join(
     how: str = "left",
     condition: Column | None = None,
     max_broadcast_rows: int = BROADCAST_ROWS,
+    bound: DataFrame | None = None,
 ) -> DataFrame:
-    """Join a table to a lookup of unknown size. Column names must not overlap."""
-    if rows_within(right, max_broadcast_rows):
+    """Join a table to a lookup of unknown size. Column names must not overlap.
+
+    ``bound`` is a table known to hold at least as many rows as ``right`` (the stored
+    table a plan filters or looks up into); counting it is cheaper than the plan."""
+    if rows_within(right if bound is None else bound, max_broadcast_rows):
         match = F.col(left_key) == F.col(right_key)
         if condition is not None:
             match = match & condition

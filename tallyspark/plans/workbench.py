@@ -40,14 +40,20 @@ class Workbench:
         self.store = TableStore(spark, f"{shared_folder(spark)}/warehouse-{uuid.uuid4().hex[:12]}")
         self.contracts = testbed.CONTRACTS_HERE
         self._built: dict[str, DataFrame] = {}
+        self._raw: dict[str, DataFrame] = {}
 
     def source(self, name: str) -> DataFrame:
         return testbed.table(self.spark, self.sf_dir, name)
 
     def raw(self, feed: str) -> DataFrame:
-        if feed == "gl_extract":
-            return testbed.raw_gl_extract(self.table("silver_orders"), self.table("silver_products"))
-        return getattr(testbed, f"raw_{feed}")(self.spark, self.sf_dir)
+        """A raw feed; the plan is kept, so its size checks run once."""
+        if feed not in self._raw:
+            if feed == "gl_extract":
+                plan = testbed.raw_gl_extract(self.table("silver_orders"), self.table("silver_products"))
+            else:
+                plan = getattr(testbed, f"raw_{feed}")(self.spark, self.sf_dir)
+            self._raw[feed] = plan
+        return self._raw[feed]
 
     def bronze(self, feed: str) -> DataFrame:
         return typed(self.raw(feed), self.contracts[feed])

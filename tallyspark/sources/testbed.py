@@ -102,10 +102,10 @@ def _as_text(df: DataFrame, contract: FeedContract) -> DataFrame:
 
 
 def customer_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    regions = table(spark, sf_dir, "region")
-    nations = lookup_join(table(spark, sf_dir, "nation"), regions, "n_regionkey", "r_regionkey", ["n_nationkey"], how="inner")
-    places = nations.select("n_nationkey", "r_name")
-    return lookup_join(table(spark, sf_dir, "customer"), places, "c_nationkey", "n_nationkey", ["c_custkey"], how="inner")
+    regions, nations, customers = (table(spark, sf_dir, t) for t in ("region", "nation", "customer"))
+    placed = lookup_join(nations, regions, "n_regionkey", "r_regionkey", ["n_nationkey"], how="inner")
+    places = placed.select("n_nationkey", "r_name")
+    return lookup_join(customers, places, "c_nationkey", "n_nationkey", ["c_custkey"], how="inner", bound=nations)
 
 
 def raw_pos_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,7 +114,8 @@ def raw_pos_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("order_date"), "o_orderpriority"
     )
-    placed = lookup_join(orders, buyers, "o_custkey", "c_custkey", ["o_orderkey"], how="inner")
+    customers = table(spark, sf_dir, "customer")
+    placed = lookup_join(orders, buyers, "o_custkey", "c_custkey", ["o_orderkey"], how="inner", bound=customers)
     items = spread(
         table(spark, sf_dir, "lineitem").select(
             "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_returnflag"
@@ -122,7 +123,7 @@ def raw_pos_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
     item = ["l_orderkey", "l_linenumber", "l_suppkey"]
-    ordered = lookup_join(items, placed, "l_orderkey", "o_orderkey", item, how="inner")
+    ordered = lookup_join(items, placed, "l_orderkey", "o_orderkey", item, how="inner", bound=orders)
     lines = lookup_join(ordered, parts, "l_partkey", "p_partkey", item, how="inner")
     year = F.year("order_date")
     returned = (F.col("l_returnflag") == "R") & (F.col("l_suppkey") % 10 == 0)
