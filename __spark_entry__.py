@@ -7,6 +7,7 @@ Results leave with plain types: decimals as doubles, dates and times as text.
 from __future__ import annotations
 
 import datetime as dt
+import importlib.util
 import sys
 from collections.abc import Callable
 from dataclasses import replace
@@ -679,9 +680,21 @@ def entry(spark: SparkSession) -> DataFrame:
     return REGISTRY["monthly_revenue_bridge"](spark, "/root/testdata/sf0.001")
 
 
+def _training_data() -> tuple[dict[str, Query], dict[str, str]]:
+    """Queries and statements of the training-data operators; none where that subpackage isn't installed."""
+    if importlib.util.find_spec("tallyspark.llm") is None or importlib.util.find_spec("corpus_pipeline") is None:
+        return {}, {}
+    import corpus_pipeline
+    from tallyspark.llm.oracles import ORACLES as statements
+    from tallyspark.llm.queries import QUERIES
+
+    found = {**QUERIES, "pipeline": corpus_pipeline.run}
+    return found, statements | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
+
+
 def queries() -> dict[str, Query]:
-    return dict(REGISTRY)
+    return REGISTRY | _training_data()[0]
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    return ORACLES | _training_data()[1]

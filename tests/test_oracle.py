@@ -17,13 +17,13 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry.REGISTRY) == set(entry.ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.REGISTRY))
 def test_query_matches_oracle(spark, con, name):
-    df = entry.queries()[name](spark, SMALL)
-    ok, note = compare(spark, con, SMALL, name, lambda *_: df, entry.oracle_sql()[name])
+    df = entry.REGISTRY[name](spark, SMALL)
+    ok, note = compare(spark, con, SMALL, name, lambda *_: df, entry.ORACLES[name])
     assert ok, note
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not [f for f in FORBIDDEN if f in plan]
