@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from functools import cache
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +16,17 @@ from pyspark.sql import functions as F
 RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+#: The folder this package is imported from.
+HOME = str(Path(__file__).resolve().parents[2])
+
+
+def reachable(spark: SparkSession) -> None:
+    """Python workers look for this package where the driver found it, too."""
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if HOME not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([HOME, *filter(None, [known])])
+
+
 @cache
 def _own_folder(application: str) -> str:
     return tempfile.mkdtemp(prefix="llm-")
@@ -43,6 +56,7 @@ def settle(df: DataFrame, label: str) -> DataFrame:
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    reachable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
