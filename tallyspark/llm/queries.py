@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import decontaminate, neardup, packing, tokens
+from tallyspark.llm import decontaminate, neardup, packing, repeats, tokens
 from tallyspark.llm.tables import read
 
 
@@ -29,11 +29,15 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
 
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeats(read(spark, sf_dir, "documents")).drop("spans")
+
+
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read(spark, sf_dir, "documents"), width=2)
 
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_token_counts, op2_decontaminate, op3_packing, op9_near_duplicates)
+    for f in (op1_token_counts, op2_decontaminate, op3_packing, op7_suffix_array_dedup, op9_near_duplicates)
 }
