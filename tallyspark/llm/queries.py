@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import decontaminate, neardup, packing, repeats, tokens
+from tallyspark.llm import decontaminate, neardup, packing, repeats, tokens, toxicity
 from tallyspark.llm.tables import read
 
 
@@ -37,7 +37,11 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read(spark, sf_dir, "documents"), width=2)
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_token_counts, op2_decontaminate, op3_packing, op7_suffix_array_dedup, op9_near_duplicates)
+    for f in (op1_token_counts, op2_decontaminate, op3_packing, op7_suffix_array_dedup, op9_near_duplicates, op10_toxicity)
 }
