@@ -25,5 +25,48 @@ hit AS (
 SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+""",
+    "op5_warc": r"""
+WITH page AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+coded AS (
+  SELECT page_id, html, sha1(html) AS hex FROM page
+), first AS (SELECT html, min(page_id) AS first FROM page GROUP BY html)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 +
+         ((CAST(concat('0x', substr(hex, CAST(5 * (i // 4) + 1 AS BIGINT), 5)) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS BIGINT)) & 31) AS BIGINT), 1)), '')
+         AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM coded JOIN first USING (html)
+""",
+    "op8_url_filters": r"""
+WITH page AS (
+  SELECT page_id, url, DATE '2024-01-01' + CAST(CAST('0x' || substr(md5('fetch' || page_id), 1, 7) AS BIGINT) % 365 AS INTEGER) AS fetched_at,
+         lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)) AS host,
+         list_filter(string_split(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)?', 1), '/'), lambda x: x <> '') AS parts
+  FROM pages
+), pattern AS (
+  SELECT page_id, fetched_at, 'domain' AS kind, array_to_string(string_split(host, '.')[i:], '.') AS value
+  FROM page, LATERAL (SELECT unnest(range(1, len(string_split(host, '.')) + 1)) AS i) WHERE host <> ''
+  UNION
+  SELECT page_id, fetched_at, 'prefix', host || '/' || array_to_string(parts[1:i], '/')
+  FROM page, LATERAL (SELECT unnest(range(1, len(parts) + 1)) AS i) WHERE host <> ''
+), listed AS (
+  SELECT kind, value, CAST('0x' || substr(md5(kind || ':' || value), 1, 7) AS BIGINT) AS draw
+  FROM (SELECT DISTINCT kind, value FROM pattern)
+), dated AS (
+  SELECT kind, value, DATE '2024-01-01' + CAST((draw // 7) % 365 AS INTEGER) AS added, CAST((draw // 131) % 90 + 1 AS INTEGER) AS stay
+  FROM listed WHERE draw % (CASE kind WHEN 'domain' THEN 5 ELSE 17 END) = 0
+), change AS (
+  SELECT kind, value, added AS changed_at, true AS active FROM dated
+  UNION ALL SELECT kind, value, added + stay, false FROM dated
+  UNION ALL SELECT kind, value, added + 2 * stay, true FROM dated
+), found AS (
+  SELECT p.page_id, count(*) AS n_active, min(p.kind || ':' || p.value) AS first_match
+  FROM pattern p ASOF JOIN change c ON p.kind = c.kind AND p.value = c.value AND p.fetched_at >= c.changed_at
+  WHERE c.active GROUP BY p.page_id
+)
+SELECT page_id, CAST(fetched_at AS VARCHAR) AS fetched_at, coalesce(n_active, 0) AS n_active, first_match, n_active IS NOT NULL AS blocked
+FROM page LEFT JOIN found USING (page_id)
 """,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import decontaminate, neardup, packing, repeats, tokens, toxicity
+from tallyspark.llm import archive, decontaminate, neardup, packing, repeats, tokens, toxicity, urls
 from tallyspark.llm.tables import read
 
 
@@ -29,10 +29,20 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive.archived_pages(read(spark, sf_dir, "pages"))
+
+
 def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeats(read(spark, sf_dir, "documents")).drop("spans")
 
 
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages")
+    judged = urls.judge(urls.dated_captures(pages), urls.dated_changes(pages))
+    return judged.withColumnRenamed("capture_id", "page_id").withColumn("fetched_at", F.col("fetched_at").cast("string"))
+
+
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read(spark, sf_dir, "documents"), width=2)
 
@@ -43,5 +53,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_token_counts, op2_decontaminate, op3_packing, op7_suffix_array_dedup, op9_near_duplicates, op10_toxicity)
+    for f in (
+        op1_token_counts,
+        op2_decontaminate,
+        op3_packing,
+        op5_warc,
+        op7_suffix_array_dedup,
+        op8_url_filters,
+        op9_near_duplicates,
+        op10_toxicity,
+    )
 }
