@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.llm.tables import settle
@@ -37,3 +39,30 @@ def connected(links: DataFrame, a: str, b: str) -> DataFrame:
 def _state(edges: DataFrame) -> tuple:
     checksum = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
     return tuple(edges.agg(F.count(F.lit(1)), checksum).first())
+
+
+def grouped(members: DataFrame, confirm: Callable[[DataFrame], DataFrame], alike: Callable[[str, str], Column] | None = None) -> DataFrame:
+    """(node, component) over confirmed links among members that share a key.
+
+    members: key, rep and what `alike` reads. `confirm` keeps the links among pairs (a, b), a < b. First each member is
+    compared with the smallest of its key's group, at a cost linear in the group. Where a group's members are then
+    still in different components, its pairs across components are compared, those for which `alike` can't rule a link
+    out. So every candidate pair is confirmed or joined already, and no group is gathered in one task.
+    """
+    shared = members.groupBy("key").agg(F.min("rep").alias("centre"), F.max("rep").alias("last")).where("centre < last")
+    held = settle(members.join(shared.select("key", "centre"), "key"), "members")
+    stars = held.where("rep > centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
+    stars = settle(stars, "stars")
+    links = settle(confirm(stars), "confirmed")
+    component = connected(links, "a", "b")
+
+    placed = held.drop("centre").join(component, F.col("rep") == F.col("node"), "left").drop("node")
+    placed = placed.withColumn("component", F.coalesce("component", "rep"))
+    split = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("key")
+    open_groups = settle(placed.join(split, "key", "left_semi"), "open")
+    p, q = open_groups.alias("p"), open_groups.alias("q")
+    meets = (F.col("p.key") == F.col("q.key")) & (F.col("p.component") < F.col("q.component"))
+    across = p.join(q, meets & alike("p", "q") if alike else meets)
+    across = across.select(F.least("p.rep", "q.rep").alias("a"), F.greatest("p.rep", "q.rep").alias("b")).distinct()
+    across = settle(across.join(stars, ["a", "b"], "left_anti"), "across")
+    return connected(links.unionByName(confirm(across)), "a", "b")

@@ -21,10 +21,10 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.components import connected
+from tallyspark.llm.components import grouped
 from tallyspark.llm.tables import arrow_rows, settle
 
 BANDS = 40
@@ -193,26 +193,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = PERCENT) ->
     classes = usable.groupBy("hi", "lo").agg(F.min(F.struct("doc_id", "n_shingles", "keys")).alias("first"))
     classes = settle(classes.select("hi", "lo", F.col("first.doc_id").alias("rep"), F.col("first.n_shingles").alias("n"), F.col("first.keys").alias("keys")), "classes")
 
-    banded = classes.select("rep", "n", F.explode("keys").alias("key"))
-    shared = banded.groupBy("key").agg(F.min("rep").alias("centre"), F.max("rep").alias("last")).where("centre < last")
-    members = settle(banded.join(shared.select("key", "centre"), "key"), "members")
-    stars = members.where("rep > centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
-    stars = settle(stars, "stars")
-    links = settle(confirmed(stars, docs, width, percent), "confirmed")
-    component = connected(links, "a", "b")
+    def alike(p: str, q: str) -> Column:
+        x, y = F.col(f"{p}.n"), F.col(f"{q}.n")
+        return (x * 100 >= y * percent) & (y * 100 >= x * percent)
 
-    placed = members.join(component, F.col("rep") == F.col("node"), "left").select(
-        "key", "rep", "n", F.coalesce("component", "rep").alias("component")
+    component = grouped(
+        classes.select("rep", "n", F.explode("keys").alias("key")), lambda pairs: confirmed(pairs, docs, width, percent), alike
     )
-    split = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("key")
-    mixed_buckets = settle(placed.join(split, "key", "left_semi"), "open")
-    p, q = mixed_buckets.alias("p"), mixed_buckets.alias("q")
-    sizes = (F.col("p.n") * 100 >= F.col("q.n") * percent) & (F.col("q.n") * 100 >= F.col("p.n") * percent)
-    across = p.join(q, (F.col("p.key") == F.col("q.key")) & (F.col("p.component") < F.col("q.component")) & sizes)
-    across = across.select(F.least("p.rep", "q.rep").alias("a"), F.greatest("p.rep", "q.rep").alias("b")).distinct()
-    across = settle(across.join(stars, ["a", "b"], "left_anti"), "across")
-    more = confirmed(across, docs, width, percent)
-    component = connected(links.unionByName(more), "a", "b")
 
     named = classes.select("hi", "lo", "rep").join(component, F.col("rep") == F.col("node"), "left")
     named = named.select("hi", "lo", F.coalesce("component", "rep").alias("component"))

@@ -68,5 +68,32 @@ WITH page AS (
 )
 SELECT page_id, CAST(fetched_at AS VARCHAR) AS fetched_at, coalesce(n_active, 0) AS n_active, first_match, n_active IS NOT NULL AS blocked
 FROM page LEFT JOIN found USING (page_id)
+""",
+    "op6_licenses": r"""
+WITH doc AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '') AS words
+  FROM documents
+), template AS (
+  SELECT * FROM (VALUES
+    ('mit', 1, 1, ['released under the mit license']),
+    ('cc-by-nc-4.0', 5, 2, ['licensed under cc by nc', 'under cc by nc 4', 'cc by nc 4 0']),
+    ('apache-2.0', 5, 2, ['licensed under the apache license', 'under the apache license version', 'the apache license version 2',
+      'apache license version 2 0']),
+    ('gpl-3.0', 11, 4, ['this work is licensed under', 'work is licensed under the', 'is licensed under the gnu',
+      'licensed under the gnu general', 'under the gnu general public', 'the gnu general public license',
+      'gnu general public license version', 'general public license version 3']),
+    ('mpl-2.0', 20, 7, ['this source code form is', 'source code form is subject', 'code form is subject to', 'form is subject to the',
+      'is subject to the terms', 'subject to the terms of', 'to the terms of the', 'the terms of the mozilla', 'terms of the mozilla public',
+      'of the mozilla public license', 'the mozilla public license v', 'mozilla public license v 2', 'public license v 2 0'])
+  ) AS t(license, size, stride, shingles)
+), shingled AS (
+  SELECT doc_id, list_transform(range(1, greatest(len(words) - 4, 1) + 1), lambda i: array_to_string(words[i:i + 4], ' ')) AS s
+  FROM doc WHERE len(words) > 0
+), windowed AS (
+  SELECT doc_id, license, shingles, list_distinct(s[k + 1:k + size]) AS own
+  FROM shingled, template, LATERAL (SELECT unnest(range(0, len(s), stride)) AS k) WHERE list_has_any(s, shingles)
+)
+SELECT doc_id, license, max(len(list_intersect(own, shingles)) / len(shingles)) AS containment
+FROM windowed WHERE 100 * len(list_intersect(own, shingles)) >= 80 * len(shingles) GROUP BY ALL
 """,
 }

@@ -38,8 +38,9 @@ STEPS = 600
 STEP_SIZE = 0.1
 #: Pieces up to this share of a sequence are left out of the program: they fill the gaps that rounding leaves.
 SMALL = 1 / 16
-PIECES_PER_SALT = 100_000
-CACHE_WORDS = 300_000
+PIECES_PER_SALT = 20_000
+#: Words a worker process keeps, over all its tasks.
+CACHE_WORDS = 800_000
 CACHE_BYTES = 48
 #: Texts tokenised together.
 TEXTS_AT_ONCE = 400
@@ -117,6 +118,11 @@ class WordIds:
         return out
 
 
+@lru_cache(maxsize=2)
+def word_ids(path: str) -> WordIds:
+    return WordIds(path)
+
+
 def token_pieces(docs: DataFrame, model: str | None = None, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 (and ids, if asked for) of every piece of every whole text.
 
@@ -128,7 +134,7 @@ def token_pieces(docs: DataFrame, model: str | None = None, capacity: int = CAPA
     end = np.asarray([END_ID], ID).tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(path)
+        words = word_ids(path)
         for batch in batches:
             for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
                 part = batch.slice(at, TEXTS_AT_ONCE)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import archive, decontaminate, neardup, packing, repeats, tokens, toxicity, urls
+from tallyspark.llm import archive, decontaminate, fingerprints, licenses, neardup, packing, repeats, tokens, toxicity, urls
 from tallyspark.llm.tables import read
 
 
@@ -29,10 +29,18 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
 
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.document_fingerprints(read(spark, sf_dir, "documents"))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive.archived_pages(read(spark, sf_dir, "pages"))
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.licensed(read(spark, sf_dir, "documents"))
+
+
 def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeats(read(spark, sf_dir, "documents")).drop("spans")
 
@@ -57,7 +65,9 @@ QUERIES = {
         op1_token_counts,
         op2_decontaminate,
         op3_packing,
+        op4_fingerprints,
         op5_warc,
+        op6_licenses,
         op7_suffix_array_dedup,
         op8_url_filters,
         op9_near_duplicates,

@@ -22,7 +22,7 @@ from tallyspark.llm.tables import arrow_rows, texts
 
 MODEL = "piece_bpe_32k.model"
 WORD_MARK = "▁"
-#: Merged words kept in a worker's memory, and the longest word kept.
+#: Merged words that a worker process keeps over its tasks, and the longest word kept.
 CACHE_WORDS = 400_000
 CACHE_CHARS = 48
 
@@ -88,6 +88,11 @@ class WordCounts(dict):
         return total + self[" " * spaces + words[-1]]
 
 
+@lru_cache(maxsize=2)
+def word_counts(path: str, proof: Proof) -> WordCounts:
+    return WordCounts(path, proof)
+
+
 def token_counts(docs: DataFrame, model: str | None = None, limit: int = 4096) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit of every whole text; a null or empty text has no tokens.
 
@@ -98,7 +103,7 @@ def token_counts(docs: DataFrame, model: str | None = None, limit: int = 4096) -
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordCounts(path, proof.value)
+        words = word_counts(path, proof.value)
         of_text = words.of_text if proof.value.cuts_at_spaces else (lambda t: len(words.merge(t)) if t else 0)
         for batch in batches:
             texts = batch.column(1).to_pylist()
