@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyspark.llm.tables import own_prefix
+
 PHRASE_WORDS = 10
 #: Benchmark text broadcast at a time, in bytes (a longer single item goes alone).
 BLOCK_BYTES = 8 << 20
@@ -33,10 +35,6 @@ FOLD = bytes(
 )
 WORD = re.compile(rb"[^ ]+")
 
-SPANS = "_leak_spans"
-ITEMS = "_leak_items"
-WORDS = "_leak_words"
-
 
 def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(FOLD).split()
@@ -226,27 +224,25 @@ def item_blocks(benchmark: DataFrame) -> Iterator[list[tuple[object, str | None]
 
 
 def mark(docs: DataFrame, benchmark: DataFrame, cut: bool) -> DataFrame:
-    """docs with WORDS (word count), SPANS (hit word spans) and ITEMS (hit item ids, as strings, sorted).
+    """docs and three columns after its own: word count, hit word spans, hit item ids (as strings, sorted).
 
     With `cut`, the spans are also cut out of the text. All columns of docs pass through.
     """
-    spark = docs.sparkSession
-    names = docs.columns
-    fields = [f for f in docs.schema.fields if f.name not in (WORDS, SPANS, ITEMS)]
+    spark, names, own = docs.sparkSession, docs.columns, own_prefix(docs)
     schema = T.StructType(
-        fields
+        docs.schema.fields
         + [
-            T.StructField(WORDS, T.LongType()),
-            T.StructField(SPANS, T.ArrayType(T.ArrayType(T.LongType()))),
-            T.StructField(ITEMS, T.ArrayType(T.StringType())),
+            T.StructField(own + "words", T.LongType()),
+            T.StructField(own + "spans", T.ArrayType(T.ArrayType(T.LongType()))),
+            T.StructField(own + "items", T.ArrayType(T.StringType())),
         ]
     )
     empty = F.expr("array()")
     marked = docs.select(
         *names,
-        F.lit(0).cast("bigint").alias(WORDS),
-        empty.cast("array<array<bigint>>").alias(SPANS),
-        empty.cast("array<string>").alias(ITEMS),
+        F.lit(0).cast("bigint").alias(own + "words"),
+        empty.cast("array<array<bigint>>").alias(own + "spans"),
+        empty.cast("array<string>").alias(own + "items"),
     )
     at = names.index("text")
     blocks = list(spark.sparkContext.broadcast(Phrases(b)) for b in item_blocks(benchmark)) or [spark.sparkContext.broadcast(Phrases([]))]
@@ -289,10 +285,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     marked = mark(docs, benchmark, cut=False)
-    hit = F.aggregate(SPANS, F.lit(0).cast("bigint"), lambda n, s: n + s[1])
+    words, spans, items = marked.columns[-3:]
+    hit = F.aggregate(spans, F.lit(0).cast("bigint"), lambda n, s: n + s[1])
     return marked.select(
-        "doc_id", F.col(WORDS).alias("n_words"), hit.alias("n_hit"), F.size(ITEMS).cast("bigint").alias("n_items"),
-        F.col(ITEMS).alias("items"), F.col(SPANS).alias("spans"),
+        "doc_id", F.col(words).alias("n_words"), hit.alias("n_hit"), F.size(items).cast("bigint").alias("n_items"),
+        F.col(items).alias("items"), F.col(spans).alias("spans"),
     )
 
 
@@ -302,6 +299,6 @@ def remove_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     marked = mark(docs.withColumn("text", F.col("text").cast("string")), benchmark, cut=True)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        was_cut = F.size(SPANS) > 0
+        was_cut = F.size(marked.columns[-2]) > 0
         marked = marked.withColumn("n_chars", F.when(was_cut, F.char_length("text")).otherwise(F.col("n_chars")).cast(kind))
     return marked.withColumn("text", F.col("text").cast(text_type)).select(*docs.columns)

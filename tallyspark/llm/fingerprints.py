@@ -76,48 +76,47 @@ def level_of(steps: int) -> int:
     return max(0, (steps // LEAST_SAMPLES).bit_length() - 1)
 
 
-def walked(codes: list[np.ndarray]) -> list[np.ndarray]:
-    """For each text the step at which the walk leaves each character; texts of a group walk side by side."""
-    table = stays()
-    out: list[np.ndarray] = [np.zeros(0, np.int32)] * len(codes)
-    sizes = np.array([len(c) for c in codes], np.int64)
+def groups_of(sizes: np.ndarray) -> Iterator[np.ndarray]:
+    """Numbers of the texts with characters, longest first, in groups that fill a table of GROUP_CHARS."""
     order = np.argsort(-sizes, kind="stable")
+    order = order[sizes[order] > 0]
     at = 0
-    while at < len(order) and sizes[order[at]]:
-        longest = int(sizes[order[at]])
-        group = order[at : at + max(1, GROUP_CHARS // longest)]
-        group = group[sizes[group] > 0]
+    while at < len(order):
+        group = order[at : at + max(1, GROUP_CHARS // int(sizes[order[at]]))]
         at += len(group)
-        chars = np.zeros((longest, len(group)), np.uint8)
-        for column, text in enumerate(group):
-            c = codes[text]
-            chars[: len(c), column] = mixed(c.astype(np.uint64)) >> np.uint64(58)
-        # texts are in order of falling length: the first `live` of them have an i-th character
-        live = np.searchsorted(-sizes[group], -np.arange(longest), "left").tolist()
-        step = np.zeros(len(group), np.int32)
-        left = np.zeros((longest, len(group)), np.int32)
-        base = chars.astype(np.int32) * PERIOD
-        for i, n in enumerate(live):
-            s = step[:n]
-            s += table.take(base[i, :n] + (s & (PERIOD - 1)))
-            left[i, :n] = s
-        for column, text in enumerate(group):
-            out[text] = np.ascontiguousarray(left[: sizes[text], column])
-    return out
+        yield group
+
+
+def walked(codes: list[np.ndarray]) -> np.ndarray:
+    """The step at which the walk leaves each character: a column per text, of falling lengths, walking side by side."""
+    table = stays()
+    sizes = np.array([len(c) for c in codes], np.int64)
+    base = np.zeros((int(sizes[0]), len(codes)), np.int32)
+    for column, c in enumerate(codes):
+        base[: len(c), column] = (mixed(c.astype(np.uint64)) >> np.uint64(58)).astype(np.int32) * PERIOD
+    live = np.searchsorted(-sizes, -np.arange(len(base)), "left").tolist()  # texts that have an i-th character
+    step = np.zeros(len(codes), np.int32)
+    for row, n in zip(base, live, strict=True):
+        s = step[:n]
+        s += table.take(row[:n] + (s & (PERIOD - 1)))
+        row[:n] = s
+    return base
 
 
 def fingerprints(texts: list[str]) -> list[str]:
     """Level, number of samples and sampled bits of each text, in hexadecimal."""
-    codes = [np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32) for t in texts]
-    out = []
-    for code, left in zip(codes, walked(codes), strict=True):
-        steps = int(left[-1]) if len(left) else 0
-        level = level_of(steps)
-        count = steps >> level
-        where = sampled_steps(level)[:count]
-        emitted = code[np.searchsorted(left, where, "right")] if count else code[:0]
-        bits = mixed(emitted.astype(np.uint64) * MIX[2] + where.astype(np.uint64)) & np.uint64(1)
-        out.append(f"{level:02x}{count:04x}" + np.packbits(bits.astype(np.uint8)).tobytes().hex())
+    out = ["000000"] * len(texts)
+    for group in groups_of(np.array([len(t) for t in texts], np.int64)):
+        codes = [np.frombuffer(texts[i].encode("utf-32-le"), np.uint32) for i in group]
+        left = walked(codes)
+        for column, (i, code) in enumerate(zip(group.tolist(), codes, strict=True)):
+            own = np.ascontiguousarray(left[: len(code), column])
+            level = level_of(int(own[-1]))
+            count = int(own[-1]) >> level
+            where = sampled_steps(level)[:count]
+            emitted = code[np.searchsorted(own, where, "right")]
+            bits = mixed(emitted.astype(np.uint64) * MIX[2] + where.astype(np.uint64)) & np.uint64(1)
+            out[i] = f"{level:02x}{count:04x}" + np.packbits(bits.astype(np.uint8)).tobytes().hex()
     return out
 
 
@@ -234,7 +233,7 @@ def document_fingerprints(docs: DataFrame) -> DataFrame:
     """
     order = [F.col("doc_id").desc_nulls_last(), F.col("text").asc()]
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    done = settle(rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(along, DDL), "fingerprints")
+    done = settle(rows.repartitionByRange(order[0]).sortWithinPartitions(*order).mapInArrow(along, DDL), "fingerprints")
 
     heads = done.where("kind = 'head'").select("part", F.col("text").alias("next_text"), F.col("fingerprint").alias("next_fingerprint"))
     parts = heads.select("part")  # a number per partition

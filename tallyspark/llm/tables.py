@@ -67,3 +67,11 @@ def texts(docs: DataFrame) -> DataFrame:
 
 def arrow_rows(schema: pa.Schema, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
+
+
+def own_prefix(docs: DataFrame) -> str:
+    """A prefix for helper columns that none of a table's column names begins with."""
+    prefix = "_"
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix += "_"
+    return prefix

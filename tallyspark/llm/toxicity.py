@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.llm.decontaminate import words_of
-from tallyspark.llm.tables import arrow_rows
+from tallyspark.llm.tables import arrow_rows, own_prefix
 
 #: Labelled rows the model is fitted on at most: those with the smallest hash of doc_id.
 SAMPLE_ROWS = 12_000
@@ -107,7 +107,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray) -> Machine:
     labels = labels.astype(float)
     kept = telling_slots(rows, labels)
     size = int(kept.max(initial=-1)) + 1
-    rate = (labels.sum() + 0.5) / (len(labels) + 1.0)
+    rate = (labels.sum() + 0.5) / (len(labels) + 2.0)
     draw = np.random.default_rng(SEED)
     m = Machine(kept, float(np.log(rate / (1 - rate))), np.zeros(size), draw.normal(0, 0.01, (size, FACTORS)))
     rows = [np.sort(kept[r][kept[r] >= 0]) for r in rows]
@@ -199,7 +199,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """docs without those that the model rejects."""
-    score = "_toxic_score"
+    score = own_prefix(docs) + "score"
     text_type = docs.schema["text"].dataType
     kept = scored(docs, train(docs, labels), score).where(F.col(score) < 0.5)
     return kept.withColumn("text", F.col("text").cast(text_type)).select(*docs.columns)
