@@ -1,4 +1,7 @@
-"""The corpus pipeline: documents through the training-data operators, each stage written and read again."""
+"""The corpus pipeline: documents through the training-data operators, each stage written and read again.
+
+Each stage takes all rows that the one before kept, and all of their columns; n_chars follows where a text changes.
+"""
 
 from __future__ import annotations
 
@@ -7,28 +10,52 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyspark.llm.decontaminate import remove_leaks
+from tallyspark.llm.neardup import drop_near_duplicates
 from tallyspark.llm.packing import pack
-from tallyspark.llm.tables import read, settle
+from tallyspark.llm.repeats import remove_repeats
+from tallyspark.llm.tables import reachable, read, settle
+from tallyspark.llm.toxicity import drop_toxic
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the model, learnt from the labels, scores 0.5 or more go."""
+    return drop_toxic(docs, read(spark, sf_dir, "labels"))
+
+
+def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents joined by links of a similarity of 0.8 on five-word shingles, the smallest doc_id stays."""
+    reachable(spark)
+    return drop_near_duplicates(docs)
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 50 bytes that a document with a smaller doc_id has are cut out; every document stays."""
+    reachable(spark)
+    return remove_repeats(docs)
+
+
+def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark passages are cut out of the texts; every document stays."""
     return remove_leaks(docs, read(spark, sf_dir, "benchmark"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents packed into sequences of 4096 tokens."""
+    """All documents in sequences of 4096 tokens: a row per piece with its place."""
+    reachable(spark)
     return pack(docs)
 
 
 STAGES: list[tuple[str, Stage]] = [
-    ("benchmark_decontamination", decontaminated),
+    ("toxicity", without_toxic),
+    ("minhash_near_dedup", without_near_duplicates),
+    ("suffix_array_dedup", without_repeats),
+    ("benchmark_decontamination", without_leaks),
     ("best_fit_packing", packed),
 ]
 
-#: SQL can express neither a learnt score nor the packing's choice among equal plans; tests compare with brute force.
+#: SQL can express neither a learnt score nor a packing: tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
