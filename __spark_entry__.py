@@ -25,7 +25,7 @@ from tallyspark.functions import calendar as cal  # noqa: E402
 from tallyspark.functions.keys import surrogate_key  # noqa: E402
 from tallyspark.operators import audit, gate, profile, quality, scd  # noqa: E402
 from tallyspark.operators.dedup import earliest, latest  # noqa: E402
-from tallyspark.operators.metrics import metric  # noqa: E402
+from tallyspark.operators.metrics import capped, metric  # noqa: E402
 from tallyspark.operators.upsert import newer_than, read_watermark, upsert  # noqa: E402
 from tallyspark.plans import gold, marts, silver  # noqa: E402
 from tallyspark.plans.build import GOLD, MARTS, publish  # noqa: E402
@@ -478,6 +478,13 @@ for _name, _request in METRIC_REQUESTS.items():
     REGISTRY[_name] = _metric_query(_request)
 
 
+@query
+def metric_truncated(w: Workbench) -> DataFrame:
+    tables = w.tables("fact_sales", "dim_region", "dim_channel", "dim_customer", "dim_product", "dim_date")
+    rows, cut = capped(metric(tables, "net_revenue", ["region"], {}, "fiscal_month"), 40)
+    return rows.withColumn("truncated", F.lit(cut))
+
+
 # Profile
 
 
@@ -489,7 +496,7 @@ def profile_row_counts(w: Workbench) -> DataFrame:
 @query
 def profile_samples(w: Workbench) -> DataFrame:
     dim = w.table("dim_customer").select("customer_sk", "customer_id", "customer_segment", "signup_date", "is_current")
-    return profile.column_profile(dim, ["customer_sk"])
+    return profile.column_profile(dim)
 
 
 @query
@@ -641,6 +648,11 @@ def audit_scan(w: Workbench) -> DataFrame:
     )
 
 
+@query
+def audit_totals(w: Workbench) -> DataFrame:
+    return audit.totals(_calls(w))
+
+
 @query
 def audit_decisions(w: Workbench) -> DataFrame:
     return audit.by_decision(_calls(w))

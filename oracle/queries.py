@@ -328,12 +328,10 @@ SELECTS["publish_counts"] = " UNION ALL ".join(
 _PROFILED = {
     "customer_sk": "string", "customer_id": "string", "customer_segment": "string", "signup_date": "date", "is_current": "boolean",
 }
-CTES["first_customers"] = """
-SELECT *, row_number() OVER (ORDER BY customer_sk) AS rn FROM dim_customer ORDER BY customer_sk LIMIT 25"""
 SELECTS["profile_samples"] = " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, '{kind}' AS data_type, true AS nullable, "
-    f"(SELECT string_agg(v, '|' ORDER BY seen) FROM (SELECT CAST({c} AS VARCHAR) AS v, min(rn) AS seen FROM first_customers "
-    f"WHERE {c} IS NOT NULL GROUP BY 1 ORDER BY seen LIMIT 3) s) AS samples"
+    f"(SELECT string_agg(v, '|' ORDER BY v) FROM (SELECT DISTINCT CAST({c} AS VARCHAR) AS v FROM dim_customer "
+    f"WHERE {c} IS NOT NULL ORDER BY v LIMIT 3) s) AS samples"
     for c, kind in _PROFILED.items()
 )
 SELECTS["preview"] = f"""
@@ -478,16 +476,22 @@ SELECT metric, count(*) AS calls FROM audit_calls WHERE tool = 'query_metric' GR
 SELECTS["audit_slowest"] = """
 SELECT call_time, tool, decision, latency_ms FROM audit_calls ORDER BY latency_ms DESC, call_time, tool, decision LIMIT 5"""
 SELECTS["audit_screen_statements"] = r"""
-SELECT event_id, reason = 'sql ok' AS allowed, reason AS screen_reason FROM (
+SELECT event_id, screen_reason = 'fine' AS allowed, screen_reason FROM (
   SELECT event_id, CASE
-    WHEN regexp_replace(sql, '^\s+|\s+$', '', 'g') = '' THEN 'empty query'
-    WHEN plain = '' THEN 'query is only comments'
-    WHEN len(parts) <> 1 THEN 'only a single statement is allowed (found ' || CAST(len(parts) AS VARCHAR) || ' statements)'
-    WHEN NOT regexp_matches(parts[1], '(?i)^\s*(select|with)\b') THEN 'query must start with SELECT or WITH'
-    WHEN hit <> '' THEN 'blocklisted keyword: ' || upper(hit) ELSE 'sql ok' END AS reason
-  FROM (SELECT *, regexp_extract(parts[1], '(?i)\b(INSERT|UPDATE|DELETE|DROP|ALTER|CREATE|MERGE|COPY|GRANT|REVOKE|ATTACH|DETACH|INSTALL|LOAD|PRAGMA|EXPORT|IMPORT|VACUUM|REINDEX|READ_CSV|READ_CSV_AUTO|READ_PARQUET|READ_JSON|READ_JSON_AUTO|READ_TEXT|READ_BLOB|PARQUET_SCAN|CSV_SCAN|GLOB)\b', 1) AS hit
-        FROM (SELECT *, list_filter(list_transform(string_split(plain, ';'), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> '') AS parts
-              FROM (SELECT *, regexp_replace(regexp_replace(regexp_replace(sql, '/\*(.|\n)*?\*/', ' ', 'g'), '--[^\n]*', ' ', 'g'), '^\s+|\s+$', '', 'g') AS plain
-                    FROM statements) a) b) c) d"""
+    WHEN NOT regexp_matches(sql, '\S') THEN 'blank'
+    WHEN NOT regexp_matches(code, '\S') THEN 'comments'
+    WHEN len(parts) <> 1 THEN 'parts:' || CAST(len(parts) AS VARCHAR)
+    WHEN NOT regexp_matches(parts[1], '(?i)^\s*(with|select)\b') THEN 'opening'
+    WHEN word <> '' THEN 'word:' || upper(word) ELSE 'fine' END AS screen_reason
+  FROM (SELECT *, regexp_extract(parts[1], '(?i)\b(INSERT|UPDATE|DELETE|DROP|ALTER|CREATE|MERGE|COPY|GRANT|REVOKE|ATTACH|DETACH|INSTALL|LOAD|PRAGMA|EXPORT|IMPORT|VACUUM|REINDEX|READ_CSV|READ_CSV_AUTO|READ_PARQUET|READ_JSON|READ_JSON_AUTO|READ_TEXT|READ_BLOB|PARQUET_SCAN|CSV_SCAN|GLOB)\b', 1) AS word
+        FROM (SELECT *, list_filter(string_split(code, ';'), lambda x: regexp_matches(x, '\S')) AS parts
+              FROM (SELECT *, regexp_replace(sql, '/\*(.|\n)*?\*/|--[^\n]*', ' ', 'g') AS code FROM statements) a) b) c) d"""
+SELECTS["audit_totals"] = """
+SELECT unnest(['all', 'allow', 'deny', 'other', 'without_tool']) AS measure,
+       unnest([count(*), count_if(decision = 'allow'), count_if(decision = 'deny'),
+               count_if(decision IS NULL OR decision NOT IN ('allow', 'deny')), count_if(tool IS NULL)]) AS calls FROM audit_calls"""
+SELECTS["metric_truncated"] = f"""
+SELECT *, true AS truncated FROM ({_metric("net_revenue", ["fiscal_year", "fiscal_month", "region"])}) m
+ORDER BY fiscal_year, fiscal_month, region LIMIT 40"""
 
 ORACLES = {name: statement(select) for name, select in SELECTS.items()}

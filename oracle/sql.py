@@ -329,26 +329,26 @@ WHERE event_id % 89 <> 0 AND event_id % 97 <> 0"""
 
 CTES["statements"] = r"""
 SELECT event_id, replace([
-  'SELECT region_sk, sum(net_revenue) FROM gold.fact_sales WHERE order_id = ''@'' GROUP BY 1',
-  'WITH r AS (SELECT net_revenue FROM gold.fact_sales) SELECT * FROM r LIMIT @',
-  'SELECT 1; DROP TABLE gold.fact_sales -- @',
-  'SELECT @ /* */ ; DR/**/OP TABLE gold.fact_sales',
-  '/* hide @ */ DROP TABLE gold.fact_sales',
-  'EXPLAIN SELECT @',
-  'WITH x AS (SELECT @) DELETE FROM gold.fact_sales',
-  'SELECT * FROM gold.fact_sales WHERE @ = (UPDATE gold.fact_sales SET net_revenue = 0)',
-  'ATTACH ''evil@.db'' AS e',
-  'SELECT * FROM read_csv(''/tmp/@.ini'')',
-  'SELECT * FROM read_json_auto(''/tmp/@.json'')',
-  'SELECT * FROM glob(''/@/*'')',
-  '   ' || chr(10) || chr(9) || ' select @',
-  '-- only a comment @',
-  '   ',
-  'SELECT ''drop'' AS word, @ AS n',
-  'SELECT @ AS dropped_lines, created_at FROM gold.fact_gl;',
-  'select a.*, ''--'' AS dashes FROM gold.dim_date a WHERE date_key = @',
-  'SELECT @ -- first' || chr(10) || 'FROM gold.dim_region /* second' || chr(10) || 'line */ WHERE 1 = 1',
-  'INSERT INTO gold.fact_sales VALUES (@)'
+  'SELECT channel_sk, count(*) AS n FROM gold.fact_sales WHERE date_key > @ GROUP BY channel_sk',
+  'WITH big AS (SELECT * FROM gold.fact_gl WHERE amount_usd > @) SELECT account_code, count(*) FROM big GROUP BY 1',
+  'SELECT @ AS a; SELECT 2 AS b',
+  'SELECT @ /* first; */ ; -- second' || chr(10) || ' SELECT 3 AS c;',
+  '/* @ */ TRUNCATE gold.dim_region',
+  'DESCRIBE gold.dim_date -- @',
+  'WITH old AS (SELECT @ AS k) MERGE INTO gold.dim_product USING old ON true',
+  'SELECT max(x) FROM (VALUES (@)) AS t(x) WHERE ''revoke'' <> ''grant''',
+  'VACUUM gold.fact_sales -- @',
+  'SELECT n FROM read_parquet(''part-@.parquet'')',
+  'SELECT line FROM Read_Text(''log-@'')',
+  chr(10) || chr(10) || chr(9) || 'With t AS (SELECT @ AS i) Select i FROM t;',
+  '-- @ was here' || chr(10) || '/* and left */',
+  chr(9) || chr(10) || ' ',
+  'SELECT ''we load at @'' AS note',
+  'SELECT uploaded_@, recreated FROM gold.fact_gl',
+  'SELECT d.*, ''/* @ */'' AS stars FROM gold.dim_date d',
+  'SELECT @ -- one' || chr(10) || 'FROM gold.dim_channel /* two' || chr(10) || 'three */ LIMIT 4',
+  ';;; ;',
+  'CREATE VIEW v@ AS SELECT 1'
 ][event_id % 20 + 1], '@', CAST(event_id AS VARCHAR)) AS sql FROM events"""
 
 

@@ -7,7 +7,7 @@ small, otherwise after the fact has been aggregated by its own key columns.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -16,53 +16,62 @@ from pyspark.sql import functions as F
 from tallyspark.operators.joins import BROADCAST_ROWS, rows_within, salted_join
 from tallyspark.plans.metric_registry import DIMENSIONS, FILTERS, METRICS, TIME_GRAINS, Metric
 
-ROW_CAP = 1000
-TRUE_TEXT = ("true", "1", "yes")
+# Words that mean yes in a boolean filter.
+YES = ("true", "1", "yes")
 
 
 class MetricError(ValueError):
-    """A request the registry does not allow; the message says why."""
+    """A request that the registry doesn't offer; the text lists everything that is wrong with it."""
 
 
-def coerce(value: Any, kind: str) -> Any:
-    """Filter value in the filter's type."""
+#: How a filter's values are read, by the filter's kind.
+READERS: dict[str, Callable[[Any], Any]] = {
+    "int": int,
+    "number": float,
+    "bool": lambda v: v is True or str(v).strip().lower() in YES,
+    "string": str,
+}
+
+
+def listed(value: Any) -> list[Any]:
+    return list(value) if isinstance(value, (list, tuple)) else [value]
+
+
+def readable(value: Any, kind: str) -> bool:
     try:
-        if kind == "int":
-            return int(value)
-        if kind == "number":
-            return float(value)
-    except (TypeError, ValueError) as wrong:
-        raise MetricError(f"{value!r} is not a valid {kind}") from wrong
-    if kind == "bool":
-        return value if isinstance(value, bool) else str(value).strip().lower() in TRUE_TEXT
-    return str(value)
+        READERS[kind](value)
+    except (TypeError, ValueError):
+        return False
+    return True
+
+
+def objections(spec: Metric, grain: str, groups: Sequence[str], filters: Mapping[str, Any]) -> list[str]:
+    """Everything in a request that its metric doesn't offer."""
+    offered = [k for k in filters if k in spec.filters]
+    found = {
+        "no such grain": [grain] if grain not in TIME_GRAINS else [],
+        "no such slice": [d for d in groups if d not in spec.dimensions],
+        "not a slice": [d for d in groups if d in spec.dimensions and not DIMENSIONS[d].groupable],
+        "no such filter": [k for k in filters if k not in spec.filters],
+        "filter without values": [k for k in filters if not listed(filters[k])],
+        "unreadable filter value": [f"{k}={v!r}" for k in offered for v in listed(filters[k]) if not readable(v, FILTERS[k].kind)],
+    }
+    return [f"{rule}: {', '.join(map(str, which))}" for rule, which in found.items() if which]
 
 
 def resolve(
     name: str, dimensions: Sequence[str] | None, filters: Mapping[str, Any] | None, time_grain: str | None
 ) -> tuple[Metric, list[str], dict[str, list[Any]]]:
-    """Check a request and return (metric, group dimensions, filter values)."""
-    metric = METRICS.get(name)
-    if metric is None:
-        raise MetricError(f"unknown metric {name!r}; known: {sorted(METRICS)}")
-    grain = time_grain or metric.grain
-    if grain not in TIME_GRAINS:
-        raise MetricError(f"invalid time_grain {grain!r}; known: {sorted(TIME_GRAINS)}")
-    groups = list(dict.fromkeys([*TIME_GRAINS[grain], *(dimensions or [])]))
-    for dim in groups:
-        if dim not in metric.dimensions:
-            raise MetricError(f"dimension {dim!r} is not allowed for {name!r}; allowed: {list(metric.dimensions)}")
-        if not DIMENSIONS[dim].groupable:
-            raise MetricError(f"dimension {dim!r} cannot be grouped by")
-    wanted = {}
-    for key, value in (filters or {}).items():
-        if key not in metric.filters:
-            raise MetricError(f"filter {key!r} is not allowed for {name!r}; allowed: {list(metric.filters)}")
-        values = list(value) if isinstance(value, (list, tuple)) else [value]
-        if not values:
-            raise MetricError(f"filter {key!r} has an empty value list")
-        wanted[key] = [coerce(v, FILTERS[key].kind) for v in values]
-    return metric, groups, wanted
+    """(metric, group columns, typed filter values) of a request; a grain's columns come first."""
+    if name not in METRICS:
+        raise MetricError(f"no such metric: {name}; there are {', '.join(sorted(METRICS))}")
+    spec, filters = METRICS[name], filters or {}
+    grain = time_grain or spec.grain
+    groups = list(dict.fromkeys((*TIME_GRAINS.get(grain, ()), *(dimensions or ()))))
+    wrong = objections(spec, grain, groups, filters)
+    if wrong:
+        raise MetricError(f"{name}: " + "; ".join(wrong))
+    return spec, groups, {k: [READERS[FILTERS[k].kind](v) for v in listed(filters[k])] for k in filters}
 
 
 def metric(
@@ -71,10 +80,10 @@ def metric(
     dimensions: Sequence[str] | None = None,
     filters: Mapping[str, Any] | None = None,
     time_grain: str | None = None,
-    cap: int | None = ROW_CAP,
+    cap: int | None = None,
     max_broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """One row per group, ordered by the group columns, at most ``cap`` rows."""
+    """One row per group, ordered by the group columns. ``cap`` keeps the first rows only; `capped` tells whether it cut."""
     spec, groups, wanted = resolve(name, dimensions, filters, time_grain)
     base = tables[spec.base]
     if spec.base_filter is not None:
@@ -119,7 +128,8 @@ def metric(
     return out if cap is None else out.limit(cap)
 
 
-def capped(result: DataFrame, cap: int = ROW_CAP) -> tuple[DataFrame, bool]:
-    """Rows up to the cap and whether any were cut: one row past the cap is read,
-    so a result of exactly ``cap`` rows is not called truncated."""
-    return result.limit(cap), result.limit(cap + 1).count() > cap
+def capped(result: DataFrame, cap: int) -> tuple[DataFrame, bool]:
+    """The first ``cap`` rows and whether there are more. The result runs once: it stops one row past the cap, and
+    these few rows pass through the driver."""
+    first = result.limit(cap + 1).collect()
+    return result.sparkSession.createDataFrame(first[:cap], result.schema), len(first) > cap

@@ -5,11 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 PREVIEW_MAX = 50
-SAMPLE_ROWS = 25
 SAMPLES_PER_COLUMN = 3
 
 TABLE_DESCRIPTIONS = {
@@ -37,29 +36,35 @@ def table_listing(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counted)
 
 
-def column_profile(df: DataFrame, order: Sequence[str]) -> DataFrame:
-    """(column_name, data_type, nullable, samples): up to three values per column,
-    first seen first, among the first 25 rows by ``order``."""
-    first = df.orderBy(*order).limit(SAMPLE_ROWS).select(F.array(
-        *[F.struct(F.lit(i).alias("i"), F.col(f"`{c}`").cast("string").alias("value")) for i, c in enumerate(df.columns)]
-    ).alias("cells"), F.struct(*order).alias("at"))
-    # At most SAMPLE_ROWS rows are gathered here, whatever the table holds.
-    rows = first.agg(F.sort_array(F.collect_list(F.struct("at", "cells"))).alias("rows"))
-    fields = F.array(
+def column_profile(df: DataFrame) -> DataFrame:
+    """(column_name, data_type, nullable, samples): each column's three first distinct values in text order, of the
+    whole table.
+
+    One scan feeds all columns. Values are made distinct and cut to three per column within the map tasks, so the
+    shuffle carries a few values per task whatever the table holds.
+    """
+    fields = df.schema.fields
+    cells = [F.struct(F.lit(i).alias("i"), F.col(f"`{f.name}`").cast("string").alias("v")) for i, f in enumerate(fields)]
+    seen = df.select(F.explode(F.array(*cells)).alias("c")).select("c.i", "c.v").where("v IS NOT NULL").distinct()
+    place = F.row_number().over(Window.partitionBy("i").orderBy("v"))
+    first = seen.withColumn("place", place).where(F.col("place") <= SAMPLES_PER_COLUMN)
+    samples = first.groupBy("i").agg(F.array_sort(F.collect_list("v")).alias("samples"))
+    about = F.array(
         *[
             F.struct(
-                F.lit(i).alias("i"),
+                F.lit(i).alias("column"),
                 F.lit(f.name).alias("column_name"),
                 F.lit(f.dataType.simpleString()).alias("data_type"),
                 F.lit(f.nullable).alias("nullable"),
             )
-            for i, f in enumerate(df.schema.fields)
+            for i, f in enumerate(fields)
         ]
     )
-    each = rows.select("rows", F.explode(fields).alias("f"))
-    values = F.transform("rows", lambda r: F.get(r["cells"], F.col("f.i"))["value"])
-    samples = F.slice(F.array_distinct(F.array_compact(values)), 1, SAMPLES_PER_COLUMN)
-    return each.select("f.column_name", "f.data_type", "f.nullable", samples.alias("samples"))
+    listed = df.sparkSession.range(1).select(F.inline(about))
+    none = F.array().cast("array<string>")
+    return listed.join(samples, F.col("column") == F.col("i"), "left").select(
+        "column_name", "data_type", "nullable", F.coalesce("samples", none).alias("samples")
+    )
 
 
 def preview(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:

@@ -74,13 +74,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on a table too small to be scanned in that many tasks; a table
-    with enough splits is left as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def _text_id(prefix: str, key: str, width: int) -> Column:
     return F.concat(F.lit(prefix), F.lpad(F.col(key).cast("string"), width, "0"))
 
@@ -116,10 +109,8 @@ def raw_pos_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     customers = table(spark, sf_dir, "customer")
     placed = lookup_join(orders, buyers, "o_custkey", "c_custkey", ["o_orderkey"], how="inner", bound=customers)
-    items = spread(
-        table(spark, sf_dir, "lineitem").select(
-            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_returnflag"
-        )
+    items = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_returnflag"
     )
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
     item = ["l_orderkey", "l_linenumber", "l_suppkey"]
@@ -371,28 +362,28 @@ def audit_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(F.when(F.col("event_id") % 97 == 0, F.lit("not a json line {")).otherwise(line).alias("value"))
 
 
-# Statement shapes to review; @ stands for an event id.
+# Statements a log may hold; @ stands for an event id.
 STATEMENTS = (
-    "SELECT region_sk, sum(net_revenue) FROM gold.fact_sales WHERE order_id = '@' GROUP BY 1",
-    "WITH r AS (SELECT net_revenue FROM gold.fact_sales) SELECT * FROM r LIMIT @",
-    "SELECT 1; DROP TABLE gold.fact_sales -- @",
-    "SELECT @ /* */ ; DR/**/OP TABLE gold.fact_sales",
-    "/* hide @ */ DROP TABLE gold.fact_sales",
-    "EXPLAIN SELECT @",
-    "WITH x AS (SELECT @) DELETE FROM gold.fact_sales",
-    "SELECT * FROM gold.fact_sales WHERE @ = (UPDATE gold.fact_sales SET net_revenue = 0)",
-    "ATTACH 'evil@.db' AS e",
-    "SELECT * FROM read_csv('/tmp/@.ini')",
-    "SELECT * FROM read_json_auto('/tmp/@.json')",
-    "SELECT * FROM glob('/@/*')",
-    "   \n\t select @",
-    "-- only a comment @",
-    "   ",
-    "SELECT 'drop' AS word, @ AS n",
-    "SELECT @ AS dropped_lines, created_at FROM gold.fact_gl;",
-    "select a.*, '--' AS dashes FROM gold.dim_date a WHERE date_key = @",
-    "SELECT @ -- first\nFROM gold.dim_region /* second\nline */ WHERE 1 = 1",
-    "INSERT INTO gold.fact_sales VALUES (@)",
+    "SELECT channel_sk, count(*) AS n FROM gold.fact_sales WHERE date_key > @ GROUP BY channel_sk",
+    "WITH big AS (SELECT * FROM gold.fact_gl WHERE amount_usd > @) SELECT account_code, count(*) FROM big GROUP BY 1",
+    "SELECT @ AS a; SELECT 2 AS b",
+    "SELECT @ /* first; */ ; -- second\n SELECT 3 AS c;",
+    "/* @ */ TRUNCATE gold.dim_region",
+    "DESCRIBE gold.dim_date -- @",
+    "WITH old AS (SELECT @ AS k) MERGE INTO gold.dim_product USING old ON true",
+    "SELECT max(x) FROM (VALUES (@)) AS t(x) WHERE 'revoke' <> 'grant'",
+    "VACUUM gold.fact_sales -- @",
+    "SELECT n FROM read_parquet('part-@.parquet')",
+    "SELECT line FROM Read_Text('log-@')",
+    "\n\n\tWith t AS (SELECT @ AS i) Select i FROM t;",
+    "-- @ was here\n/* and left */",
+    "\t\n ",
+    "SELECT 'we load at @' AS note",
+    "SELECT uploaded_@, recreated FROM gold.fact_gl",
+    "SELECT d.*, '/* @ */' AS stars FROM gold.dim_date d",
+    "SELECT @ -- one\nFROM gold.dim_channel /* two\nthree */ LIMIT 4",
+    ";;; ;",
+    "CREATE VIEW v@ AS SELECT 1",
 )
 
 

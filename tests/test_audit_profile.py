@@ -37,45 +37,50 @@ def test_summaries(calls):
 @pytest.mark.parametrize(
     "sql, says",
     [
-        ("select region_sk, sum(net_revenue) from gold.fact_sales group by 1", "sql ok"),
-        ("with r as (select 1 as x) select * from r", "sql ok"),
-        ("   \n\t select 1", "sql ok"),
-        ("select 1;", "sql ok"),
-        ("select dropped, created_at, loads from t", "sql ok"),
-        ("SELECT 1; DROP TABLE gold.fact_sales", "only a single statement is allowed (found 2 statements)"),
-        ("SELECT 1 /* */ ; DR/**/OP TABLE gold.fact_sales", "only a single statement is allowed (found 2 statements)"),
-        ("/* hide */ DROP TABLE gold.fact_sales", "query must start with SELECT or WITH"),
-        ("EXPLAIN SELECT 1", "query must start with SELECT or WITH"),
-        ("WITH x AS (SELECT 1) DELETE FROM gold.fact_sales", "blocklisted keyword: DELETE"),
-        ("SELECT * FROM t WHERE 1=(UPDATE t SET a=0)", "blocklisted keyword: UPDATE"),
-        ("ATTACH 'evil.db' AS e", "query must start with SELECT or WITH"),
-        ("COPY (SELECT 1) TO 'x.csv'", "query must start with SELECT or WITH"),
-        ("SELECT * FROM read_csv('a')", "blocklisted keyword: READ_CSV"),
-        ("SELECT * FROM read_csv_auto('a')", "blocklisted keyword: READ_CSV_AUTO"),
-        ("SELECT * FROM glob('a')", "blocklisted keyword: GLOB"),
-        ("​SELECT 1", "query must start with SELECT or WITH"),
-        ("selection", "query must start with SELECT or WITH"),
-        ("SELECT 'please drop it'", "blocklisted keyword: DROP"),
-        ("SELECT '--' ; DROP TABLE t", "sql ok"),  # text after -- is cut, even in a literal
-        ("", "empty query"),
-        (None, "empty query"),
-        ("  \n ", "empty query"),
-        ("-- nothing", "query is only comments"),
-        (" ; ; ", "only a single statement is allowed (found 0 statements)"),
+        ("select channel, max(quantity) from lines", "fine"),
+        ("With m as (select 7 as seven) select seven from m ;", "fine"),
+        ("\t/* why */ Select now() -- when", "fine"),
+        ("select uploads, recreated, altered_at from lines", "fine"),
+        ("select 5 ; select 6", "parts:2"),
+        ("select 5 /* one; two */ ; ;; select 6 ; select 7", "parts:3"),
+        (";;;", "parts:0"),
+        ("table lines", "opening"),
+        ("selected", "opening"),
+        ("(select 5)", "opening"),
+        ("/* select */ truncate lines", "opening"),
+        ("with gone as (delete from lines) select 5", "word:DELETE"),
+        ("select 'we merge later' as note", "word:MERGE"),
+        ("select * from Read_Parquet('x')", "word:READ_PARQUET"),
+        ("select 5 as load, 6 as copy", "word:LOAD"),
+        ("select '/*' from lines where note = '*/' ; vacuum", "parts:2"),
+        (None, "blank"),
+        ("", "blank"),
+        ("\n \t", "blank"),
+        ("/* a */ -- b", "comments"),
     ],
 )
 def test_screening(spark, sql, says):
     got = audit.screen_statements(spark.createDataFrame([(sql,)], "sql string")).first()
     assert got.screen_reason == says
-    assert got.allowed == (says == "sql ok")
+    assert got.allowed == (says == "fine")
 
 
-def test_profile(spark):
-    df = spark.createDataFrame([(i, None if i < 2 else f"v{i // 2}", i % 2 == 0) for i in range(40)], "id int, s string, b boolean")
-    got = {r.column_name: (r.data_type, r.nullable, r.samples) for r in profile.column_profile(df, ["id"]).collect()}
-    assert got["id"] == ("int", True, ["0", "1", "2"])
-    assert got["s"] == ("string", True, ["v1", "v2", "v3"])
-    assert got["b"][2] == ["true", "false"]
+def test_totals_fill_in_zero(spark, calls):
+    want = {"all": 4, "allow": 2, "deny": 2, "other": 0, "without_tool": 0}
+    assert dict(map(tuple, audit.totals(calls).collect())) == want
+    assert dict(map(tuple, audit.totals(calls.limit(0)).collect())) == dict.fromkeys(want, 0)
+
+
+def test_profile_covers_the_whole_table(spark):
+    rows_ = [(i, None if i < 300 else f"v{i % 5}", i % 2 == 0) for i in range(400)]
+    df = spark.createDataFrame(rows_, "id int, s string, b boolean").repartition(5)
+    got = {r.column_name: (r.data_type, r.nullable, r.samples) for r in profile.column_profile(df).collect()}
+    assert got["id"] == ("int", True, ["0", "1", "10"])
+    assert got["s"] == ("string", True, ["v0", "v1", "v2"])
+    assert got["b"][2] == ["false", "true"]
+    assert [r.samples for r in profile.column_profile(df.where("id < 0")).collect()] == [[], [], []]
+    with_nulls = df.where("id < 300")
+    assert {r.column_name: r.samples for r in profile.column_profile(with_nulls).collect()}["s"] == []
 
 
 def test_preview_is_clamped(spark):
