@@ -3,7 +3,8 @@
 All of it is DataFrame functions. A text becomes words, then hashes of five-word shingles. Templates of like length form
 a class with a window length and a stride, so that each place where a template can stand lies whole in a window. A
 window's smallest shingle hash under each of several hash functions is its band key; windows that share a key with a
-template are compared with it on all shingles.
+template are compared with it on all shingles. A shared key means that the window holds the very shingle that is the
+template's smallest, so a text without any such shingle shares none, and its windows needn't be keyed.
 
 A window that holds a template at the required containment has a similarity of at least J with it, so `b` bands of one
 row miss it with probability (1 - J) ** b at most. The number of bands follows from J and the accepted miss.
@@ -129,6 +130,10 @@ def _scan(docs: DataFrame, templates: Sequence[tuple[str, str]]) -> DataFrame:
     lowest = F.array(*[F.array_min(keyed(F.col("template"), b)) for b in range(bands)])
     keys = shingles.select("class", "license", "template", F.posexplode(F.slice(lowest, F.lit(1), own_bands)).alias("band", "low"))
     wanted: dict[tuple[int, int], list[int]] = {}
+    smallest: set[int] = set()
+    lowest_of = [F.element_at(F.array_sort(F.transform("template", lambda t: F.struct(F.xxhash64(t, F.lit(b)), t.alias("t")))), 1)["t"] for b in range(bands)]
+    for row in shingles.select(F.slice(F.array(*lowest_of), F.lit(1), own_bands).alias("shingles")).collect():
+        smallest.update(row["shingles"])
     for row in keys.select("class", "band", "low").collect():  # bands x templates of this block
         wanted.setdefault((row["class"], row["band"]), []).append(row["low"])
 
@@ -138,6 +143,7 @@ def _scan(docs: DataFrame, templates: Sequence[tuple[str, str]]) -> DataFrame:
     size = SEGMENT_WORDS + reach + SHINGLE_WORDS - 1
     parts = parts.select("doc_id", F.explode(F.array(F.slice("words", F.col("at") + 1, F.lit(size)))).alias("part"))
     hashed = parts.select("doc_id", F.explode(F.array(shingles_of(F.col("part")))).alias("h"))
+    hashed = hashed.where(F.arrays_overlap("h", F.array(*[F.lit(x) for x in sorted(smallest)]).cast("array<bigint>")))
 
     def candidates(all_keys: Column, number: int, c: Class) -> Column:
         """Windows of the segment that share a band key with a template of the class."""
