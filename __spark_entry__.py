@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime as dt
 import importlib.util
 import sys
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from functools import reduce
@@ -32,6 +33,7 @@ from tallyspark.plans.build import GOLD, MARTS, publish  # noqa: E402
 from tallyspark.plans.checks import run_checks  # noqa: E402
 from tallyspark.plans.workbench import Workbench  # noqa: E402
 from tallyspark.sources import feeds, landing, testbed  # noqa: E402
+from tallyspark.sources.contracts import ColumnRule, FeedContract  # noqa: E402
 from tallyspark.sources.store import TableStore  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -119,6 +121,50 @@ def bronze_landing_plan(w: Workbench) -> DataFrame:
     return landing.landing_plan(w.raw("pos_orders"), loaded_batches(w), w.contracts["pos_orders"])
 
 
+def _dropped(w: Workbench) -> str:
+    """A fresh drop folder beside the warehouse, which all executors share."""
+    return f"{w.store.root}/drop-{uuid.uuid4().hex}"
+
+
+@query
+def landing_files(w: Workbench) -> DataFrame:
+    """The customer feed written as CSV files, landed twice through gate and store, and read back."""
+    contract = replace(w.contracts["customer_master"], file_glob="*.csv")
+    folder, store = _dropped(w), TableStore(w.spark, f"{w.store.root}/landed-{uuid.uuid4().hex}")
+    w.raw("customer_master").select(*contract.names).write.options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(folder)
+    runs = [landing.land_folder(w.spark, store, folder, [contract], dt.datetime(2002, 1, day)) for day in (1, 2)]
+    assert runs[0].passed and {f.action for f in runs[1].files} == {"skip"}
+    return store.read(f"raw.{contract.raw_table}").select(*contract.names, F.col("_loaded_at").cast("date").alias("landed"))
+
+
+# How the files of each region's nations are spoiled before they are landed.
+SPOILED_FILES = {0: "none", 1: "surplus cell", 2: "missing cell", 3: "repeated column", 4: "text for a number"}
+
+
+@query
+def landing_malformed(w: Workbench) -> DataFrame:
+    """One file of nations per region, most of them spoiled, and what landing does with each."""
+    contract = FeedContract(
+        "nations", "REF", "*.txt", "raw_nations", ("n_nationkey",), (ColumnRule("n_nationkey", "integer"), ColumnRule("n_name", "string"))
+    )
+    nations = w.source("nation")
+    key = F.col("n_nationkey").cast("string")
+    found = []
+    for region, spoiled in SPOILED_FILES.items():
+        header = "n_nationkey,n_name" + ",N_NAME" * (spoiled == "repeated column")
+        cells = {"surplus cell": [key, "n_name", F.lit("x")], "missing cell": [key], "text for a number": [F.concat(key, F.lit("f")), "n_name"]}
+        line = F.concat_ws(",", *cells.get(spoiled, [key, F.col("n_name")]))
+        lines = nations.where(F.col("n_regionkey") == region).select(F.col("n_nationkey").alias("at"), line.alias("value"))
+        head = w.spark.range(1).select(F.lit(-1).alias("at"), F.lit(header).alias("value"))
+        folder = _dropped(w)
+        head.unionByName(lines).repartition(1).sortWithinPartitions("at").select("value").write.text(folder)
+        store = TableStore(w.spark, f"{folder}-landed")
+        report = landing.land_folder(w.spark, store, folder, [contract], dt.datetime(2002, 1, 1))
+        rules = [r.rule for t in landing.gate_report(w.spark, folder, contract) for r in t.collect()]
+        found += [(region, f.action, f.reason or ",".join(sorted(rules)), f.rows) for f in report.files]
+    return w.spark.createDataFrame(found, "region bigint, action string, reason string, rows bigint")
+
+
 @query
 def seed_region_map(w: Workbench) -> DataFrame:
     seen = w.raw("pos_orders").groupBy(F.trim("region").alias("spelling")).agg(F.count(F.lit(1)).alias("lines"))
@@ -196,9 +242,26 @@ def gate_primary_key(w: Workbench) -> DataFrame:
     return _violations(w, "primary_key_unique", primary_key=("order_id", "product_id"), unique_key=True)
 
 
+@query
+def gate_columns(w: Workbench) -> DataFrame:
+    """A feed that lacks a column and has one too many."""
+    spoiled = testbed.spoiled_pos_orders(w.spark, w.sf_dir).withColumnRenamed("currency", "currency_code")
+    found = gate.violations(spoiled, w.contracts["pos_orders"])
+    return found.where(F.col("rule").isin(*gate.STRUCTURAL)).drop("detail", "n")
+
+
+@query
+def gate_boolean(w: Workbench) -> DataFrame:
+    """Return flags against a boolean rule, which three words for each truth value meet."""
+    contract = FeedContract("flags", "POS", "*", "raw_flags", (), (ColumnRule("flag", "boolean"),))
+    word = F.element_at(F.array(*map(F.lit, ("true", "False", "0", "yes", "TRUE", "1"))), (F.col("l_partkey") % 6 + 1).cast("int"))
+    rows = w.source("lineitem").select(word.alias("flag"), F.col("l_returnflag").alias("_source_file"))
+    return gate.violations(rows, contract).drop("detail")
+
+
 @query
 def gate_verdict(w: Workbench) -> DataFrame:
-    fed = ("pos_orders", "customer_master", "product_master", "fx_rates")
+    fed = ("pos_orders", "customer_master", "product_master", "fx_rates", "gl_extract")
     return reduce(DataFrame.unionByName, [gate.verdicts(w.raw(f), w.contracts[f]) for f in fed])
 
 

@@ -90,7 +90,22 @@ SELECT *, errors = 0 AS passed FROM (
          CAST(0 AS BIGINT) AS warnings FROM raw_pos GROUP BY 2
   UNION ALL SELECT 'customer_master', _source_file, count(*), 0, 0 FROM bronze_customers GROUP BY 2
   UNION ALL SELECT 'product_master', _source_file, count(*), 0, 0 FROM bronze_products GROUP BY 2
-  UNION ALL SELECT 'fx_rates', _source_file, count(*), CAST(count_if(to_currency = 'GBP') > 0 AS BIGINT), 0 FROM bronze_fx GROUP BY 2) v"""
+  UNION ALL SELECT 'fx_rates', _source_file, count(*), CAST(count_if(to_currency = 'GBP') > 0 AS BIGINT), 0 FROM bronze_fx GROUP BY 2
+  UNION ALL SELECT 'gl_extract', _source_file, count(*), 0, 0 FROM bronze_gl GROUP BY 2) v"""
+SELECTS["gate_columns"] = """
+SELECT 'pos_orders' AS feed, file, unnest(['currency', 'currency_code']) AS "column",
+       unnest(['missing_column', 'unexpected_column']) AS rule, 'error' AS severity
+FROM (SELECT DISTINCT file FROM spoiled) s"""
+SELECTS["gate_boolean"] = """
+SELECT 'flags' AS feed, l_returnflag AS file, 'flag' AS "column", 'dtype' AS rule, 'error' AS severity, count(*) AS n
+FROM lineitem WHERE l_partkey % 6 IN (3, 4) GROUP BY l_returnflag"""
+SELECTS["landing_files"] = """
+SELECT CAST(extract_date AS VARCHAR) AS extract_date, customer_id, customer_name, customer_segment, region,
+       CAST(signup_date AS VARCHAR) AS signup_date, '2002-01-01' AS landed FROM bronze_customers"""
+SELECTS["landing_malformed"] = """
+SELECT CAST(n_regionkey AS BIGINT) AS region, CASE n_regionkey WHEN 0 THEN 'append' ELSE 'reject' END AS action,
+       CASE n_regionkey WHEN 0 THEN '' WHEN 3 THEN 'duplicate_column' WHEN 4 THEN 'dtype' WHEN 2 THEN 'malformed_row,not_null' ELSE 'malformed_row' END AS reason,
+       CASE WHEN n_regionkey <> 3 THEN count(*) END AS rows FROM nation GROUP BY n_regionkey"""
 
 # Bronze and silver
 

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyspark.functions.casting import FALSE_WORDS, TRUE_WORDS, parse_timestamp
+from tallyspark.functions.casting import FALSE_WORDS, TRUE_WORDS, null_safe_cast, parse_timestamp
 from tallyspark.plans.bronze import META_COLUMNS
 from tallyspark.sources.contracts import ColumnRule, FeedContract
 
@@ -29,6 +29,13 @@ NA_WORDS = (
 
 STRUCTURAL = ("missing_column", "unexpected_column")
 
+#: A reader's mark on rows whose cells don't fit the header.
+MALFORMED = "_malformed"
+#: Plain decimal or exponent notation; engines differ on what else they call a number.
+NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+#: Decimals read before a value is held against its landed type.
+WIDE = "decimal(38,9)"
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -52,7 +59,16 @@ def _parsed(rule: ColumnRule) -> Column:
         return parse_timestamp(col)
     if rule.dtype == "boolean":
         return F.when(col.isin(*TRUE_WORDS, *FALSE_WORDS), col)
-    return col.try_cast("double")
+    return F.when(col.rlike(NUMBER), col.try_cast("double"))
+
+
+def _kept(rule: ColumnRule) -> Column:
+    """Whether typing keeps a number as it is: bronze's own cast finds room for it and for all its decimals."""
+    col = F.col(rule.name)
+    if rule.dtype == "float":
+        return F.lit(True)
+    wide, landed = col.try_cast(WIDE), null_safe_cast(col, rule.dtype, rule.scale)
+    return F.coalesce(wide == landed.cast(WIDE), F.lit(False))
 
 
 def _bound(value: float | str, dtype: str) -> Column:
@@ -72,11 +88,11 @@ def column_rules(rule: ColumnRule) -> list[Rule]:
     out = []
     if rule.dtype != "string":
         good = value.isNotNull()
-        if rule.dtype == "integer":
-            good = good & (value == F.rint(value))
-        out.append(Rule(rule.name, "dtype", f"not castable to {rule.dtype}", col.isNotNull() & ~good))
+        if rule.dtype in ("integer", "float", "numeric"):
+            good = good & _kept(rule)
+        out.append(Rule(rule.name, "dtype", f"cells that can't be landed as {rule.dtype}", col.isNotNull() & ~good))
     if not rule.nullable:
-        out.append(Rule(rule.name, "not_null", "null in a non-nullable column", col.isNull()))
+        out.append(Rule(rule.name, "not_null", "cells left empty", col.isNull()))
     if rule.allowed is not None:
         out.append(Rule(rule.name, "accepted_values", "outside the accepted values", ~col.isin(*rule.allowed)))
     if rule.min is not None:
@@ -109,6 +125,8 @@ def count_broken(raw: DataFrame, contract: FeedContract) -> FileCounts:
     df = gate_nulls(raw, contract)
     present = [c for c in contract.columns if c.name in raw.columns]
     rules = [r for c in present for r in column_rules(c)]
+    if MALFORMED in raw.columns:
+        rules.append(Rule("*", "malformed_row", "more or fewer cells than the header names", F.col(MALFORMED)))
     named = [(f"r{i}", r) for i, r in enumerate(rules)]
     # Parsed once per row here; every rule of the column reads the result.
     values = df.withColumns({_value(c): _parsed(c) for c in present if c.dtype != "string"})
@@ -138,7 +156,7 @@ def count_broken(raw: DataFrame, contract: FeedContract) -> FileCounts:
         counts = wide.groupBy(FILE).agg(*[F.max(c).alias(c) for c in wide.columns if c != FILE])
 
     missing = sorted(set(contract.names) - set(raw.columns))
-    extra = sorted(set(raw.columns) - set(contract.names) - set(META_COLUMNS))
+    extra = sorted(set(raw.columns) - set(contract.names) - {*META_COLUMNS, MALFORMED})
     structural = [Rule(c, "missing_column", "required column absent", F.lit(1)) for c in missing]
     severity = "warning" if contract.allow_extra else "error"
     structural += [Rule(c, "unexpected_column", "column not in the contract", F.lit(1), severity) for c in extra]

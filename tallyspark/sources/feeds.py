@@ -3,28 +3,24 @@
 from __future__ import annotations
 
 import csv
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from fnmatch import fnmatch
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyspark.operators.gate import MALFORMED
 from tallyspark.sources.contracts import FeedContract
 
 WAVE_FILES = 1000
-# One binaryFile row must fit in a task; larger files get a line digest instead.
-WHOLE_FILE_BYTES = 256 * 1024 * 1024
-HEADER_BYTES = 64 * 1024
+#: Lines whose digests are folded together.
+BLOCK_LINES = 10_000
 # Stands for "no text at all": landing turns it back into ''.
 NEVER = "\u0001"
 FILE_PATH = "_metadata.file_path"
-
-
-def infer_feed(file_name: str, contracts: dict[str, FeedContract]) -> FeedContract | None:
-    """Contract whose file pattern fits a file name."""
-    from fnmatch import fnmatch
-
-    return next((c for c in contracts.values() if fnmatch(file_name, c.file_glob)), None)
+CORRUPT = "_corrupt_record"
 
 
 def discover(spark: SparkSession, folder: str, contract: FeedContract) -> DataFrame:
@@ -35,6 +31,25 @@ def discover(spark: SparkSession, folder: str, contract: FeedContract) -> DataFr
     )
 
 
+def unmatched(spark: SparkSession, folder: str, contracts: Iterable[FeedContract]) -> list[str]:
+    """Names of a folder's files that fit no feed."""
+    names = (path.rsplit("/", 1)[-1] for path in spark.read.format("binaryFile").load(folder).inputFiles())
+    globs = [c.file_glob for c in contracts]
+    return sorted(name for name in map(unquote, names) if not any(fnmatch(name, g) for g in globs))
+
+
+def empty_files(spark: SparkSession, folder: str, contract: FeedContract) -> list[str]:
+    """Names of a feed's files without a byte, which no scan returns."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", contract.file_glob).load(folder)
+    seen = {_place(r["path"]) for r in files.select(F.col(FILE_PATH).alias("path")).toLocalIterator()}
+    return sorted(place.rsplit("/", 1)[-1] for place in map(_place, files.inputFiles()) if place not in seen)
+
+
+def _place(path: str) -> str:
+    """A path without its scheme's slashes and escapes, which Spark writes in two ways."""
+    return unquote(path).split(":", 1)[-1].lstrip("/")
+
+
 def waves(files: DataFrame, size: int = WAVE_FILES) -> Iterator[list]:
     """File names in path order, a bounded number at a time."""
     wave: list = []
@@ -52,45 +67,40 @@ def content_batch_id(content: Column) -> Column:
     return F.substring(F.sha2(content, 256), 1, 16)
 
 
-def manifest(spark: SparkSession, files: Sequence, whole_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
-    """(path, batch_id, header) of a wave of files.
+def manifest(spark: SparkSession, files: Sequence, block_lines: int = BLOCK_LINES) -> DataFrame:
+    """(path, batch_id, header) of a wave of files, of any size; a file without bytes has neither id nor header.
 
-    Files up to ``whole_bytes`` are hashed byte for byte. Larger ones are read as
-    lines and hashed through order-free line digests that combine across tasks, so
-    equal content gives an equal id without holding the file in one task.
+    The id is one definition for every size: lines are numbered over the file's splits, each line's bytes are hashed,
+    digests of `block_lines` lines in order are folded, then the blocks' digests in order with the file's length. It
+    depends on every byte and on the order of lines, not on where splits fall, and no task holds a file.
     """
-    small = [f.path for f in files if f.length <= whole_bytes]
-    large = [f.path for f in files if f.length > whole_bytes]
-    found = []
-    if small:
-        whole = spark.read.format("binaryFile").load(small)
-        start = F.decode(F.substring("content", 1, HEADER_BYTES), "UTF-8")
-        found.append(
-            whole.select(
-                F.col(FILE_PATH).alias("path"),
-                content_batch_id(F.col("content")).alias("batch_id"),
-                F.substring_index(start, "\n", 1).alias("header"),
-            )
-        )
-    if large:
-        lines = spark.read.text(large).select(
-            "value", F.col(FILE_PATH).alias("path"), (F.col("_metadata.file_block_start") == 0).alias("head"),
-            F.monotonically_increasing_id().alias("at"),
-        )
-        digests = lines.groupBy("path").agg(
-            F.count(F.lit(1)).alias("n"),
-            F.sum(F.length("value").cast("bigint")).alias("chars"),
-            F.bit_xor(F.xxhash64("value")).alias("xor"),
-            F.sum(F.xxhash64("value").cast("decimal(20,0)")).alias("total"),
-            F.sum(F.xxhash64(F.lit("second"), "value").cast("decimal(20,0)")).alias("second"),
-            F.min_by(F.when(F.col("head"), F.col("value")), F.when(F.col("head"), F.col("at"))).alias("header"),
-        )
-        text = F.concat_ws("|", "n", "chars", "xor", "total", "second")
-        found.append(digests.select("path", F.substring(F.sha2(text, 256), 1, 16).alias("batch_id"), "header"))
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out
+    sizes = spark.createDataFrame([(f.path, f.length) for f in files], "path string, bytes bigint")
+    lines = spark.read.option("lineSep", "\n").text([f.path for f in files]).select(
+        F.col(FILE_PATH).alias("path"), F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("at"), "value",
+    )
+    hashed = lines.select("path", "split", "at", F.sha2(F.col("value").cast("binary"), 256).alias("digest"))
+    counts = lines.groupBy("path", "split").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("path").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(
+        F.col("path").alias("_path"), F.col("split").alias("_split"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start")
+    )
+    # A split is one task's lines, in the order of its ids.
+    inside = F.row_number().over(Window.partitionBy("path", "split").orderBy("at")) - 1
+    numbered = hashed.withColumn("inside", inside).join(starts, (F.col("path") == F.col("_path")) & (F.col("split") == F.col("_split")))
+    numbered = numbered.select("path", (F.col("start") + F.col("inside")).alias("line"), "digest")
+    block = F.floor(F.col("line") / block_lines).alias("block")
+
+    def folded(place: str, text: str) -> Column:
+        ordered = F.array_sort(F.collect_list(F.struct(place, text)))
+        return F.sha2(F.array_join(F.transform(ordered, lambda x: x[text]), ",").cast("binary"), 256)
+
+    blocks = numbered.groupBy("path", block).agg(folded("line", "digest").alias("digest"))
+    whole = blocks.groupBy("path").agg(folded("block", "digest").alias("digest"))
+    first = lines.where("split = 0").groupBy("path").agg(F.min_by("value", "at").alias("header"))
+    ids = F.substring(F.sha2(F.concat_ws("|", F.col("bytes").cast("string"), "digest").cast("binary"), 256), 1, 16)
+    found = sizes.join(whole, "path", "left").join(first, "path", "left")
+    return found.select("path", F.when(F.col("digest").isNotNull(), ids).alias("batch_id"), "header")
 
 
 def header_columns(header: str) -> tuple[str, ...]:
@@ -99,20 +109,31 @@ def header_columns(header: str) -> tuple[str, ...]:
     return tuple(name.strip() for name in next(csv.reader([line])))
 
 
+def header_fault(columns: Sequence[str]) -> str | None:
+    """Why rows under a header can't be told apart by column; None if they can."""
+    folded = [c.lower() for c in columns]
+    if not any(folded):
+        return "no_header"
+    return "duplicate_column" if len(set(folded)) < len(folded) else None
+
+
 def read_text_columns(spark: SparkSession, paths: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """CSV files of one header layout with every column text, nothing inferred and
-    blanks kept as '' (landing's null policy); adds the file path as ``_path``."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    blanks kept as '' (landing's null policy); adds the file path as ``_path`` and
+    whether a row has more or fewer cells than the header as ``_malformed``."""
+    schema = T.StructType([*(T.StructField(c, T.StringType()) for c in columns), T.StructField(CORRUPT, T.StringType())])
     raw = (
         spark.read.schema(schema)
         .option("header", True)
         .option("escape", '"')
         .option("nullValue", NEVER)
         .option("emptyValue", "")
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT)
         .csv(list(paths))
     )
     texts = [F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in columns]
-    return raw.select(*texts, F.col(FILE_PATH).alias("_path"))
+    return raw.select(*texts, F.col(CORRUPT).isNotNull().alias(MALFORMED), F.col(FILE_PATH).alias("_path"))
 
 
 def stamp(rows: DataFrame, loaded_at: Column, source_file: Column, batch_id: Column, source_system: str) -> DataFrame:

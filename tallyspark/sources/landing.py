@@ -3,27 +3,61 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.operators.gate import verdicts, violations
+from tallyspark.operators.gate import MALFORMED, verdicts, violations
 from tallyspark.operators.joins import lookup_join
 from tallyspark.sources.contracts import FeedContract
-from tallyspark.sources.feeds import discover, header_columns, manifest, read_text_columns, stamp, waves
+from tallyspark.sources.feeds import (
+    discover, empty_files, header_columns, header_fault, manifest, read_text_columns, stamp, unmatched, waves,
+)
 from tallyspark.sources.store import TableStore
 
 
 @dataclass(frozen=True)
 class Landed:
-    """What happened to one file: append, skip or reject."""
+    """What happened to one file: append, skip or reject, and why it was rejected before its rows were read."""
 
-    feed: str
+    feed: str | None
     file: str
     batch_id: str | None
     rows: int | None
     action: str
+    reason: str | None = None
+
+
+@dataclass(frozen=True)
+class Run:
+    """A landing run over all feeds of a folder. Rejected files and files of no feed fail it."""
+
+    files: list[Landed]
+
+    @property
+    def failed(self) -> list[Landed]:
+        return [f for f in self.files if f.action == "reject"]
+
+    @property
+    def passed(self) -> bool:
+        return not self.failed
+
+
+def land_folder(
+    spark: SparkSession,
+    store: TableStore,
+    folder: str,
+    contracts: Sequence[FeedContract],
+    loaded_at: dt.datetime,
+    dry_run: bool = False,
+) -> Run:
+    """Land every feed of a folder; files that fit no feed are reported as rejected, too."""
+    report = [Landed(None, name, None, None, "reject", "no_feed") for name in unmatched(spark, folder, contracts)]
+    for contract in contracts:
+        report += land_feed(spark, store, folder, contract, loaded_at, dry_run)
+    return Run(report)
 
 
 def land_feed(
@@ -39,24 +73,32 @@ def land_feed(
     Only file names, hashes, headers and verdicts reach the driver; rows go from the
     CSV scan straight to Parquet. A rejected file does not stop the others.
     """
-    report: list[Landed] = []
+    report = [Landed(contract.feed, name, None, 0, "reject", "no_bytes") for name in empty_files(spark, folder, contract)]
+    seen: set[str] = set()
     for wave in waves(discover(spark, folder, contract)):
-        report += land_wave(spark, store, wave, contract, loaded_at, dry_run)
+        report += land_wave(spark, store, wave, contract, loaded_at, dry_run, seen)
     return report
 
 
-def land_wave(spark, store, wave, contract, loaded_at, dry_run) -> list[Landed]:
+def land_wave(spark, store, wave, contract, loaded_at, dry_run, seen: set[str] | None = None) -> list[Landed]:
+    """Land one wave. ``seen`` carries the ids of earlier waves, which a dry run leaves out of the store."""
+    seen = set() if seen is None else seen
     table = f"raw.{contract.raw_table}"
     names = {f.path: f.name for f in wave}
     files = manifest(spark, wave)
     known = lookup_join(files, store.batches(table).withColumnRenamed("batch_id", "_known"), "batch_id", "_known", ["path"])
-    report, seen, layouts = [], set(), {}
+    report, layouts = [], {}
     for f in known.orderBy("path").collect():  # at most WAVE_FILES rows
         if f._known is not None or f.batch_id in seen:
             report.append(Landed(contract.feed, names[f.path], f.batch_id, None, "skip"))
             continue
         seen.add(f.batch_id)
-        layouts.setdefault(header_columns(f.header or ""), []).append(f)
+        columns = header_columns(f.header or "")
+        fault = header_fault(columns)
+        if fault:
+            report.append(Landed(contract.feed, names[f.path], f.batch_id, None, "reject", fault))
+        else:
+            layouts.setdefault(columns, []).append(f)
     for columns, group in layouts.items():
         report += _land_layout(spark, store, table, columns, group, names, contract, loaded_at, dry_run)
     return report
@@ -87,7 +129,7 @@ def _land_layout(spark, store, table, columns, group, names, contract, loaded_at
         action = ("would append" if dry_run else "append") if fits else "reject"
         report.append(Landed(contract.feed, names[f.path], f.batch_id, count, action))
     if passing and not dry_run:
-        good = stamped_rows(spark, columns, passing, names, contract, loaded_at)
+        good = stamped_rows(spark, columns, passing, names, contract, loaded_at).drop(MALFORMED)
         store.append(table, good, batches=[f.batch_id for f in passing])
     return report
 
@@ -99,7 +141,9 @@ def gate_report(spark: SparkSession, folder: str, contract: FeedContract) -> lis
         names = {f.path: f.name for f in wave}
         layouts: dict[tuple[str, ...], list] = {}
         for f in manifest(spark, wave).collect():  # at most WAVE_FILES rows
-            layouts.setdefault(header_columns(f.header or ""), []).append(f)
+            columns = header_columns(f.header or "")
+            if not header_fault(columns):
+                layouts.setdefault(columns, []).append(f)
         for columns, group in layouts.items():
             rows = stamped_rows(spark, columns, group, names, contract, dt.datetime(1970, 1, 1))
             tables.append(violations(rows, contract))

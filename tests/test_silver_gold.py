@@ -58,7 +58,7 @@ def test_missing_customers_and_returns(spark):
     )
     got = {r.order_line_id: (r.customer_id, r.is_unknown_customer, r.is_return) for r in df.collect()}
     assert got == {
-        "OL-00000001": ("CUST-000001", False, False),
+        "OL-00004217": ("CUST-000064", False, False),
         "OL-2": ("UNKNOWN", True, False),
         "OL-3": ("UNKNOWN", True, True),
     }
@@ -68,10 +68,10 @@ def test_currency_conversion(spark):
     eur = GOOD | {"order_line_id": "OL-2", "currency": "EUR"}
     got = {r.order_line_id: r for r in orders(spark, GOOD, eur).collect()}
     assert len(got) == 2  # the EUR to GBP rate does not multiply lines
-    assert got["OL-2"].net_revenue_usd == Decimal("28.36") and got["OL-2"].fx_rate_to_usd == Decimal("1.0505")
-    assert got["OL-00000001"].net_revenue_usd == Decimal("27.00") and got["OL-00000001"].fx_rate_to_usd == 1
+    assert got["OL-2"].net_revenue_usd == Decimal("33.09") and got["OL-2"].fx_rate_to_usd == Decimal("1.0505")
+    assert got["OL-00004217"].net_revenue_usd == Decimal("31.50") and got["OL-00004217"].fx_rate_to_usd == 1
     silent = orders(spark, eur, rates=(("EUR", "GBP", "0.85"),)).first()
-    assert silent.fx_rate_to_usd == 1 and silent.net_revenue_usd == Decimal("27.00")
+    assert silent.fx_rate_to_usd == 1 and silent.net_revenue_usd == Decimal("31.50")
 
 
 def test_dedup_directions(spark):
@@ -97,11 +97,11 @@ def test_fiscal_calendar(spark):
 def warehouse(spark, *data):
     o = orders(spark, *data)
     c = spark.createDataFrame(
-        [("CUST-000001", dt.date(2022, 2, 1), "A", "Consumer", "West", None), ("CUST-000001", dt.date(2023, 2, 1), "A", "SMB", "West", None)],
+        [("CUST-000064", dt.date(2022, 2, 1), "A", "Consumer", "West", None), ("CUST-000064", dt.date(2023, 2, 1), "A", "SMB", "West", None)],
         "customer_id string, extract_date date, customer_name string, customer_segment string, region string, signup_date date",
     )
     p = spark.createDataFrame(
-        [("PROD-0001", dt.date(2022, 2, 1), "p", "Beauty", "s", Decimal(10), Decimal("6.005"))],
+        [("PROD-0207", dt.date(2022, 2, 1), "p", "Beauty", "s", Decimal(10), Decimal("6.005"))],
         "product_id string, extract_date date, description string, category string, subcategory string, list_price decimal(18,4), standard_cost decimal(18,4)",
     )
     dc = gold.dim_customer(c)
@@ -120,12 +120,12 @@ def test_fact_sales(spark):
     assert rows(gold.fact_sales(o, dc, dp, max_broadcast_rows=0).select(plain.columns)) == rows(plain)
     segment = {r.customer_sk: (r.customer_id, r.customer_segment) for r in dc.collect()}
     got = {r.order_line_id: r for r in plain.collect()}
-    assert segment[got["OL-00000001"].customer_sk] == ("CUST-000001", "SMB")
-    assert segment[got["OL-2"].customer_sk] == ("CUST-000001", "Consumer")
+    assert segment[got["OL-00004217"].customer_sk] == ("CUST-000064", "SMB")
+    assert segment[got["OL-2"].customer_sk] == ("CUST-000064", "Consumer")
     assert segment[got["OL-3"].customer_sk][0] == "UNKNOWN"
     assert got["OL-3"].product_sk is None and got["OL-3"].cogs is None
-    one = got["OL-00000001"]
-    assert (one.cogs, one.gross_profit, one.date_key) == (Decimal("18.02"), Decimal("8.99"), 20230501)
+    one = got["OL-00004217"]
+    assert (one.cogs, one.gross_profit, one.date_key) == (Decimal("30.03"), Decimal("1.48"), 20230519)
     regions = gold.dim_region(silver.region_map(spark, REGION_SPELLINGS))
     channels = gold.dim_channel(o)
     # Keys derived from the text are the keys a lookup would find.
