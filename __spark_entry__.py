@@ -434,6 +434,18 @@ def point_in_time_join(w: Workbench) -> DataFrame:
     return joined.select("order_line_id", "order_date", "customer_id", "customer_sk")
 
 
+@query
+def point_in_time_salted(w: Workbench) -> DataFrame:
+    """The same lookup by the plan for dimensions too large to broadcast."""
+    joined = gold.point_in_time_customer(w.table("silver_orders"), w.table("dim_customer"), max_broadcast_rows=0)
+    return joined.select("order_line_id", "order_date", "customer_id", "customer_sk")
+
+
+@query
+def fact_sales_salted(w: Workbench) -> DataFrame:
+    return gold.fact_sales(w.table("silver_orders"), w.table("dim_customer"), w.table("dim_product"), max_broadcast_rows=0)
+
+
 SECOND_BUILD = dt.datetime(1999, 1, 1)
 
 
@@ -642,16 +654,25 @@ def dq_net_revenue_sign(w: Workbench) -> DataFrame:
     return quality.negative_sales(mislabelled)
 
 
-@query
-def dq_orphans(w: Workbench) -> DataFrame:
-    dims = {
+def _trimmed_dimensions(w: Workbench) -> dict[str, DataFrame]:
+    """Dimensions with members left out, so that facts lose keys."""
+    return {
         "customer_sk": w.table("dim_customer").where("customer_segment <> 'BUILDING'"),
         "product_sk": w.table("dim_product").where("category <> 'PROMO'"),
         "region_sk": w.table("dim_region"),
         "channel_sk": w.table("dim_channel"),
         "date_key": w.table("dim_date").where("calendar_year < 2001"),
     }
-    return quality.orphan_keys(w.table("fact_sales"), dims)
+
+
+@query
+def dq_orphans(w: Workbench) -> DataFrame:
+    return quality.orphan_keys(w.table("fact_sales"), _trimmed_dimensions(w))
+
+
+@query
+def dq_orphans_salted(w: Workbench) -> DataFrame:
+    return quality.orphan_keys(w.table("fact_sales"), _trimmed_dimensions(w), max_broadcast_rows=0)
 
 
 def _faulty_customers(w: Workbench) -> DataFrame:

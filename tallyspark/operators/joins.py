@@ -52,14 +52,23 @@ def salted_join(
     condition: Column | None = None,
     parts: int = HOT_PARTS,
     hot: DataFrame | None = None,
+    base: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join spreading hot and null left keys over salts.
 
     Right rows of a hot key are copied once per salt; every left row meets exactly
     one copy, so results equal the plain join for left, semi and anti joins.
-    Pass ``hot`` when the keys are known, to save the sketch pass.
+
+    The sketch runs once, now, and its at most ``parts`` keys join the plan as values:
+    chained lookups plan one scan of the left table, not one per use. ``base`` is a
+    stored table with the same key column to sketch instead of the plan so far; a join
+    in between may have changed the counts, but they only steer the layout. Pass
+    ``hot`` when the keys are known.
     """
-    hot = F.broadcast(hot_keys(left, left_key, parts) if hot is None else hot)
+    if hot is None:
+        found = hot_keys(left if base is None else base, left_key, parts)
+        hot = left.sparkSession.createDataFrame(found.collect(), found.schema)
+    hot = F.broadcast(hot)
     spread = F.when(F.col(left_key).isNull(), F.lit(parts)).otherwise(F.coalesce("salts", F.lit(1)))
     # The task number spreads exact copies too; it is the same when a task is retried.
     salt = F.pmod(F.xxhash64(F.spark_partition_id(), *row_id), spread)
@@ -90,17 +99,19 @@ def lookup_join(
     condition: Column | None = None,
     max_broadcast_rows: int = BROADCAST_ROWS,
     bound: DataFrame | None = None,
+    base: DataFrame | None = None,
 ) -> DataFrame:
     """Join a table to a lookup of unknown size. Column names must not overlap.
 
     ``bound`` is a table known to hold at least as many rows as ``right`` (the stored
-    table a plan filters or looks up into); counting it is cheaper than the plan."""
+    table a plan filters or looks up into); counting it is cheaper than the plan.
+    ``base`` is a stored table that holds the left key, for `salted_join`."""
     if rows_within(right if bound is None else bound, max_broadcast_rows):
         match = F.col(left_key) == F.col(right_key)
         if condition is not None:
             match = match & condition
         return left.join(F.broadcast(right), match, how)
-    return salted_join(left, right, left_key, right_key, row_id, how, condition)
+    return salted_join(left, right, left_key, right_key, row_id, how, condition, base=base)
 
 
 def multi_key_lookup(

@@ -138,7 +138,7 @@ def orphan_keys(fact: DataFrame, dimensions: Mapping[str, DataFrame], max_broadc
     rows = fact.select("order_line_id", *dimensions)
     for key, dim in dimensions.items():
         held = dim.select(F.col(key).alias("_dim_key")).distinct()
-        rows = lookup_join(rows, held, key, "_dim_key", ["order_line_id"], max_broadcast_rows=max_broadcast_rows)
+        rows = lookup_join(rows, held, key, "_dim_key", ["order_line_id"], max_broadcast_rows=max_broadcast_rows, base=fact)
         rows = rows.withColumn(f"_no_{key}", F.col("_dim_key").isNull()).drop("_dim_key")
     orphan = reduce(lambda a, b: a | b, [F.col(f"_no_{k}") for k in dimensions])
     return rows.where(orphan).select("order_line_id", *dimensions)

@@ -107,7 +107,7 @@ def dim_product(snapshot: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def point_in_time_customer(
-    orders: DataFrame, customers: DataFrame, max_broadcast_rows: int = BROADCAST_ROWS
+    orders: DataFrame, customers: DataFrame, max_broadcast_rows: int = BROADCAST_ROWS, base: DataFrame | None = None
 ) -> DataFrame:
     """Add the customer version in force on each order date."""
     versions = customers.select(
@@ -117,20 +117,20 @@ def point_in_time_customer(
     in_force = (F.col("order_date") >= F.col("_from")) & (F.col("order_date") < F.col("_to"))
     joined = lookup_join(
         orders, versions, "customer_id", "_customer", ["order_line_id"],
-        condition=in_force, max_broadcast_rows=max_broadcast_rows,
+        condition=in_force, max_broadcast_rows=max_broadcast_rows, base=base,
     )
     return joined.drop("_customer", "_from", "_to")
 
 
 def current_product(
-    orders: DataFrame, products: DataFrame, max_broadcast_rows: int = BROADCAST_ROWS
+    orders: DataFrame, products: DataFrame, max_broadcast_rows: int = BROADCAST_ROWS, base: DataFrame | None = None
 ) -> DataFrame:
     """Add the current product version and its standard cost."""
     current = products.where("is_current").select(
         F.col("product_id").alias("_product"), "product_sk", "standard_cost"
     )
     joined = lookup_join(
-        orders, current, "product_id", "_product", ["order_line_id"], max_broadcast_rows=max_broadcast_rows
+        orders, current, "product_id", "_product", ["order_line_id"], max_broadcast_rows=max_broadcast_rows, base=base
     )
     return joined.drop("_product")
 
@@ -143,9 +143,8 @@ def fact_sales(
     Region and channel keys follow from the conformed text (see ``member_key``), so
     only the customer and product lookups are joins.
     """
-    keyed = current_product(
-        point_in_time_customer(orders, customers, max_broadcast_rows), products, max_broadcast_rows
-    )
+    placed = point_in_time_customer(orders, customers, max_broadcast_rows, base=orders)
+    keyed = current_product(placed, products, max_broadcast_rows, base=orders)
     cost = F.col("quantity") * F.col("standard_cost")
     return keyed.select(
         "order_line_id",

@@ -7,7 +7,6 @@ would, and read back from there.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -21,14 +20,15 @@ from tallyspark.sources.store import TableStore
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach. Only a local session may fall back to a
-    temporary one."""
+    """Folder every executor can reach, as the session names it.
+
+    A local session that names none keeps its tables beside its SQL warehouse, which Spark itself writes to."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix="tallyspark-")
+    return f"{spark.conf.get('spark.sql.warehouse.dir')}/working-tables"
 
 
 class Workbench:

@@ -108,14 +108,14 @@ def raw_pos_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("order_date"), "o_orderpriority"
     )
     customers = table(spark, sf_dir, "customer")
-    placed = lookup_join(orders, buyers, "o_custkey", "c_custkey", ["o_orderkey"], how="inner", bound=customers)
+    placed = lookup_join(orders, buyers, "o_custkey", "c_custkey", ["o_orderkey"], how="inner", bound=customers, base=orders)
     items = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_returnflag"
     )
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
     item = ["l_orderkey", "l_linenumber", "l_suppkey"]
-    ordered = lookup_join(items, placed, "l_orderkey", "o_orderkey", item, how="inner", bound=orders)
-    lines = lookup_join(ordered, parts, "l_partkey", "p_partkey", item, how="inner")
+    ordered = lookup_join(items, placed, "l_orderkey", "o_orderkey", item, how="inner", bound=orders, base=items)
+    lines = lookup_join(ordered, parts, "l_partkey", "p_partkey", item, how="inner", base=items)
     year = F.year("order_date")
     returned = (F.col("l_returnflag") == "R") & (F.col("l_suppkey") % 10 == 0)
     dirt = F.col("l_partkey") % 12

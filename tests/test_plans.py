@@ -1,6 +1,7 @@
 """Physical plans keep the shape large tables need."""
 
 import __spark_entry__ as entry
+from tallyspark.operators import quality
 from tallyspark.operators.dedup import earliest
 from tallyspark.plans import gold, marts
 from tests.conftest import SMALL
@@ -49,3 +50,15 @@ def test_fact_lookups_broadcast_only_counted_tables(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" in large and "_salt" in large
+
+
+def test_chained_lookups_scan_the_fact_once(spark):
+    """Hot keys are found beforehand, so each salted lookup adds the scans of its own dimension only."""
+    w = entry.workbench(spark, SMALL)
+    orders, customers, products = w.table("silver_orders"), w.table("dim_customer"), w.table("dim_product")
+    logical = gold.fact_sales(orders, customers, products, max_broadcast_rows=0)._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("order_line_id" in line for line in logical.splitlines() if "Relation" in line) == 1
+    dims = {k: w.table(t).select(k).limit(50) for k, t in (("customer_sk", "dim_customer"), ("product_sk", "dim_product"), ("region_sk", "dim_region"))}
+    orphans = quality.orphan_keys(w.table("fact_sales"), dims, max_broadcast_rows=0)
+    logical = orphans._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("order_line_id" in line for line in logical.splitlines() if "Relation" in line) == 1
