@@ -41,13 +41,19 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), checksum).first())
 
 
-def grouped(members: DataFrame, confirm: Callable[[DataFrame], DataFrame], alike: Callable[[str, str], Column] | None = None) -> DataFrame:
+def grouped(
+    members: DataFrame,
+    confirm: Callable[[DataFrame], DataFrame],
+    alike: Callable[[str, str], Column] | None = None,
+    sketched: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """(node, component) over confirmed links among members that share a key.
 
     members: key, rep and what `alike` reads. `confirm` keeps the links among pairs (a, b), a < b. First each member is
     compared with the smallest of its key's group, at a cost linear in the group. Where a group's members are then
     still in different components, its pairs across components are compared, those for which `alike` can't rule a link
-    out. So every candidate pair is confirmed or joined already, and no group is gathered in one task.
+    out; `sketched` may add columns for it to these members. So every candidate pair is confirmed, ruled out, or joined
+    already, and no group is gathered in one task.
     """
     shared = members.groupBy("key").agg(F.min("rep").alias("centre"), F.max("rep").alias("last")).where("centre < last")
     held = settle(members.join(shared.select("key", "centre"), "key"), "members")
@@ -60,6 +66,9 @@ def grouped(members: DataFrame, confirm: Callable[[DataFrame], DataFrame], alike
     placed = placed.withColumn("component", F.coalesce("component", "rep"))
     split = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("key")
     open_groups = settle(placed.join(split, "key", "left_semi"), "open")
+    if sketched:
+        sketches = settle(sketched(open_groups.select("rep").distinct()), "sketches")
+        open_groups = open_groups.join(sketches.withColumnRenamed("rep", "_rep"), F.col("rep") == F.col("_rep")).drop("_rep")
     p, q = open_groups.alias("p"), open_groups.alias("q")
     meets = (F.col("p.key") == F.col("q.key")) & (F.col("p.component") < F.col("q.component"))
     across = p.join(q, meets & alike("p", "q") if alike else meets)

@@ -7,14 +7,17 @@ permutation, and a signature is the minimum over slices.
 Equal shingle sets fold into one representative first. Representatives that share a band's key are candidates:
 
 1. each is compared with the smallest of its bucket, which joins most groups at a cost linear in their size;
-2. of buckets whose members are still in different components, the pairs between these components are compared.
+2. of buckets whose members are still in different components, the pairs between these components are compared,
+   unless their sizes, or sketches of one bit for each of 3072 more coordinates, rule a link out.
 
-Every candidate pair is thus confirmed on full sets, or joined by confirmed links already. With 40 bands of 5
-coordinates a pair at a similarity of exactly 0.8 shares no band with probability (1 - 0.8 ** 5) ** 40, about 1e-7.
+Every candidate pair is thus confirmed on full sets, joined by confirmed links already, or ruled out. With 40 bands of 5
+coordinates a pair at a similarity of exactly 0.8 shares no band with probability (1 - 0.8 ** 5) ** 40, about 1e-7; its
+sketches differ in more bits than allowed with about the same probability (five standard deviations).
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -25,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.llm.components import grouped
-from tallyspark.llm.tables import arrow_rows, settle
+from tallyspark.llm.tables import arrow_rows, own_prefix, settle
 
 BANDS = 40
 BAND_ROWS = 5
@@ -33,6 +36,9 @@ UNIVERSE_BITS = 20
 SEED = 20240607
 #: A similarity of PERCENT / 100 or more is a link; kept in whole numbers to be exact.
 PERCENT = 80
+SKETCH_WORDS = 48
+#: Ids of texts to compare that are broadcast, 8 bytes each; more are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
 CACHE_WORDS = 400_000
 #: Members compared with one centre in one task.
 MEMBERS_PER_SALT = 2000
@@ -41,10 +47,10 @@ LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93], np.uint64)
 
 
-@lru_cache(maxsize=1)
-def permutations() -> tuple[np.ndarray, np.ndarray]:
+@lru_cache(maxsize=2)
+def permutations(shifts: int) -> tuple[np.ndarray, np.ndarray]:
     """The scattering permutation, and rows of the circulant one: row s is its value at s under every shift."""
-    draw, size, shifts = np.random.default_rng(SEED), 1 << UNIVERSE_BITS, BANDS * BAND_ROWS
+    draw, size = np.random.default_rng(SEED), 1 << UNIVERSE_BITS
     scatter = draw.permutation(size).astype(np.int32)
     values = draw.permutation(size).astype(np.int32)
     wound = np.concatenate((values[-(shifts - 1) :], values))
@@ -84,14 +90,20 @@ class Shingles:
         return np.unique(out)
 
 
+def signature(places: np.ndarray, shifts: int) -> np.ndarray:
+    """Smallest value under every shift, over places of the universe."""
+    scatter, slices = permutations(shifts)
+    at, step = scatter[places.astype(np.int64)], (1 << 20) // shifts
+    out = slices[at[:step]].min(axis=0)
+    for i in range(step, len(at), step):
+        np.minimum(out, slices[at[i : i + step]].min(axis=0), out=out)
+    return out
+
+
 def band_keys(shingles: np.ndarray) -> np.ndarray:
     """One number per band of the set's signature."""
-    scatter, slices = permutations()
-    at = scatter[(shingles >> np.uint64(64 - UNIVERSE_BITS)).astype(np.int64)]
-    signature = slices[at[:4096]].min(axis=0)
-    for i in range(4096, len(at), 4096):
-        np.minimum(signature, slices[at[i : i + 4096]].min(axis=0), out=signature)
-    rows = signature.reshape(BANDS, BAND_ROWS).astype(np.uint64)
+    places = shingles >> np.uint64(64 - UNIVERSE_BITS)
+    rows = signature(places, BANDS * BAND_ROWS).reshape(BANDS, BAND_ROWS).astype(np.uint64)
     out = np.arange(BANDS, dtype=np.uint64)
     for k in range(BAND_ROWS):
         out = mixed(out * MIX[2] + rows[:, k])
@@ -140,14 +152,49 @@ def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
     return _rows(docs).mapInArrow(pack, "doc_id bigint, packed binary")
 
 
+def chosen(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """doc_id and text of the documents named in ids (doc_id, each once)."""
+    few = ids.count() <= BROADCAST_IDS
+    return _rows(docs).join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
+
+
+def sketches(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
+    """rep and one bit for each of 64 * SKETCH_WORDS coordinates, for the documents named in ids (rep)."""
+    names = [f"s{i}" for i in range(SKETCH_WORDS)]
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles = Shingles(width)
+        for batch in batches:
+            rows = np.zeros((batch.num_rows, SKETCH_WORDS), np.int64)
+            for row, text in zip(rows, batch.column(1).to_pylist(), strict=True):
+                places = np.unique(shingles.of(text) & np.uint64((1 << UNIVERSE_BITS) - 1))
+                if len(places):
+                    bits = (signature(places, 64 * SKETCH_WORDS) & 1).astype(np.uint8)
+                    row[:] = np.frombuffer(np.packbits(bits).tobytes(), np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c) for c in rows.T.copy())], names=["rep", *names])
+
+    wanted = settle(ids.select(F.col("rep").alias("doc_id")), "ids")
+    return chosen(docs, wanted).mapInArrow(sketch, "rep bigint, " + ", ".join(f"{n} bigint" for n in names))
+
+
+def shortened(key: Column) -> Column:
+    return key.bitwiseXOR(F.shiftright(key, 32)).bitwiseAND(0x7FFFFFFF).cast("int")
+
+
+def differing_bits(percent: int) -> int:
+    """Bits in which sketches of a pair at the threshold differ at most, but for five standard deviations."""
+    bits, chance = 64 * SKETCH_WORDS, (1 - percent / 100) / 2
+    return math.ceil(bits * chance + 5 * math.sqrt(bits * chance * (1 - chance)))
+
+
 def confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int = PERCENT) -> DataFrame:
     """The pairs (a, b) that are links, on full shingle sets.
 
     A centre's set travels once for each salt of its members, a member's once for each of its pairs. Tasks read a
     stream sorted by centre and hold one centre's set at a time.
     """
-    involved = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = settle(shingle_sets(_rows(docs).join(involved, "doc_id", "left_semi"), width), "sets")
+    involved = settle(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
+    sets = settle(shingle_sets(chosen(docs, involved), width), "sets")
     centres = pairs.groupBy("a").agg((F.floor(F.count(F.lit(1)) / MEMBERS_PER_SALT) + 1).cast("int").alias("salts"))
     members = pairs.join(centres, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int"))
     held = F.col("doc_id")
@@ -195,10 +242,20 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = PERCENT) ->
 
     def alike(p: str, q: str) -> Column:
         x, y = F.col(f"{p}.n"), F.col(f"{q}.n")
-        return (x * 100 >= y * percent) & (y * 100 >= x * percent)
+        differ = sum((F.bit_count(F.col(f"{p}.s{i}").bitwiseXOR(F.col(f"{q}.s{i}"))) for i in range(SKETCH_WORDS)), F.lit(0))
+        # A pair may share many keys: it counts under the first.
+        first = F.array_min(F.array_intersect(f"{p}.short", f"{q}.short")) == shortened(F.col(f"{p}.key"))
+        return (x * 100 >= y * percent) & (y * 100 >= x * percent) & (differ <= differing_bits(percent)) & first
+
+    def sketched(ids: DataFrame) -> DataFrame:
+        keys = classes.select("rep", F.transform("keys", shortened).alias("short"))
+        return sketches(docs, ids, width).join(keys, "rep")
 
     component = grouped(
-        classes.select("rep", "n", F.explode("keys").alias("key")), lambda pairs: confirmed(pairs, docs, width, percent), alike
+        classes.select("rep", "n", F.explode("keys").alias("key")),
+        lambda pairs: confirmed(pairs, docs, width, percent),
+        alike,
+        sketched,
     )
 
     named = classes.select("hi", "lo", "rep").join(component, F.col("rep") == F.col("node"), "left")
@@ -209,3 +266,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = PERCENT) ->
     return found.select("doc_id", "n_shingles", own.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
     )
+
+
+def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = PERCENT) -> DataFrame:
+    """docs without those that have a component's smaller doc_id; rows without doc_id, words or links stay."""
+    name = own_prefix(docs) + "gone"
+    gone = near_duplicates(docs, width, percent).where("NOT kept").select(F.col("doc_id").alias(name)).distinct()
+    gone = settle(gone, "gone")
+    few = gone.count() <= BROADCAST_IDS
+    return docs.join(F.broadcast(gone) if few else gone, F.col("doc_id") == F.col(name), "left_anti")
