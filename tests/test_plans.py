@@ -4,6 +4,7 @@ import __spark_entry__ as entry
 from tallyspark.operators import quality
 from tallyspark.operators.dedup import earliest
 from tallyspark.plans import gold, marts
+from tallyspark.plans.checks import run_checks
 from tests.conftest import SMALL
 
 def plan(df):
@@ -62,3 +63,10 @@ def test_chained_lookups_scan_the_fact_once(spark):
     orphans = quality.orphan_keys(w.table("fact_sales"), dims, max_broadcast_rows=0)
     logical = orphans._jdf.queryExecution().optimizedPlan().toString()
     assert sum("order_line_id" in line for line in logical.splitlines() if "Relation" in line) == 1
+
+
+def test_the_suite_scans_a_fact_twice(spark):
+    w = entry.workbench(spark, SMALL)
+    suite = run_checks(w.tables("fact_sales", "dim_date", "dim_customer", "dim_product", "dim_region", "dim_channel"))
+    logical = suite._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("order_line_id" in line for line in logical.splitlines() if "Relation" in line) == 2
