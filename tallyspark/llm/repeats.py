@@ -2,9 +2,10 @@
 
 Texts are bytes; a match is a string of 50 bytes that also starts in a document with a smaller doc_id.
 
+0. A text that an earlier document has whole is removed as a whole.
 1. Parse: a rolling hash over 8 bytes triggers the end of a phrase, so equal passages cut into equal phrases. A phrase
-   reaches 49 bytes into what follows: every 50-byte string lies whole in the phrase it starts in. The parse is a row per
-   phrase with its 128-bit digest; a phrase that an earlier document has is removed as a whole.
+   reaches 49 bytes into what follows: every 50-byte string lies whole in the phrase it starts in. The parse is a
+   96-bit digest per phrase; a phrase that an earlier document has is removed as a whole.
 2. What remains, the first occurrences, is the dictionary. Two entries can still share a string where a passage begins
    or ends inside a phrase. Every string holds a window-minimal 26-byte anchor; only starts around anchors that two
    documents share are compared further.
@@ -28,22 +29,32 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyspark.llm.tables import arrow_rows, settle
+from tallyspark.llm.tables import arrow_rows, own_prefix, settle
 
 MATCH = 50
 ANCHOR = 26
 TRIGGER = 8
 #: A phrase ends after one trigger window in 2 ** PHRASE_BITS.
-PHRASE_BITS = 7
+PHRASE_BITS = 4
+#: Phrases without a trigger for so long are cut all the same, counted from their start.
+LONGEST = 4096
 #: Text that one shard holds and one bucket answers for, in bytes.
 SHARD_BYTES = 1 << 20
 BUCKET_TEXT = 16 << 20
-KNOWN = 0xFFFF  # in place of a document: the shard knows two that share the digest
+#: Buckets at least, so that small tables keep a cluster busy, too.
+LEAST_BUCKETS = 48
+#: Copies that are left out by a broadcast, some 60 bytes each; more are by a shuffle.
+BROADCAST_COPIES = 250_000
+KNOWN = 0xFFFF  # in place of a size: the shard knows two documents that share the digest
 
 MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 
 #: A row of the table by its content: rows that share a doc_id but not a text stay apart.
-TAG = "xxhash64(text)"
+TAG = "xxhash64(text) & 2147483647"
+
+
+#: Starts and sizes of ranges in a document.
+Ranges = tuple[np.ndarray, np.ndarray]
 
 
 class Shard:
@@ -64,31 +75,36 @@ class Shard:
     def doc_of(self, places: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.ends, places, "right")
 
-    def phrases(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
-        """Document number, start and size of the phrases in which a match can start, and their digests."""
+    def phrases(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Document number, start and size of the phrases in which a match can start, and their digests (hi, lo)."""
         hit = np.flatnonzero((self.word(0) * MIX[0]) >> np.uint64(64 - PHRASE_BITS) == 0)
         hit = hit[self.ends[self.doc_of(hit)] >= hit + TRIGGER] + TRIGGER
         bounds = np.unique(np.concatenate((hit, self.starts, self.ends)))
-        begin, end = bounds[:-1], bounds[1:]
+        if len(bounds) < 2:
+            bounds = np.zeros(1, np.int64)
+        parts = (np.diff(bounds) + LONGEST - 1) // LONGEST
+        inner = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+        begin = np.repeat(bounds[:-1], parts) + inner * LONGEST
+        end = np.append(begin[1:], bounds[-1:])[: len(begin)]
         doc = self.doc_of(begin)
         stop = np.minimum(end + MATCH - 1, self.ends[doc])
         whole = stop - begin >= MATCH
         begin, end, doc, stop = begin[whole], end[whole], doc[whole], stop[whole]
         view = memoryview(self.bytes)
-        digests = [xxhash.xxh3_128_digest(view[b:e]) for b, e in zip(begin.tolist(), stop.tolist(), strict=True)]
-        return doc, begin - self.starts[doc], end - begin, digests
+        digest = xxhash.xxh3_128_digest
+        digests = np.frombuffer(b"".join([digest(view[b:e]) for b, e in zip(begin.tolist(), stop.tolist(), strict=True)]), "<u8").reshape(-1, 2)
+        return doc, begin - self.starts[doc], end - begin, digests[:, 0].copy(), (digests[:, 1] >> np.uint64(32)).astype(np.uint32)
 
-    def open_starts(self, removed: list[list[tuple[int, int]]]) -> np.ndarray:
-        """Places where a match may start, without the phrases given as (start, size) for each document."""
+    def open_starts(self, removed: list[Ranges]) -> np.ndarray:
+        """Places where a match may start, without the ranges given for each document."""
         change = np.zeros(self.n + 1, np.int32)
         room = self.sizes >= MATCH
         np.add.at(change, self.starts[room], 1)
         np.add.at(change, self.ends[room] - MATCH + 1, -1)
-        out = np.cumsum(change[:-1]) > 0
-        for start, ranges in zip(self.starts.tolist(), removed, strict=True):
-            for b, n in ranges:
-                out[start + b : start + b + n] = False
-        return out
+        for start, (b, n) in zip(self.starts.tolist(), removed, strict=True):
+            np.add.at(change, start + b, -2)
+            np.add.at(change, np.minimum(start + b + n, self.n), 2)
+        return np.cumsum(change[:-1]) > 0
 
     def anchors(self, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places and hashes of the window-minimal anchors of the matches that start at the marked places."""
@@ -104,8 +120,9 @@ class Shard:
         place = np.flatnonzero((top == h) & (top > 0))
         return place, h[place]
 
-    def suffixes(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The suffix array of the places, to the match length: order, start of each run of equal ones, and digests."""
+    def suffixes(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The suffix array of the places, to the match length: order, start of each run of equal ones, and digests
+        (hi, lo)."""
         words = [self.word(at)[places].byteswap() for at in (*range(0, MATCH - 7, 8), MATCH - 8)]
         order = np.lexsort(words[::-1])
         new = np.zeros(len(places), bool)
@@ -118,7 +135,7 @@ class Shard:
             for w in words:
                 row[:] = (row + w) * seed
                 row ^= row >> np.uint64(29)
-        return order, np.flatnonzero(new), digest
+        return order, np.flatnonzero(new), digest[0], (digest[1] >> np.uint64(32)).astype(np.uint32)
 
 
 def sliding(values: np.ndarray, width: int, pick: Callable) -> np.ndarray:
@@ -141,129 +158,173 @@ def shards(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBa
             yield batch.slice(b, e - b)
 
 
-ENTRIES = pa.schema(
-    [("bucket", pa.int64()), ("docs", pa.binary()), ("hashes", pa.binary()), ("of", pa.binary()), ("places", pa.binary())]
-)
-ENTRIES_DDL = "bucket bigint, docs binary, hashes binary, `of` binary, places binary"
-FOUND = pa.schema([("doc_id", pa.int64()), ("tag", pa.int64()), ("places", pa.binary())])
-FOUND_DDL = "doc_id bigint, tag bigint, places binary"
+ENTRY_FIELDS = ("docs", "hi", "lo", "of", "places", "sizes")
+ENTRIES = pa.schema([("bucket", pa.int64()), *((n, pa.binary()) for n in ENTRY_FIELDS)])
+ENTRIES_DDL = "bucket bigint, " + ", ".join(f"`{n}` binary" for n in ENTRY_FIELDS)
+FOUND = pa.schema([("doc_id", pa.int64()), ("tag", pa.int64()), ("places", pa.binary()), ("sizes", pa.binary())])
+FOUND_DDL = "doc_id bigint, tag bigint, places binary, sizes binary"
+
+
+def planes(values: np.ndarray) -> bytes:
+    """Numbers byte plane by byte plane: high bytes that are all alike then compress to nothing."""
+    return values.view(np.uint8).reshape(len(values), -1).T.tobytes()
+
+
+def unplaned(data: bytes, kind: type) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.frombuffer(data, np.uint8).reshape(width, -1).T.copy().view(kind).reshape(-1)
+
+
+def steps(of: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Places as distances within each document; entries are in order of document and place."""
+    out = place.copy()
+    same = of[1:] == of[:-1]
+    out[1:][same] -= place[:-1][same]
+    return out.astype(np.uint32)
 
 
-def entries(ids: np.ndarray, tags: np.ndarray, doc: np.ndarray, place: np.ndarray, hashes: np.ndarray, order: np.ndarray,
-            runs: np.ndarray, buckets: int, later: bool) -> pa.RecordBatch:
-    """A shard's entries by bucket; those the shard can settle alone are answers already (no hashes).
+def unstepped(of: np.ndarray, step: np.ndarray) -> np.ndarray:
+    total = np.cumsum(step.astype(np.int64))
+    first = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1]))) if len(of) else np.zeros(0, np.int64)
+    return total - np.repeat(total[first] - step[first], np.diff(np.append(first, len(of))))
 
-    `order` sorts the entries by hash, `runs` are the starts of equal hashes in it.
+
+def runs_of(order: np.ndarray, *keys: np.ndarray) -> np.ndarray:
+    """Where runs of equal keys start in their order."""
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for key in keys:
+        ordered = key[order]
+        new[1:] |= ordered[1:] != ordered[:-1]
+    return np.flatnonzero(new)
+
+
+def entries(batch: pa.RecordBatch, doc: np.ndarray, place: np.ndarray, size: np.ndarray, hi: np.ndarray, lo: np.ndarray,
+            bucket: np.ndarray, order: np.ndarray, runs: np.ndarray, later: bool) -> pa.RecordBatch:
+    """A shard's entries by bucket; those that the shard can settle alone are answers already (without digests).
+
+    `order` sorts the entries by digest, `runs` are the starts of equal digests in it. Without `later`, hi stays here.
     """
+    ids, tags = batch.column(0).to_numpy(), batch.column(1).to_numpy()
     out: dict[str, list] = {f.name: [] for f in ENTRIES}
-    docs = np.stack((ids, tags)).tobytes()
 
-    def row(bucket: int, rows: np.ndarray, of: np.ndarray, with_hashes: bool = True) -> None:
-        values = (bucket, docs, hashes[:, rows].tobytes() if with_hashes else b"", of.astype(np.uint16).tobytes(), place[rows].astype(np.uint32).tobytes())
+    def row(number: int, rows: np.ndarray, digests: bool = True) -> None:
+        """Entries of one bucket, in order of place."""
+        own, of = np.unique(doc[rows], return_inverse=True)
+        values = (
+            number, ids[own].tobytes() + tags[own].astype(np.int32).tobytes(),
+            hi[rows].tobytes() if digests and later else b"", lo[rows].tobytes() if digests else b"",
+            of.astype(np.uint16).tobytes(), planes(steps(of, place[rows])), planes(np.where(known[rows], KNOWN, size[rows]).astype(np.uint16)),
+        )
         for f, v in zip(ENTRIES, values, strict=True):
             out[f.name].append(v)
 
+    known = np.zeros(len(doc), bool)
     if len(order):
         own = ids[doc[order]]
         low, high = np.minimum.reduceat(own, runs), np.maximum.reduceat(own, runs)
         sizes = np.diff(np.append(runs, len(order)))
         several = np.repeat(low != high, sizes)
         settled = own > np.repeat(low, sizes) if later else several
-        answers = order[settled]
-        if len(answers):
-            row(int(ids[doc[answers[0]]]) % buckets, answers, doc[answers], with_hashes=False)
+        answered = np.sort(order[settled])
+        if len(answered):
+            row(int(bucket[answered[0]]), answered, digests=False)
         if later:
-            sent = order[~settled]
-            of = doc[sent]
+            sent = np.sort(order[~settled])
         else:
-            sent = np.concatenate((order[~several], order[runs[low != high]]))
-            of = np.concatenate((doc[order[~several]], np.full(int((low != high).sum()), KNOWN)))
-        bucket = hashes[0, sent] % np.uint64(buckets)
-        by = np.argsort(bucket, kind="stable")
-        edge = np.flatnonzero(np.diff(bucket[by])) + 1
+            # one entry stands for those that the shard has answered
+            known[order[runs[low != high]]] = True
+            sent = np.sort(np.concatenate((order[~several], np.flatnonzero(known))))
+        by = np.argsort(bucket[sent], kind="stable")
+        edge = np.flatnonzero(np.diff(bucket[sent][by])) + 1
         for part in np.split(by, edge) if len(by) else []:
-            row(int(bucket[part[0]]), sent[part], of[part])
+            row(int(bucket[sent[part[0]]]), sent[part])
     return arrow_rows(ENTRIES, **out)
 
 
 def answers(later: bool) -> Callable[[pa.Table], pa.Table]:
     """For a bucket: the entries whose digest another (with `later`: an earlier) document has."""
-
     def settle_bucket(table: pa.Table) -> pa.Table:
-        ids, tags, hashes, of, place = [], [], [], [], []
-        known_of, known_place, base = [], [], 0
-        for docs, h, o, p in zip(*(table.column(i).to_pylist() for i in (1, 2, 3, 4)), strict=True):
-            both = np.frombuffer(docs, np.int64).reshape(2, -1)
-            ids.append(both[0])
-            tags.append(both[1])
-            o = np.frombuffer(o, np.uint16).astype(np.int64)
-            o = np.where(o == KNOWN, -1, o + base)
-            p = np.frombuffer(p, np.uint32)
-            if h:
-                hashes.append(np.frombuffer(h, np.uint64).reshape(-1, len(o)))
-                of.append(o)
-                place.append(p)
+        ids, tags, base = [], [], 0
+        open_parts, known_parts = [], []
+        for docs, *cells in zip(*(table.column(n).to_pylist() for n in ENTRY_FIELDS), strict=True):
+            count = len(docs) // 12
+            ids.append(np.frombuffer(docs, np.int64, count))
+            tags.append(np.frombuffer(docs, np.int32, count, 8 * count).astype(np.int64))
+            hi, lo, of = (np.frombuffer(c, k) for c, k in zip(cells, (np.uint64, np.uint32, np.uint16), strict=False))
+            place, size = unstepped(of, unplaned(cells[3], np.uint32)), unplaned(cells[4], np.uint16)
+            of = np.where(size == KNOWN, -1, of.astype(np.int64) + base)
+            if len(lo):
+                open_parts.append((hi if later else lo, lo, of, place, size))
             else:
-                known_of.append(o)
-                known_place.append(p)
-            base += both.shape[1]
+                known_parts.append((of, place, size))
+            base += count
         ids, tags = np.concatenate(ids), np.concatenate(tags)
-        if hashes:
-            h, o, p = np.concatenate(hashes, axis=1), np.concatenate(of), np.concatenate(place)
-            order = np.lexsort(h[::-1])
-            h, o, p = h[:, order], o[order], p[order]
-            runs = np.flatnonzero(np.concatenate(([True], (h[:, 1:] != h[:, :-1]).any(axis=0))))
-            sizes = np.diff(np.append(runs, len(o)))
-            own = ids[o]
-            known = np.repeat(np.minimum.reduceat(o, runs) < 0, sizes)
+        if open_parts:
+            hi, lo, of, place, size = (np.concatenate(c) for c in zip(*open_parts, strict=True))
+            order = np.argsort(hi, kind="stable")
+            runs = runs_of(order, hi, lo)
+            if later and len(runs) != len(runs_of(order, hi)):
+                order = np.lexsort((lo, hi))
+                runs = runs_of(order, hi, lo)
+            of, place, size = of[order], place[order], size[order]
+            sizes = np.diff(np.append(runs, len(of)))
+            own = ids[of]
+            known = np.repeat(np.minimum.reduceat(of, runs) < 0, sizes)
             low, high = np.minimum.reduceat(own, runs), np.maximum.reduceat(own, runs)
-            shared = own > np.repeat(low, sizes) if later else (known | np.repeat(low != high, sizes)) & (o >= 0)
-            known_of.append(o[shared])
-            known_place.append(p[shared])
-        o, p = np.concatenate(known_of), np.concatenate(known_place)
-        order = np.argsort(o, kind="stable")
-        o, p = o[order], p[order]
-        first = np.flatnonzero(np.concatenate(([True], o[1:] != o[:-1]))) if len(o) else np.zeros(0, np.int64)
-        parts = [x.tobytes() for x in np.split(p, first[1:])] if len(o) else []
-        return pa.table({"doc_id": ids[o[first]], "tag": tags[o[first]], "places": pa.array(parts, pa.binary())}, schema=FOUND)
+            shared = own > np.repeat(low, sizes) if later else (known | np.repeat(low != high, sizes)) & (of >= 0)
+            known_parts.append((of[shared], place[shared], size[shared]))
+        of, place, size = (np.concatenate(c) for c in zip(*known_parts, strict=True))
+        order = np.lexsort((place, of))
+        first = runs_of(order, of)
+        doc = of[order][first]
+
+        def parts(values: np.ndarray) -> pa.Array:
+            return pa.array([x.tobytes() for x in np.split(values[order], first[1:])] if len(first) else [], pa.binary())
+
+        place, size = place.astype(np.uint32), size.astype(np.uint16)
+
+        return pa.table({"doc_id": ids[doc], "tag": tags[doc], "places": parts(place), "sizes": parts(size)}, schema=FOUND)
 
     return settle_bucket
 
 
-def per_row(found: DataFrame, column: str, name: str) -> DataFrame:
-    """All values of a document in one row: at most as many as its bytes."""
-    return found.groupBy(F.col("doc_id").alias("_doc"), F.col("tag").alias("_tag")).agg(F.collect_list(column).alias(name))
+def per_row(found: DataFrame, name: str) -> DataFrame:
+    """All ranges of a document in one row: at most as many as its bytes."""
+    cells = F.collect_list(F.struct("places", "sizes"))
+    return found.groupBy(F.col("doc_id").alias("_doc"), F.col("tag").alias("_tag")).agg(cells.alias(name))
 
 
 def with_rows(docs: DataFrame, more: DataFrame, how: str) -> DataFrame:
     return docs.join(more, (F.col("doc_id") == F.col("_doc")) & (F.col("tag") == F.col("_tag")), how).drop("_doc", "_tag")
 
 
-def parse(rows: DataFrame) -> DataFrame:
-    """doc_id, tag, start, size and digest of every phrase."""
-    schema = pa.schema(
-        [("doc_id", pa.int64()), ("tag", pa.int64()), ("start", pa.int32()), ("size", pa.int32()), ("digest", pa.binary())]
-    )
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in shards(batches, 2):
-            ids, tags = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            doc, start, size, digests = Shard(batch.column(2).to_pylist()).phrases()
-            yield arrow_rows(schema, doc_id=ids[doc], tag=tags[doc], start=start.astype(np.int32), size=size.astype(np.int32), digest=digests)
-
-    return rows.mapInArrow(cut, "doc_id bigint, tag bigint, start int, size int, digest binary")
+def ranges_of(cell: list | None) -> Ranges:
+    if not cell:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    places = np.concatenate([np.frombuffer(c["places"], np.uint32) for c in cell]).astype(np.int64)
+    return places, np.concatenate([np.frombuffer(c["sizes"], np.uint16) for c in cell]).astype(np.int64)
 
 
-def ranges_of(cell: list | None) -> list[tuple[int, int]]:
-    return [(r["start"], r["size"]) for r in cell or ()]
+def repeated_phrases(rows: DataFrame, buckets: int) -> DataFrame:
+    """doc_id, tag, places, sizes: phrases that an earlier document has. rows: doc_id, tag, text."""
 
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in shards(batches, 2):
+            doc, start, size, hi, lo = Shard(batch.column(2).to_pylist()).phrases()
+            order = np.lexsort((lo, hi))
+            bucket = (hi % np.uint64(buckets)).astype(np.int64)
+            yield entries(batch, doc, start, size, hi, lo, bucket, order, runs_of(order, hi, lo), later=True)
 
-def places_of(cell: list | None) -> np.ndarray:
-    return np.concatenate([np.frombuffer(b, np.uint32) for b in cell]).astype(np.int64) if cell else np.zeros(0, np.int64)
+    return rows.mapInArrow(emit, ENTRIES_DDL).groupBy("bucket").applyInArrow(answers(later=True), FOUND_DDL)
 
 
 def shared_anchors(rows: DataFrame, buckets: int) -> DataFrame:
-    """doc_id, tag, places: anchors of the dictionary that two documents share."""
+    """doc_id, tag, places, sizes: anchors of the dictionary that two documents share.
+
+    rows: doc_id, tag, text, phrases. Within a bucket 32 bits tell anchors apart: two that agree by chance cost a
+    comparison, no more.
+    """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in shards(batches, 2):
@@ -271,14 +332,18 @@ def shared_anchors(rows: DataFrame, buckets: int) -> DataFrame:
             place, h = shard.anchors(shard.open_starts([ranges_of(c) for c in batch.column(3).to_pylist()]))
             doc = shard.doc_of(place)
             order = np.argsort(h, kind="stable")
-            runs = np.flatnonzero(np.concatenate(([True], h[order][1:] != h[order][:-1]))) if len(h) else np.zeros(0, np.int64)
-            yield entries(batch.column(0).to_numpy(), batch.column(1).to_numpy(), doc, place - shard.starts[doc], h[None], order, runs, buckets, later=False)
+            bucket = (h % np.uint64(buckets)).astype(np.int64)
+            lo = (h >> np.uint64(32)).astype(np.uint32)
+            yield entries(batch, doc, place - shard.starts[doc], np.zeros(len(doc), np.int64), h, lo, bucket, order, runs_of(order, h), later=False)
 
     return rows.mapInArrow(emit, ENTRIES_DDL).groupBy("bucket").applyInArrow(answers(later=False), FOUND_DDL)
 
 
 def repeated_suffixes(rows: DataFrame, buckets: int) -> DataFrame:
-    """doc_id, tag, places: starts near shared anchors whose match an earlier document has."""
+    """doc_id, tag, places, sizes: starts near shared anchors whose match an earlier document has.
+
+    rows: doc_id, tag, text, phrases, anchors.
+    """
     reach = MATCH - ANCHOR
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -286,43 +351,49 @@ def repeated_suffixes(rows: DataFrame, buckets: int) -> DataFrame:
             shard = Shard(batch.column(2).to_pylist())
             near = np.zeros(shard.n + 1, np.int32)
             for start, cell in zip(shard.starts.tolist(), batch.column(4).to_pylist(), strict=True):
-                at = start + places_of(cell)
+                at = start + ranges_of(cell)[0]
                 np.add.at(near, np.maximum(at - reach, start), 1)
                 np.add.at(near, at + 1, -1)
             starts = shard.open_starts([ranges_of(c) for c in batch.column(3).to_pylist()])
             place = np.flatnonzero(starts & (np.cumsum(near[:-1]) > 0))
             doc = shard.doc_of(place)
-            order, runs, digest = shard.suffixes(place)
-            yield entries(batch.column(0).to_numpy(), batch.column(1).to_numpy(), doc, place - shard.starts[doc], digest, order, runs, buckets, later=True)
+            order, runs, hi, lo = shard.suffixes(place)
+            bucket = (hi % np.uint64(buckets)).astype(np.int64)
+            yield entries(batch, doc, place - shard.starts[doc], np.ones(len(doc), np.int64), hi, lo, bucket, order, runs, later=True)
 
     return rows.mapInArrow(emit, ENTRIES_DDL).groupBy("bucket").applyInArrow(answers(later=True), FOUND_DDL)
 
 
-def removal(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """What to remove, by row: phrases (ranges of starts), and further starts. rows: doc_id, tag, text, without nulls."""
-    phrases = settle(parse(rows), "parse")
-    first = phrases.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
-    again = phrases.join(first.select("digest", "first"), "digest").where(F.col("doc_id") > F.col("first"))
-    again = settle(per_row(again.withColumn("range", F.struct("start", "size")), "range", "ranges"), "phrases")
-    text_bytes = phrases.agg(F.coalesce(F.sum("size"), F.lit(0)).cast("bigint").alias("n")).first()["n"]
-    buckets = max(1, text_bytes // BUCKET_TEXT)
-    anchors = settle(per_row(shared_anchors(with_rows(rows, again, "left"), buckets), "places", "anchors"), "anchors")
-    near = with_rows(with_rows(rows, anchors, "inner"), again, "left").select("doc_id", "tag", "text", "ranges", "anchors")
-    starts = settle(per_row(repeated_suffixes(near, buckets), "places", "starts"), "starts")
-    return again, starts
+def whole_copies(rows: DataFrame) -> DataFrame:
+    """_doc, _tag of the texts that an earlier document has whole; texts are compared by 128 bits."""
+    light = rows.select("doc_id", "tag", F.xxhash64("text").alias("x"), F.xxhash64(F.lit(MATCH), "text").alias("y"))
+    first = light.groupBy("x", "y").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
+    again = light.join(first, ["x", "y"]).where("doc_id > first")
+    return again.select(F.col("doc_id").alias("_doc"), F.col("tag").alias("_tag"), F.lit(True).alias("whole")).distinct()
+
+
+def removal(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What to remove, by row: whole texts, phrases, and further starts. rows: doc_id, tag, text, without nulls."""
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).cast("bigint").alias("n")).first()["n"]
+    buckets = max(LEAST_BUCKETS, size // BUCKET_TEXT)
+    copies = settle(whole_copies(rows), "copies")
+    named = copies.select("_doc", "_tag")
+    rows = with_rows(rows, F.broadcast(named) if copies.count() <= BROADCAST_COPIES else named, "left_anti")
+    phrases = settle(per_row(repeated_phrases(rows, buckets), "phrases"), "phrases")
+    anchors = settle(per_row(shared_anchors(with_rows(rows, phrases, "left"), buckets), "anchors"), "anchors")
+    near = with_rows(with_rows(rows, anchors, "inner"), phrases, "left").select("doc_id", "tag", "text", "phrases", "anchors")
+    starts = settle(per_row(repeated_suffixes(near, buckets), "starts"), "starts")
+    return copies, phrases, starts
 
 
-def removed_bytes(data: bytes, ranges: list[tuple[int, int]], starts: np.ndarray) -> np.ndarray:
+def removed_bytes(data: bytes, whole: bool | None, *cells: list | None) -> np.ndarray:
     """A mask of the bytes that the matches cover."""
-    n = len(data)
-    change = np.zeros(n + 1, np.int32)
-    if ranges:
-        b = np.array([r[0] for r in ranges], np.int64)
-        e = np.minimum(b + np.array([r[1] for r in ranges], np.int64) + MATCH - 1, n)
+    if whole:
+        return np.full(len(data), len(data) >= MATCH)
+    change = np.zeros(len(data) + 1, np.int32)
+    for b, n in map(ranges_of, cells):
         np.add.at(change, b, 1)
-        np.add.at(change, e, -1)
-    np.add.at(change, starts, 1)
-    np.add.at(change, starts + MATCH, -1)
+        np.add.at(change, np.minimum(b + n + MATCH - 1, len(data)), -1)
     return np.cumsum(change[:-1]) > 0
 
 
@@ -339,7 +410,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     takes nothing from others. Rows that share a doc_id aren't earlier than each other; each returns a row.
     """
     rows = keyed(docs)
-    again, starts = removal(rows.where("doc_id IS NOT NULL AND text IS NOT NULL"))
+    copies, phrases, starts = removal(rows.where("doc_id IS NOT NULL AND text IS NOT NULL"))
     schema = pa.schema(
         [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
          ("kept_sha256", pa.string()), ("spans", pa.list_(pa.list_(pa.int64())))]
@@ -348,11 +419,11 @@ def repeats(docs: DataFrame) -> DataFrame:
     def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: dict[str, list] = {f.name: [] for f in schema}
-            for doc, text, ranges, places in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3, 4)), strict=True):
+            for doc, text, *found in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3, 4, 5)), strict=True):
                 data = (text or "").encode()
                 spans, kept, removed = [], data, 0
-                if ranges or places:
-                    gone = removed_bytes(data, ranges_of(ranges), places_of(places))
+                if any(found):
+                    gone = removed_bytes(data, *found)
                     edge = np.flatnonzero(np.diff(np.concatenate(([False], gone, [False])).astype(np.int8)))
                     spans = [[b, e - b] for b, e in edge.reshape(-1, 2).tolist()]
                     kept, removed = np.frombuffer(data, np.uint8)[~gone].tobytes(), int(gone.sum())
@@ -360,7 +431,8 @@ def repeats(docs: DataFrame) -> DataFrame:
                     out[f.name].append(v)
             yield arrow_rows(schema, **out)
 
-    marked = with_rows(with_rows(rows, again, "left"), starts, "left").select("doc_id", "tag", "text", "ranges", "starts")
+    marked = with_rows(with_rows(with_rows(rows, copies, "left"), phrases, "left"), starts, "left")
+    marked = marked.select("doc_id", "tag", "text", "whole", "phrases", "starts")
     return marked.mapInArrow(
         report, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, spans array<array<bigint>>"
     )
@@ -371,24 +443,25 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     A match may begin or end inside a character; what is left of such a character goes, too.
     """
-    names, text_type = docs.columns, docs.schema["text"].dataType
-    again, starts = removal(keyed(docs).where("doc_id IS NOT NULL AND text IS NOT NULL"))
+    names, text_type, own = docs.columns, docs.schema["text"].dataType, own_prefix(docs)
+    copies, phrases, starts = removal(keyed(docs).where("doc_id IS NOT NULL AND text IS NOT NULL"))
     rows = docs.withColumn("text", F.col("text").cast("string"))
-    own = ("_repeat_doc", "_repeat_tag", "_repeat_ranges", "_repeat_starts")
-    rows = rows.withColumns({own[0]: F.col("doc_id").cast("bigint"), own[1]: F.expr(TAG)})
-    for more, column, name in ((again, "ranges", own[2]), (starts, "starts", own[3])):
-        rows = rows.join(more.withColumnRenamed(column, name), (F.col(own[0]) == F.col("_doc")) & (F.col(own[1]) == F.col("_tag")), "left").select(*names, *own[:2], *(c for c in own[2:] if c in rows.columns or c == name))
-    at, schema = names.index("text"), T.StructType([*rows.select(*names).schema.fields, T.StructField("_repeat_cut", T.BooleanType())])
+    rows = rows.withColumns({own + "id": F.col("doc_id").cast("bigint"), own + "tag": F.expr(TAG)})
+    for more, column in ((copies, "whole"), (phrases, "phrases"), (starts, "starts")):
+        more = more.select(F.col("_doc").alias(own + "d"), F.col("_tag").alias(own + "t"), F.col(column).alias(own + column))
+        same = (F.col(own + "id") == F.col(own + "d")) & (F.col(own + "tag") == F.col(own + "t"))
+        rows = rows.join(more, same, "left").drop(own + "d", own + "t")
+    at, schema = names.index("text"), T.StructType([*rows.select(*names).schema.fields, T.StructField(own + "cut", T.BooleanType())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, changed = [], []
             n = len(names)
-            for text, ranges, places in zip(*(batch.column(i).to_pylist() for i in (at, n + 2, n + 3)), strict=True):
-                changed.append(bool(ranges or places))
+            for text, *found in zip(*(batch.column(i).to_pylist() for i in (at, n + 2, n + 3, n + 4)), strict=True):
+                changed.append(any(found))
                 if changed[-1]:
                     data = text.encode()
-                    gone = removed_bytes(data, ranges_of(ranges), places_of(places))
+                    gone = removed_bytes(data, *found)
                     text = np.frombuffer(data, np.uint8)[~gone].tobytes().decode(errors="ignore")
                 texts.append(text)
             columns = batch.columns[:n]
@@ -398,5 +471,5 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     out = rows.mapInArrow(cut, schema)
     if "n_chars" in names:
         kind = docs.schema["n_chars"].dataType
-        out = out.withColumn("n_chars", F.when(F.col("_repeat_cut"), F.char_length("text")).otherwise(F.col("n_chars")).cast(kind))
+        out = out.withColumn("n_chars", F.when(F.col(own + "cut"), F.char_length("text")).otherwise(F.col("n_chars")).cast(kind))
     return out.withColumn("text", F.col("text").cast(text_type)).select(*names)
