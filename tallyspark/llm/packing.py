@@ -18,7 +18,7 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import public_tokenizers
@@ -45,6 +45,8 @@ CACHE_BYTES = 48
 #: Texts tokenised together.
 TEXTS_AT_ONCE = 400
 ID = np.dtype("<u4")
+#: Marks that may follow a word; none of them begins or continues a match with letters.
+PUNCTUATION = "!%#*&$,.;:?|"
 
 
 @lru_cache(maxsize=2)
@@ -62,6 +64,7 @@ class WordIds:
     def __init__(self, path: str) -> None:
         self.encode = tokenizer(path).encode
         self.known: dict[bytes, bytes] = {b"": b""}
+        self.tails: dict[str, bytes] = {}
         self.ends = np.zeros(max(tokenizer(path).get_vocab().values()) + 1, bool)
         for token, i in tokenizer(path).get_vocab().items():
             self.ends[i] = token.endswith("</w>")
@@ -70,52 +73,63 @@ class WordIds:
         return np.asarray(self.encode(text, add_special_tokens=False).ids, ID).tobytes()
 
     def learn(self, words: list[bytes]) -> dict[bytes, bytes]:
-        """Ids of words not known yet. Latin words of letters alone end in one end-of-word token: they go in one call."""
+        """Ids of words not known yet.
+
+        A word of Latin letters ends in its one end-of-word token, so such words go to the tokenizer together. So do
+        the letters of a word with punctuation after them, which the tokenizer's pattern parts from letters.
+        """
+        letters: dict[str, bytes] = {}
+        ending: list[tuple[bytes, str, str]] = []
         found: dict[bytes, bytes] = {}
-        letters = []
         for word in words:
             text = word.decode()
-            if text.isalpha() and max(text) < "ɐ":
-                letters.append((word, text))
-            else:
-                core = text.rstrip("!%#*&$,.;:?")
-                tail = text[len(core) :]
-                if tail and core.isascii() and core.isalpha():
-                    found[word] = self.whole(core) + self.whole(tail)
-                else:
-                    found[word] = self.whole(text)
-        for i in range(0, len(letters), 500):
-            part = letters[i : i + 500]
-            ids = np.asarray(self.encode(" ".join(t for _, t in part), add_special_tokens=False).ids, ID)
-            stops = np.flatnonzero(self.ends[ids]) + 1
+            core = text.rstrip(PUNCTUATION)
+            if not core.isalpha() or max(core) >= "ɐ":
+                found[word] = self.whole(text)
+                continue
+            known = self.known.get(core.encode()) if len(core) < len(text) else None
+            letters[core] = known if known is not None else b""
+            if len(core) < len(text):
+                ending.append((word, core, text[len(core) :]))
+        open_ = [c for c, ids in letters.items() if not ids]
+        for i in range(0, len(open_), 500):
+            part = open_[i : i + 500]
+            ids = np.asarray(self.encode(" ".join(part), add_special_tokens=False).ids, ID)
+            stops = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
             if len(stops) == len(part):
                 data = ids.tobytes()
-                begin = 0
-                for (word, _), stop in zip(part, stops.tolist(), strict=True):
-                    found[word] = data[4 * begin : 4 * stop]
-                    begin = stop
+                letters.update(zip(part, (data[b:e] for b, e in zip([0, *stops], stops, strict=False)), strict=True))
             else:
-                found.update((word, self.whole(text)) for word, text in part)
+                letters.update((text, self.whole(text)) for text in part)
+        for word, core, tail in ending:
+            found[word] = letters[core] + self.of_tail(tail)
+        found.update((core.encode(), ids) for core, ids in letters.items())
         return found
 
+    def of_tail(self, tail: str) -> bytes:
+        if tail not in self.tails:
+            if len(self.tails) > 10_000:
+                self.tails.clear()
+            self.tails[tail] = self.whole(tail)
+        return self.tails[tail]
+
     def of_texts(self, texts: list[str | None]) -> list[bytes]:
         split: list[list[bytes] | None] = []
         for text in texts:
             data = (text or "").encode()
             # only ASCII letters are lowered here, which the tokenizer does too
             split.append(None if b"<|" in data else data.lower().replace(b"\n", b" ").split(b" "))
-        distinct = set(chain.from_iterable(w for w in split if w is not None))
-        new = self.learn([w for w in distinct if w not in self.known])
-        ids = self.known | new if new else self.known
-        out = [
-            self.whole(text or "") if words is None else b"".join(map(ids.__getitem__, words))
+        # A small dictionary of these texts' own words stays in the processor's cache; the large one doesn't.
+        known = self.known.get
+        own = {w: known(w) for w in set(chain.from_iterable(w for w in split if w is not None))}
+        new = self.learn([w for w, ids in own.items() if ids is None])
+        own.update(new)
+        short = (item for item in new.items() if len(item[0]) <= CACHE_BYTES)
+        self.known.update(islice(short, max(0, CACHE_WORDS - len(self.known))))
+        return [
+            self.whole(text or "") if words is None else b"".join(map(own.__getitem__, words))
             for text, words in zip(texts, split, strict=True)
         ]
-        room = CACHE_WORDS - len(self.known)
-        if room > 0:
-            short = [(w, i) for w, i in new.items() if len(w) <= CACHE_BYTES]
-            self.known.update(short[:room])
-        return out
 
 
 @lru_cache(maxsize=2)
