@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+from oracle import suite
 from oracle.sql import CTES, statement
-from tallyspark.plans.checks import CHECKS
 
 SELECTS: dict[str, str] = {}
 
@@ -457,23 +457,23 @@ def _suite() -> str:
     def add(table: str, test: str, column: str, counted: str) -> None:
         out.append(f"SELECT '{table}' AS table_name, '{test}' AS test, '{column}' AS column_name, {counted}")
 
-    for table, cte in _SUITE_TABLES.items():
-        spec = CHECKS[table]
-        for c in spec.required:
-            add(table, "not_null", c, f"count_if({c} IS NULL) AS failures FROM {cte}")
-        for c in spec.unique:
-            add(table, "unique", c, f"count(*) AS failures FROM (SELECT {c} FROM {cte} WHERE {c} IS NOT NULL GROUP BY 1 HAVING count(*) > 1) u")
-        for c, values in spec.accepted.items():
-            allowed = ", ".join(_literal(v) for v in values)
-            add(table, "accepted_values", c, f"count(DISTINCT {c}) AS failures FROM {cte} WHERE {c} NOT IN ({allowed})")
-        for c, parent in spec.parents.items():
-            add(table, "relationships", c, f"count(DISTINCT {c}) AS failures FROM {cte} WHERE {c} NOT IN (SELECT {c} FROM {_TABLES[parent]})")
-        if spec.combination:
-            keys = ", ".join(spec.combination)
-            add(table, "unique_combination", "+".join(spec.combination),
-                f"count(*) AS failures FROM (SELECT {keys} FROM {cte} GROUP BY ALL HAVING count(*) > 1) u")
-        if spec.expression:
-            add(table, "expression", spec.expression, f"count(*) AS failures FROM {cte} WHERE NOT ({spec.expression})")
+    for table, columns in suite.REQUIRED.items():
+        for c in columns:
+            add(table, "not_null", c, f"count_if({c} IS NULL) AS failures FROM {_SUITE_TABLES[table]}")
+    for table, columns in suite.UNIQUE.items():
+        for c in columns:
+            add(table, "unique", c, f"count(*) AS failures FROM (SELECT {c} FROM {_SUITE_TABLES[table]} WHERE {c} IS NOT NULL GROUP BY 1 HAVING count(*) > 1) u")
+    for (table, c), values in suite.ACCEPTED.items():
+        allowed = ", ".join(_literal(v) for v in values)
+        add(table, "accepted_values", c, f"count(DISTINCT {c}) AS failures FROM {_SUITE_TABLES[table]} WHERE {c} NOT IN ({allowed})")
+    for (table, c), parent in suite.PARENTS.items():
+        add(table, "relationships", c, f"count(DISTINCT {c}) AS failures FROM {_SUITE_TABLES[table]} WHERE {c} NOT IN (SELECT {c} FROM {_TABLES[parent]})")
+    for table, columns in suite.COMBINATION.items():
+        keys = ", ".join(columns)
+        add(table, "unique_combination", "+".join(columns),
+            f"count(*) AS failures FROM (SELECT {keys} FROM {_SUITE_TABLES[table]} GROUP BY ALL HAVING count(*) > 1) u")
+    for table, condition in suite.EXPRESSION.items():
+        add(table, "expression", condition, f"count(*) AS failures FROM {_SUITE_TABLES[table]} WHERE NOT ({condition})")
     return " UNION ALL ".join(out)
 
 

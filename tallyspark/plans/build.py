@@ -30,7 +30,7 @@ class Settings:
 
     captures: Sequence[dt.date]
     contracts: Mapping[str, FeedContract] = field(default_factory=lambda: CONTRACTS)
-    regions: Mapping[str, Sequence[str]] = field(default_factory=lambda: REGION_SPELLINGS)
+    regions: Sequence[tuple[str, str]] = REGION_SPELLINGS
     spine: tuple[dt.date, dt.date] = (SPINE_START, SPINE_END)
     fiscal_start: int = FISCAL_START_MONTH
 

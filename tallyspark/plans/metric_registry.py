@@ -58,6 +58,7 @@ TIME_GRAINS = {
     "fiscal_month": ("fiscal_year", "fiscal_month"),
 }
 
+# The slices a metric may have.
 DIMENSIONS = {
     "region": Dimension("region_name", "dim_region", "region_sk", description="Region of the sale or posting."),
     "channel": Dimension("channel_name", "dim_channel", "channel_sk", description="Sales channel."),
@@ -75,6 +76,7 @@ DIMENSIONS = {
     ),
 }
 
+# The filters a metric may have, and how their values are read.
 FILTERS = {
     "region": Filter(DIMENSIONS["region"]),
     "channel": Filter(DIMENSIONS["channel"]),
@@ -92,6 +94,7 @@ _SALES_DIMENSIONS = (
 _SLICES = ("region", "channel", "customer_segment", "product_category", "fiscal_year")
 _OPEX_ACCOUNTS = ("6000", "6100", "6200")
 
+# The governed metrics.
 METRICS = {
     "net_revenue": Metric(
         label="Net revenue",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,10 +17,9 @@ REPORTING_CURRENCY = "USD"
 LINEAGE = ("_loaded_at", "_source_file", "_batch_id")
 
 
-def region_map(spark: SparkSession, spellings: Mapping[str, Iterable[str]]) -> DataFrame:
+def region_map(spark: SparkSession, spellings: Iterable[tuple[str, str]]) -> DataFrame:
     """Seed table raw_region -> region_canonical."""
-    rows = [(raw, canonical) for canonical, raws in spellings.items() for raw in raws]
-    return spark.createDataFrame(rows, "raw_region string, region_canonical string")
+    return spark.createDataFrame(list(spellings), "raw_region string, region_canonical string")
 
 
 def conform_region(lines: DataFrame, regions: DataFrame) -> DataFrame:

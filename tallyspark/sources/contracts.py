@@ -174,9 +174,21 @@ FX_RATES = FeedContract(
 CONTRACTS = {c.feed: c for c in (POS_ORDERS, GL_EXTRACT, CUSTOMER_MASTER, PRODUCT_MASTER, FX_RATES)}
 
 # Observed region spellings and their canonical region.
-REGION_SPELLINGS = {
-    "Northeast": ("Northeast", "NorthEast", "N. East", "northeast"),
-    "Southeast": ("Southeast", "SouthEast", "S. East", "southeast"),
-    "Midwest": ("Midwest", "MidWest", "Mid-West", "midwest"),
-    "West": ("West", "WEST", "W.", "west"),
-}
+REGION_SPELLINGS = (
+    ("Northeast", "Northeast"),
+    ("NorthEast", "Northeast"),
+    ("N. East", "Northeast"),
+    ("northeast", "Northeast"),
+    ("Southeast", "Southeast"),
+    ("SouthEast", "Southeast"),
+    ("S. East", "Southeast"),
+    ("southeast", "Southeast"),
+    ("Midwest", "Midwest"),
+    ("MidWest", "Midwest"),
+    ("Mid-West", "Midwest"),
+    ("midwest", "Midwest"),
+    ("West", "West"),
+    ("WEST", "West"),
+    ("W.", "West"),
+    ("west", "West"),
+)

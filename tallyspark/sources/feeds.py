@@ -133,7 +133,9 @@ def read_text_columns(spark: SparkSession, paths: Sequence[str], columns: Sequen
         .csv(list(paths))
     )
     texts = [F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in columns]
-    return raw.select(*texts, F.col(CORRUPT).isNotNull().alias(MALFORMED), F.col(FILE_PATH).alias("_path"))
+    # Spark refuses to read the mark alone, so it is always read beside a cell.
+    malformed = (F.length(F.coalesce(F.col(f"`{columns[0]}`"), F.lit(""))) >= 0) & F.col(CORRUPT).isNotNull()
+    return raw.select(*texts, malformed.alias(MALFORMED), F.col(FILE_PATH).alias("_path"))
 
 
 def stamp(rows: DataFrame, loaded_at: Column, source_file: Column, batch_id: Column, source_system: str) -> DataFrame:

@@ -23,8 +23,6 @@ from tallyspark.operators.upsert import upsert
 LOG_SCHEMA = "version bigint, schema string, parts array<struct<value:string,path:string>>, batches array<string>"
 PART = "part"
 NO_PARTITION = "none"
-# Write tasks per partition, so a month that holds most rows is not one task's work.
-FILES_PER_PARTITION = 64
 
 
 @dataclass(frozen=True)
@@ -145,8 +143,8 @@ class TableStore:
             if touched:
                 merged = upsert(self._load(live.schema, touched).withColumn(PART, value), batch, keys)
         path = self._fresh(name)
-        spread = F.pmod(F.xxhash64(*keys), F.lit(FILES_PER_PARTITION))
-        merged.repartition(PART, spread).write.partitionBy(PART).parquet(path)
+        # Adaptive execution splits a month that holds most rows by size, and joins small ones.
+        merged.hint("rebalance", PART).write.partitionBy(PART).parquet(path)
         # Every merged row lies in a touched partition; some of those may be empty now.
         folder = F.regexp_extract("_metadata.file_path", f"/{PART}=([^/]+)/", 1)
         filled = {r[0] for r in self.spark.read.schema(new.schema).parquet(path).select(folder).distinct().collect()}

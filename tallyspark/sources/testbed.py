@@ -37,9 +37,9 @@ ACCOUNT_NAMES = {
 OPEX_PERCENT = {"6000": 18, "6100": 6, "6200": 4}
 
 
-def region_spellings() -> dict[str, tuple[str, ...]]:
-    """Spellings the seed map knows: the name, lower case, two letters and a dot."""
-    return {name: (name, name.lower(), name[:2] + ".") for name in REGION_NAMES}
+def region_spellings() -> list[tuple[str, str]]:
+    """(spelling, name) the seed map knows: the name, lower case, two letters and a dot."""
+    return [(raw, name) for name in REGION_NAMES for raw in (name, name.lower(), name[:2] + ".")]
 
 
 _window = {"min": "1995-01-01", "max": "2001-12-31"}

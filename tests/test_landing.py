@@ -130,6 +130,11 @@ def test_malformed_rows_reject_their_file(spark, store, drop):
     assert {("customer_master_more.csv", "malformed_row", 1), ("customer_master_less.csv", "malformed_row", 1)} <= found
 
 
+def test_a_file_without_any_contract_column_is_rejected(spark, store, drop):
+    (drop / "customer_master_odd.csv").write_text("alpha,beta\n1,2\n")
+    assert land(spark, store, drop, CUST) == [("customer_master_odd.csv", "reject", 1)]
+
+
 def test_one_bad_layout_does_not_stop_the_run(spark, store, drop):
     row = "2022-02-01,CUST-000001,A,SMB,West,2021-01-01\n"
     (drop / "customer_master_twice.csv").write_text(CUST_HEADER.replace("region", "Customer_ID") + row)
