@@ -7,6 +7,7 @@ would, and read back from there.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable
 
@@ -26,7 +27,7 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local["):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     return f"{spark.conf.get('spark.sql.warehouse.dir')}/working-tables"
 
