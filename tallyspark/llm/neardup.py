@@ -39,7 +39,7 @@ PERCENT = 80
 SKETCH_WORDS = 48
 #: Ids of texts to compare that are broadcast, 8 bytes each; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000
 #: Members compared with one centre in one task.
 MEMBERS_PER_SALT = 2000
 

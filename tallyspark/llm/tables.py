@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from functools import cache
@@ -20,8 +21,17 @@ RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 HOME = str(Path(__file__).resolve().parents[2])
 
 
+#: Rows that a Python worker gets at a time, in place of Spark's default; texts are far longer than usual cells.
+BATCH_ROWS = 2_000
+DEFAULT_BATCH_ROWS = 10_000
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def reachable(spark: SparkSession) -> None:
-    """Python workers look for this package where the driver found it, too."""
+    """Python workers look for this package where the driver found it, too, and get texts in batches that bound
+    their memory. A session that sets its own batch size keeps it."""
+    if int(spark.conf.get(BATCH_SETTING)) == DEFAULT_BATCH_ROWS:
+        spark.conf.set(BATCH_SETTING, BATCH_ROWS)
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if HOME not in known.split(os.pathsep):
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([HOME, *filter(None, [known])])
@@ -37,7 +47,7 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     return _own_folder(spark.sparkContext.applicationId)
 

@@ -34,7 +34,7 @@ SHRINK = 2e-4
 LEAST_ROWS = 5
 LEAST_CHI2 = 24.0
 SEED = 7
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000
 FOLDS = 5
 
 
