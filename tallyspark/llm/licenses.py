@@ -15,6 +15,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,25 +31,74 @@ SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Templates searched for in one pass over the texts.
 TEMPLATES_AT_ONCE = 256
 
-#: Notices as their licenses word them.
-TEMPLATES = (
+#: Texts of whole licenses, without copyright lines and appendices on how to apply them, one file each.
+TEXTS = Path(__file__).parent / "license_texts"
+
+GNU = "under the terms of the GNU {} as published by the Free Software Foundation, either version {} of the License, or"
+CC = "This work is licensed under a Creative Commons {} International License."
+CC_TO = "This work is licensed under {}. To view a copy of this license, visit https://creativecommons.org/licenses/{}/4.0/"
+CC_NAMES = {
+    "by": "Attribution", "by-sa": "Attribution-ShareAlike", "by-nc": "Attribution-NonCommercial", "by-nd": "Attribution-NoDerivatives",
+    "by-nc-sa": "Attribution-NonCommercial-ShareAlike", "by-nc-nd": "Attribution-NonCommercial-NoDerivatives",
+}
+
+#: Headers the licenses give for use in files. GNU headers are cut to the sentence that tells license and version apart.
+HEADERS = (
+    ("agpl-3.0", GNU.format("Affero General Public License", "3")),
+    ("gpl-2.0", GNU.format("General Public License", "2")),
+    ("gpl-2.0", "under the terms of the GNU General Public License version 2 as published by the Free Software Foundation"),
+    ("gpl-3.0", GNU.format("General Public License", "3")),
+    ("lgpl-2.0", GNU.format("Library General Public License", "2")),
+    ("lgpl-2.1", GNU.format("Lesser General Public License", "2.1")),
+    ("lgpl-3.0", GNU.format("Lesser General Public License", "3")),
+    ("apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with '
+     "the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law "
+     "or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR "
+     "CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and "
+     "limitations under the License."),
+    ("mpl-1.1", 'The contents of this file are subject to the Mozilla Public License Version 1.1 (the "License"); you may not use this '
+     "file except in compliance with the License."),
+    ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+     "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    ("bsl-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    ("epl-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0"),
+    ("bsd-3-clause", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
+    ("mit", "Use of this source code is governed by an MIT-style license that can be found in the LICENSE file"),
+    *((f"cc-{k}-4.0", CC.format(f"{v} 4.0")) for k, v in CC_NAMES.items()),
+    *((f"cc-{k}-4.0", CC_TO.format(f"CC {k.upper()} 4.0", k)) for k in CC_NAMES),
+)
+
+#: Short notices people write. None for LGPL and AGPL: MPL 2.0's own text holds what such a notice would say.
+NOTICES = (
+    ("apache-2.0", "Released under the Apache License, Version 2.0."),
+    ("bsd-2-clause", "Licensed under the BSD 2-Clause License."),
+    ("bsd-3-clause", "Licensed under the BSD 3-Clause License."),
+    ("gpl-2.0", "under the GNU General Public License, version 2"),
+    ("gpl-3.0", "under the GNU General Public License, version 3"),
+    ("isc", "Licensed under the ISC License."),
+    ("mit", "Licensed under the MIT License."),
+    ("mit", "Distributed under the MIT License."),
+    ("mit", "Available under the MIT License."),
+    *((f"cc-{k}-4.0", f"Licensed under CC {k.upper()} 4.0.") for k in CC_NAMES),
     ("apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("cc-by-nc-4.0", "Licensed under CC BY-NC 4.0."),
     ("gpl-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("mit", "Released under the MIT License."),
     ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 )
 
+#: Pairs of license and wording; a license may have several wordings.
+TEMPLATES = (*((f.stem, f.read_text(encoding="utf-8")) for f in sorted(TEXTS.glob("*.txt"))), *HEADERS, *NOTICES)
+
 
 @dataclass(frozen=True)
 class Class:
-    """Templates of like length, as sets of shingle hashes."""
+    """Templates of like length: the number of distinct shingles of each, by its place among the templates."""
 
-    templates: dict[str, tuple[int, ...]]
+    sizes: dict[int, int]
 
     @property
     def longest(self) -> int:
-        return max(len(t) for t in self.templates.values())
+        return max(self.sizes.values())
 
     @property
     def stride(self) -> int:
@@ -64,7 +114,7 @@ class Class:
             needed = -(-n * PERCENT // 100)
             return needed / (self.window + n - needed)
 
-        j = min(least(len(t)) for t in self.templates.values())
+        j = min(map(least, self.sizes.values()))
         return 1 if j >= 1 else math.ceil(math.log(MISS) / math.log(1 - j))
 
 
@@ -89,20 +139,28 @@ def table(spark: SparkSession, rows: Sequence[tuple], *names: str) -> DataFrame:
     return spark.range(1).select(F.inline(F.array(*structs)))
 
 
+def shingle_sets(rows: DataFrame) -> DataFrame:
+    """Column `template`, the distinct shingles of `text`, in its place. One step each, so that words are split once."""
+    rows = rows.withColumn("words", words_of(F.col("text"))).withColumn("template", shingles_of(F.col("words")))
+    return rows.withColumn("template", F.array_sort(F.array_distinct("template"))).drop("text", "words")
+
+
 def classes_of(spark: SparkSession, templates: Sequence[tuple[str, str]]) -> list[Class]:
     """Templates by length, doubling. A template without words can't be found and is left out."""
-    named = table(spark, templates, "name", "text").select("name", words_of(F.col("text")).alias("words"))
-    hashed = named.select("name", F.array_sort(F.array_distinct(shingles_of(F.col("words")))).alias("shingles"))
-    by_size: dict[int, dict[str, tuple[int, ...]]] = {}
-    for row in hashed.where(F.size("shingles") > 0).collect():  # the given templates
-        by_size.setdefault((len(row["shingles"]) - 1).bit_length(), {})[row["name"]] = tuple(row["shingles"])
+    named = table(spark, [(i, text) for i, (_, text) in enumerate(templates)], "number", "text")
+    by_size: dict[int, dict[int, int]] = {}
+    for row in shingle_sets(named).select("number", F.size("template").alias("n")).collect():  # the given templates
+        if row["n"]:
+            by_size.setdefault((row["n"] - 1).bit_length(), {})[row["number"]] = row["n"]
     return [Class(by_size[k]) for k in sorted(by_size)]
 
 
 def licensed(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES) -> DataFrame:
     """doc_id, license, containment (the largest of the text's windows) of each template a text holds to 80 percent.
 
-    Null and empty texts hold none. Rows that repeat a doc_id count as one document. Template names must differ.
+    Null and empty texts hold none. Rows that repeat a doc_id count as one document. A license may have several
+    templates; the best counts. Licenses that share most of their wording (BSD 2 and 3, a GNU license's neighbours) may
+    both be found; containment tells which fits better.
     """
     blocks = [templates[i : i + TEMPLATES_AT_ONCE] for i in range(0, len(templates), TEMPLATES_AT_ONCE)]
     found = [_scan(docs, block) for block in blocks]
@@ -111,7 +169,7 @@ def licensed(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES)
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
-    return out
+    return out if len(found) == 1 else out.groupBy("doc_id", "license").agg(F.max("containment").alias("containment"))
 
 
 def _scan(docs: DataFrame, templates: Sequence[tuple[str, str]]) -> DataFrame:
@@ -121,14 +179,15 @@ def _scan(docs: DataFrame, templates: Sequence[tuple[str, str]]) -> DataFrame:
     bands = max((c.bands for c in classes), default=1)
 
     # The band keys of the templates: a window can only be a candidate through one of them.
-    shingles = table(
+    named = table(
         spark,
-        [(number, name, list(hashes)) for number, c in enumerate(classes) for name, hashes in c.templates.items()],
-        "class", "license", "template",
+        [(number, t, *templates[t]) for number, c in enumerate(classes) for t in c.sizes],
+        "class", "number", "license", "text",
     )
+    shingles = shingle_sets(named)
     own_bands = F.element_at(F.array(*[F.lit(c.bands) for c in classes]), F.col("class") + 1)
     lowest = F.array(*[F.array_min(keyed(F.col("template"), b)) for b in range(bands)])
-    keys = shingles.select("class", "license", "template", F.posexplode(F.slice(lowest, F.lit(1), own_bands)).alias("band", "low"))
+    keys = shingles.select("class", "number", F.posexplode(F.slice(lowest, F.lit(1), own_bands)).alias("band", "low"))
     wanted: dict[tuple[int, int], list[int]] = {}
     smallest: set[int] = set()
     lowest_of = [F.element_at(F.array_sort(F.transform("template", lambda t: F.struct(F.xxhash64(t, F.lit(b)), t.alias("t")))), 1)["t"] for b in range(bands)]
@@ -167,6 +226,7 @@ def _scan(docs: DataFrame, templates: Sequence[tuple[str, str]]) -> DataFrame:
     lows = F.array(*[F.array_min(keyed(F.col("own"), b)) for b in range(bands)])
     retrieved = windows.select("doc_id", "class", "own", F.posexplode(lows).alias("band", "low"))
     retrieved = retrieved.join(F.broadcast(keys), ["class", "band", "low"])  # as many rows as bands x templates
+    retrieved = retrieved.join(F.broadcast(shingles.drop("class")), "number")
     shared = F.size(F.array_intersect("own", "template"))
     verified = retrieved.where(shared * 100 >= F.size("template") * PERCENT)
     return verified.groupBy("doc_id", "license").agg(F.max(shared / F.size("template")).alias("containment"))

@@ -108,6 +108,23 @@ def test_notices_are_found_wherever_they_stand(spark, odd, none):
     assert rows(licenses.licensed(odd)) == [] and rows(licenses.licensed(none)) == []
 
 
+def test_licenses_are_found_by_their_own_wording(spark):
+    def text(name):
+        return (licenses.TEXTS / f"{name}.txt").read_text(encoding="utf-8")
+
+    names = sorted(f.stem for f in licenses.TEXTS.glob("*.txt"))
+    docs = [(i, "Copyright 2020 Someone. " * 7 + text(n) + " and code follows" * 9) for i, n in enumerate(names)]
+    mit = text("mit").split()
+    docs += [(100, "Licensed under the MIT License"), (101, " ".join(mit[: len(mit) * 9 // 10])), (102, " ".join(mit[: len(mit) // 2]))]
+    docs += [(103, "it is distributed under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version")]
+    docs += [(104, "w " * 9_000 + "\n# ".join(text("gpl-3.0").splitlines()) + " w" * 9_000), (105, "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.")]
+    got = {(r["doc_id"], r["license"]): r["containment"] for r in licenses.licensed(documents(spark, docs)).collect()}
+    assert all(got.get((i, n)) == 1.0 for i, n in enumerate(names))
+    assert not [r for r in got if r[0] < 100 and got[r] == 1.0 and names[r[0]] != r[1] and (names[r[0]], r[1]) != ("bsd-3-clause", "bsd-2-clause")]
+    assert {r for r in got if r[0] >= 100} == {(100, "mit"), (101, "mit"), (103, "lgpl-2.1"), (104, "gpl-3.0"), (105, "cc-by-sa-4.0")}
+    assert got[104, "gpl-3.0"] == 1.0 and 0.8 <= got[101, "mit"] < 1
+
+
 def test_license_plan_has_no_python(spark):
     plan = licenses.licensed(spark.read.parquet(f"{SMALL}/documents.parquet"))._jdf.queryExecution().executedPlan().toString()
     assert not [n for n in ("Python", "Arrow", "Pandas", "ExistingRDD", "Cartesian") if n in plan]
