@@ -36,6 +36,10 @@ LEAST_SAMPLES = 512
 GROUP_CHARS = 3_000_000
 BAND_BITS = 24
 BANDS = 42
+#: Bands read prefixes whose numbers of samples stand on a ladder of so many rungs to a doubling: the largest that the
+#: text reaches and the next lower ones. A likeness of 0.8 takes 0.8 of the longer's samples, less than two rungs.
+RUNGS = 6
+RUNGS_READ = 3
 
 MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93], np.uint64)
 
@@ -144,16 +148,34 @@ def likeness(a: str, b: str) -> float:
     return max(0.0, (2 * int((x[:both] == y[:both]).sum()) - both) / most)
 
 
+def rung_size(rung: int) -> int:
+    return int(LEAST_SAMPLES * 2 ** (rung / RUNGS) + 1e-9)
+
+
+def rungs(level: int, count: int) -> list[tuple[int, int]]:
+    """Levels and numbers of samples that a text's bands read: nearly all of it, and at most two rungs less.
+
+    Rungs below 0 hold for texts that lack samples of the level below; a text just under a level's edge reads them too.
+    """
+    top = max(r for r in range(-10 * RUNGS, RUNGS) if rung_size(r) <= count)
+    own = [(level, rung_size(r)) for r in range(top, top - RUNGS_READ, -1)]
+    above = [(level + 1, rung_size(r - RUNGS)) for r in range(top, top - RUNGS_READ, -1) if r - RUNGS > -RUNGS_READ]
+    return [x for x in dict.fromkeys(own + above) if x[1]]
+
+
+@lru_cache(maxsize=512)
+def picks(level: int, size: int) -> np.ndarray:
+    return np.random.default_rng((SEED, level, size)).integers(0, size, (BANDS, BAND_BITS))
+
+
 def bands(fingerprint: str) -> list[int]:
-    """Keys of bit-sampled bands, at the own level and the next: near texts may lie on both sides of a level's edge."""
+    """Keys of bit-sampled bands, over the own level's rungs and the next level's: near texts share at least one rung."""
     level, bits = opened(fingerprint)
     keys = []
-    for own in (level, level + 1):
-        sampled = at_level(level, bits, own)
-        for band in range(BANDS if len(sampled) else 0):
-            picks = np.random.default_rng((SEED, own, band)).integers(0, LEAST_SAMPLES // 2, BAND_BITS)
-            chosen = sampled[picks % len(sampled)] if len(sampled) < LEAST_SAMPLES // 2 else sampled[picks]
-            digest = hashlib.blake2b(chosen.tobytes() + bytes((own, band)), digest_size=8).digest()
+    for own, size in rungs(level, len(bits)) if len(bits) else []:
+        chosen = at_level(level, bits, own)[picks(own, size)]
+        for band, row in enumerate(chosen):
+            digest = hashlib.blake2b(row.tobytes() + f"{own} {size} {band}".encode(), digest_size=8).digest()
             keys.append(int.from_bytes(digest, "little", signed=True))
     return keys
 

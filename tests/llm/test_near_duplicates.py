@@ -149,3 +149,21 @@ def test_near_documents_share_bands(spark):
     got = {r["doc_id"]: r["component_id"] for r in fingerprints.near_documents(documents(spark, docs)).collect()}
     assert got[200] == 0 and got[None] is None and got[201] == 201
     assert sum(got[100 + i] == i for i in range(10)) >= 8 and len({got[i] for i in range(10)}) == 10
+
+
+@pytest.mark.parametrize("where", ["front", "middle", "end", "longer"])
+def test_bands_find_what_brute_force_finds(where):
+    """Pairs of likeness 0.8 to 0.9, of lengths on both sides of levels' edges, wherever the edit stands."""
+    draw = random.Random(where)
+    some = lambda n: "".join(draw.choice("abcdefgh ") for _ in range(n))
+    near = found = 0
+    for k in range(400):
+        n = draw.choice([180, 250, 330, 345, 420, 600, 680, 700, 1100, 1365, 1400, 2000])
+        a, m = some(n), int(n * draw.uniform(0.1, 0.22))
+        at = {"front": 0, "middle": n // 2 - m // 2, "end": n - m, "longer": n}[where]
+        b = a + some(m) if where == "longer" else a[:at] + some(m) + a[at + m :]
+        x, y = fingerprints.fingerprints([a, b])
+        if 0.8 <= fingerprints.likeness(x, y) <= 0.9:
+            near += 1
+            found += bool(set(fingerprints.bands(x)) & set(fingerprints.bands(y)))
+    assert near >= 30 and found >= 0.95 * near, (near, found)
