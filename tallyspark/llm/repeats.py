@@ -10,7 +10,8 @@ Texts are bytes; a match is a string of 50 bytes that also starts in a document
    or ends inside a phrase. Every string holds a window-minimal 26-byte anchor; only starts around anchors that two
    documents share are compared further.
 3. Suffixes of the dictionary at these starts are sorted: each task orders its shard's suffixes to the match length and
-   keeps the earliest document of every run of equal ones; digest buckets combine the shards' orders into the corpus's.
+   keeps the earliest document of every run of equal ones; runs of all shards
+   meet by digest; no order of the corpus is formed.
    A suffix that is not in its earliest document is removed.
 
 Entries travel as packed arrays by digest bucket. A shard sends one document's entries per digest at most and settles
