@@ -1,5 +1,20 @@
 """DuckDB statements for the queries that SQL can express."""
 
+# Vector codes: rounds are the same statement over the codebook before.
+_ROUNDS = 6
+_NEAREST = """
+  SELECT row, part, arg_min(entry, d * 16 + entry) AS entry, min(d) AS d
+  FROM (SELECT p.row, p.part, c.entry, CAST(sum((p.x - c.x) * (p.x - c.x)) AS BIGINT) AS d
+        FROM place p JOIN book{n} c USING (part, pos) GROUP BY p.row, p.part, c.entry)
+  GROUP BY row, part"""
+_LEARN = """, near{n} AS ({nearest}
+), mean{n} AS (
+  SELECT part, entry, pos, (s - ((s % n) + n) % n) // n AS x
+  FROM (SELECT part, entry, pos, sum(x) AS s, CAST(count(*) AS HUGEINT) AS n FROM near{n} JOIN place USING (row, part) GROUP BY part, entry, pos)
+), book{next} AS (
+  SELECT part, entry, pos, CAST(coalesce(m.x, b.x) AS BIGINT) AS x FROM book{n} b LEFT JOIN mean{n} m USING (part, entry, pos)
+)"""
+
 ORACLES = {
     "op2_decontaminate": r"""
 WITH doc AS (
@@ -95,5 +110,47 @@ WITH doc AS (
 )
 SELECT doc_id, license, max(len(list_intersect(own, shingles)) / len(shingles)) AS containment
 FROM windowed WHERE 100 * len(list_intersect(own, shingles)) >= 80 * len(shingles) GROUP BY ALL
+""",
+    "op12_vector_codes": """
+WITH kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id) AS row, vec_id, label, list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), place AS (
+  SELECT row, vec_id, i // (n // 8) AS part, i % (n // 8) AS pos, x
+  FROM (SELECT row, vec_id, len(v) AS n, unnest(range(0, len(v))) AS i, unnest(v) AS x FROM kept)
+), book0 AS (
+  SELECT part, row - 1 AS entry, pos, x FROM place WHERE row <= 16
+)"""
+    + "".join(_LEARN.format(n=n, next=n + 1, nearest=_NEAREST.format(n=n)) for n in range(_ROUNDS))
+    + ", last AS ("
+    + _NEAREST.format(n=_ROUNDS)
+    + """
+), code AS (
+  SELECT row, string_agg(format('{:02x}', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM last GROUP BY row
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY part, entry, pos)) FROM book6) AS codebooks_sha256
+FROM kept JOIN code USING (row)
+""",
+    "op13_fill_in_middle": r"""
+WITH doc AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS units, sha256('7:' || doc_id) AS hex FROM documents
+), drawn AS (
+  SELECT *, len(units) AS n, CAST('0x' || substr(hex, 1, 8) AS BIGINT) % (len(units) + 1) AS first, CAST('0x' || substr(hex, 9, 8) AS BIGINT) % (len(units) + 1) AS second,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') THEN 'plain'
+              WHEN CAST('0x' || substr(hex, 25, 8) AS BIGINT) % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM doc
+), cut AS (
+  SELECT *, array_to_string(units[1:least(first, second)], '') AS prefix,
+         array_to_string(units[least(first, second) + 1:greatest(first, second)], '') AS middle,
+         array_to_string(units[greatest(first, second) + 1:], '') AS suffix
+  FROM drawn
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM cut
 """,
 }

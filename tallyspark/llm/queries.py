@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import archive, decontaminate, fingerprints, licenses, neardup, packing, repeats, tokens, toxicity, urls
+from tallyspark.llm import (
+    archive, codes, decontaminate, fingerprints, infill, licenses, neardup, packing, pieces, repeats, tokens, toxicity, urls,
+)
 from tallyspark.llm.tables import read
 
 
@@ -59,6 +61,24 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def _sha256(column: str) -> Column:
+    return F.sha2(F.col(column).cast("binary"), 256).alias(f"{column}_sha256")
+
+
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    decoded = pieces.decode(pieces.encode(read(spark, sf_dir, "documents"))).withColumnRenamed("text", "decoded")
+    return decoded.select("doc_id", pieces.token_count().alias("n_tokens"), _sha256("ids"), _sha256("decoded"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compress(read(spark, sf_dir, "embeddings"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    restored = infill.restore(infill.fill_in_middle(read(spark, sf_dir, "documents")))
+    return restored.select("doc_id", "n", "form", "prefix_chars", "middle_chars", _sha256("output"), _sha256("restored"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -72,5 +92,8 @@ QUERIES = {
         op8_url_filters,
         op9_near_duplicates,
         op10_toxicity,
+        op11_sentencepiece,
+        op12_vector_codes,
+        op13_fill_in_middle,
     )
 }
