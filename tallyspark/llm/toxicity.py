@@ -2,9 +2,10 @@
 
 A document's terms are its distinct lower-cased words and their first letters (long compounds share them), hashed to a
 fixed number of slots. The model is a bias, a weight and a short vector per slot: a pair of terms adds the product of
-their vectors, which no sum of single weights can say. It is fitted on a bounded sample of labelled rows; only slots
-whose presence tells the classes apart in the sample are kept, so that long texts don't drown in slots that say
-nothing. Scoring reads every whole text.
+their vectors, which no sum of single weights can say. It is fitted on a bounded sample of labelled rows. Slots are kept
+whose presence tells the classes apart in the sample, alone or together with another slot: of a pair whose rows are
+toxic more or less often than its two slots lead to expect, both stay, even if neither says anything alone. The rest
+goes, so that long texts don't drown in slots that say nothing. Scoring reads every whole text.
 """
 
 from __future__ import annotations
@@ -33,6 +34,14 @@ SHRINK = 2e-4
 #: A slot is kept if it occurs in so many sample rows and its chi-square statistic is so large (p < 1e-6).
 LEAST_ROWS = 5
 LEAST_CHI2 = 24.0
+#: Pairs are looked for between so many of the slots that tell most alone and every slot, and among so many of the most
+#: frequent slots. A pair counts if its statistic is so large (p < 3e-10: there are millions of pairs).
+TELLING_SLOTS = 64
+FREQUENT_SLOTS = 1024
+LEAST_PAIR_CHI2 = 40.0
+#: Rows whose slots are laid out as a matrix at a time, and slots whose pairs are weighed at a time.
+BLOCK_ROWS = 1000
+BLOCK_SLOTS = 8192
 SEED = 7
 CACHE_WORDS = 150_000
 FOLDS = 5
@@ -88,6 +97,53 @@ class Machine:
         return 1.0 / (1.0 + np.exp(-np.clip(self.raw(rows), -30, 30)))
 
 
+def surprising(have: np.ndarray, toxic: np.ndarray, left: np.ndarray, right: np.ndarray, rate: float) -> np.ndarray:
+    """Pairs that are toxic more often, or less, than either slot and than both slots' log odds added.
+
+    Words that only come together, or of which one only comes with the other, lie between the slots' own rates."""
+
+    def odds(p: np.ndarray | float) -> np.ndarray:
+        return np.log(p) - np.log1p(-p)
+
+    def beyond(p: np.ndarray, sign: int) -> np.ndarray:
+        apart = sign * (toxic - have * p)
+        return (apart > 0) & (apart**2 >= LEAST_PAIR_CHI2 * (have * p * (1 - p) + 1))
+
+    left, right = left[:, None], right[None, :]
+    added = 1 / (1 + np.exp(-np.clip(odds(left) + odds(right) - odds(rate), -30, 30)))
+    above = beyond(np.maximum(left, right), 1) & beyond(added, 1)
+    return (have >= LEAST_ROWS) & (above | beyond(np.minimum(left, right), -1) & beyond(added, -1))
+
+
+def pair_counts(rows: list[np.ndarray], labels: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows, and toxic rows, that hold a slot of `left` and one of `right`."""
+    have, toxic = (np.zeros((len(left), len(right)), np.float32) for _ in range(2))
+    at = []
+    for slots in (left, right):
+        at.append(np.full(1 << SLOT_BITS, -1))
+        at[-1][slots] = np.arange(len(slots))
+    for b in range(0, len(rows), BLOCK_ROWS):
+        part, label = rows[b : b + BLOCK_ROWS], labels[b : b + BLOCK_ROWS]
+        if len(right) <= FREQUENT_SLOTS:  # so frequent that matrices are full
+            there = []
+            for column, n in zip(at, (len(left), len(right)), strict=True):
+                block = np.zeros((len(part), n + 1), np.float32)
+                block[np.repeat(np.arange(len(part)), [len(r) for r in part]), column[np.concatenate(part)]] = 1
+                there.append(block[:, :n])
+            have += there[0].T @ there[1]
+            toxic += there[0].T @ (there[1] * label[:, None].astype(np.float32))
+            continue
+        for r, y in zip(part, label, strict=True):
+            own = at[0][r]
+            own = own[own >= 0]
+            if len(own):
+                pairs = np.ix_(own, at[1][r][at[1][r] >= 0])
+                have[pairs] += 1
+                if y:
+                    toxic[pairs] += 1
+    return have, toxic
+
+
 def telling_slots(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     """For each slot its number among the kept ones, or -1."""
     n, positive = len(labels), labels.sum()
@@ -99,6 +155,21 @@ def telling_slots(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     spread = expected * (1 - positive / max(n, 1)) * (1 - have / max(n, 1))
     chi2 = np.where(spread > 0, (both - expected) ** 2 / np.maximum(spread, 1e-9), 0)
     keep = (have >= LEAST_ROWS) & (chi2 >= LEAST_CHI2)
+    if 0 < positive < n:
+        known = np.flatnonzero(have >= LEAST_ROWS)
+        alone = np.flatnonzero(keep)
+        alone = alone[np.argsort(-chi2[alone], kind="stable")[:TELLING_SLOTS]]
+        frequent = known[np.argsort(-have[known], kind="stable")[:FREQUENT_SLOTS]]
+        rate = positive / n
+        own = (both + rate) / (have + 1)
+        for left, right in ((alone, known), (frequent, frequent)):
+            pairs, toxic_pairs = pair_counts(rows, labels, left, right)
+            for b in range(0, len(right), BLOCK_SLOTS):
+                block, some = slice(b, b + BLOCK_SLOTS), right[b : b + BLOCK_SLOTS]
+                told = surprising(pairs[:, block], toxic_pairs[:, block], own[left], own[some], rate)
+                told &= left[:, None] != some[None, :]
+                keep[left[told.any(axis=1)]] = True
+                keep[some[told.any(axis=0)]] = True
     return np.where(keep, np.cumsum(keep) - 1, -1)
 
 

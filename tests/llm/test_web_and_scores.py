@@ -133,17 +133,61 @@ def test_license_plan_has_no_python(spark):
 # Toxicity
 
 
-def test_machine_learns_pairs():
-    """Neither term tells the classes apart alone; both together do."""
+def some_terms(draw, n, chance):
+    """Texts of terms 100 and up, and with the given chances terms 1 and 2."""
+    rows = []
+    for _ in range(n):
+        own = {k for k, p in enumerate(chance, 1) if draw.random() < p}
+        rows.append(np.array(sorted(own | set(draw.integers(100, 400, 12).tolist()))))
+    return rows
+
+
+def score(machine, rows):
+    return machine.score([np.sort(machine.kept[r][machine.kept[r] >= 0]) for r in rows])
+
+
+def test_machine_learns_a_pair_of_which_neither_term_tells():
+    """Toxic is exactly one of two terms: each alone is in as many clean texts as toxic ones."""
     draw = np.random.default_rng(1)
-    noise = [np.array(sorted(set(draw.integers(100, 130, 6)))) for _ in range(1200)]
-    kinds = draw.integers(0, 4, 1200)
-    texts = [np.concatenate([n, [[], [1], [2], [1, 2]][k]]).astype(np.int64) for n, k in zip(noise, kinds, strict=True)]
-    labels = (kinds == 3).astype(float)
-    machine = toxicity.fit(texts, labels)
-    kept = [machine.kept[t][machine.kept[t] >= 0] for t in texts]
-    assert ((machine.score(kept) >= 0.5) == (labels == 1)).mean() > 0.98
-    assert not machine.vectors.size or np.abs(machine.vectors).max() > 0.1
+    texts = some_terms(draw, 6000, (0.5, 0.5))
+    one = np.array([(1 in t) != (2 in t) for t in texts])
+    for term in (1, 2):
+        assert abs(one[[term in t for t in texts]].mean() - one.mean()) < 0.05
+    machine = toxicity.fit(texts[:4000], one[:4000])
+    assert machine.kept[1] >= 0 and machine.kept[2] >= 0
+    assert ((score(machine, texts[4000:]) >= 0.5) == one[4000:]).mean() > 0.98
+
+
+def test_machine_learns_a_neutral_mention_beside_an_insult():
+    draw = np.random.default_rng(2)
+    texts = some_terms(draw, 6000, (0.1, 0.2))  # 1 insults, 2 mentions a group
+    chance = [0.95 if 1 in t and 2 in t else 0.3 if 1 in t else 0.02 for t in texts]
+    machine = toxicity.fit(texts, draw.random(len(texts)) < chance)
+    both, insult, mention, none = score(machine, [np.array(x, int) for x in ([1, 2], [1], [2], [])])
+    assert both > 0.8 and insult < 0.5 and mention < 0.1 and none < 0.1
+    assert (machine.kept >= 0).sum() < 12  # words that say nothing stay out
+
+
+def test_raw_score_by_force():
+    draw = np.random.default_rng(3)
+    machine = toxicity.Machine(np.arange(20), 0.3, draw.normal(size=20), draw.normal(size=(20, 4)))
+    rows = [np.flatnonzero(draw.random(20) < p) for p in (0, 0.2, 0.5, 1)]
+    want = [
+        0.3 + sum(machine.weights[r]) + sum(machine.vectors[a] @ machine.vectors[b] for i, a in enumerate(r) for b in r[i + 1 :]) for r in rows
+    ]
+    assert np.allclose(machine.raw(rows), want)
+
+
+def test_pair_counts_by_force(monkeypatch):
+    draw = np.random.default_rng(4)
+    rows = some_terms(draw, 300, (0.3, 0.6))
+    labels = (draw.random(300) < 0.4).astype(float)
+    left, right = np.array([1, 2, 101]), np.arange(100, 140)
+    want = [[sum(w for r, w in zip(rows, weight) if a in r and b in r) for b in right] for weight in (np.ones(300), labels) for a in left]
+    for frequent in (1024, 8):  # as matrices, and row by row
+        monkeypatch.setattr(toxicity, "FREQUENT_SLOTS", frequent)
+        monkeypatch.setattr(toxicity, "BLOCK_ROWS", 70)
+        assert np.concatenate(toxicity.pair_counts(rows, labels, left, right)).tolist() == want
 
 
 def test_toxicity_of_given_labels(spark):
