@@ -509,6 +509,20 @@ SELECTS["metric_truncated"] = f"""
 SELECT *, true AS truncated FROM ({_metric("net_revenue", ["fiscal_year", "fiscal_month", "region"])}) m
 ORDER BY fiscal_year, fiscal_month, region LIMIT 40"""
 
+# Production path
+SELECTS["store_upsert"] = f"""
+SELECT order_line_id, CAST(CASE WHEN again AND quantity % 5 = 0 THEN order_date + 31 ELSE order_date END AS VARCHAR) AS order_date,
+       quantity + CASE WHEN again THEN 100 ELSE 0 END AS quantity, {double('net_revenue')}, {text('_loaded_at')}
+FROM (SELECT *, _loaded_at >= TIMESTAMP '1999-01-01' AS again FROM fact_sales) f"""
+SELECTS["additive_schema"] = f"""
+SELECT order_line_id, {text('order_date')}, quantity, CASE WHEN y = 1996 THEN channel END AS channel,
+       CASE WHEN y = 1997 THEN region END AS region, CASE WHEN y = 1997 THEN currency END AS currency
+FROM (SELECT *, year(order_date) AS y FROM silver_orders) s WHERE y BETWEEN 1995 AND 1997"""
+SELECTS["stream_audit_counters"] = "SELECT tool, decision, count(*) AS calls FROM audit_calls GROUP BY ALL"
+for _name, _same in {"silver_incremental": "silver_orders", "snapshot_stored": "snapshot_check", "stream_fact_sales": "fact_sales",
+                     "stream_landing": "landing_files", "build_increments": "fact_sales"}.items():
+    SELECTS[_name] = SELECTS[_same]
+
 for _name, _same in {"fact_sales_salted": "fact_sales", "point_in_time_salted": "point_in_time_join", "dq_orphans_salted": "dq_orphans"}.items():
     SELECTS[_name] = SELECTS[_same]
 

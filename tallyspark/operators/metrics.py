@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.operators.joins import BROADCAST_ROWS, rows_within, salted_join
@@ -20,6 +20,11 @@ from tallyspark.plans.metric_registry import DIMENSIONS, FILTERS, METRICS, TIME_
 YES = ("true", "1", "yes")
 
 
+#: Months of a calendar's days, named as the parts of facts stored by month.
+PART = "_part"
+MONTHS: dict[str, Callable[[], Column]] = {"dim_date": lambda: F.date_format("date_day", "yyyy-MM")}
+
+
 class MetricError(ValueError):
     """A request that the registry doesn't offer; the text lists everything that is wrong with it."""
 
@@ -102,16 +107,20 @@ def metric(
 
     rows, large = base, []
     for (table, key), columns in sorted(lookups.items()):
-        side = tables[table].select(F.col(key).alias(f"_{key}"), *sorted(columns))
         narrowing = [k for k in wanted if FILTERS[k].dimension.table == table]
+        # Where the fact is stored by month, a filter on the calendar also joins on the month, which prunes folders.
+        by_month = bool(narrowing) and table in MONTHS and PART in base.columns
+        month = [MONTHS[table]().alias("_month")] if by_month else []
+        side = tables[table].select(F.col(key).alias(f"_{key}"), *sorted(columns), *month)
         for k in narrowing:
             side = side.where(F.col(FILTERS[k].dimension.column).isin(*wanted[k]))
         # A filter on a dimension drops unmatched rows, which an inner join does sooner.
         how = "inner" if narrowing else "left"
         if rows_within(side, max_broadcast_rows):
-            rows = rows.join(F.broadcast(side), F.col(key) == F.col(f"_{key}"), how)
+            match = F.col(key) == F.col(f"_{key}")
+            rows = rows.join(F.broadcast(side), match & (F.col(PART) == F.col("_month")) if by_month else match, how)
         else:
-            large.append((key, side, how))
+            large.append((key, side.drop("_month"), how))
 
     if large:
         # Too large to broadcast: shrink the fact to one row per key combination.

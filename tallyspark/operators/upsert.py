@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,8 +27,8 @@ def newer_than(df: DataFrame, watermark: dt.datetime, col: str = "_loaded_at") -
 
 
 def upsert(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``new`` replace rows of ``existing`` with the same key. Columns only
-    one side has are appended and filled with NULL. Both sides hold a key once, so
-    neither has a hot key."""
-    kept = existing.join(new.select(*keys), list(keys), "left_anti")
-    return kept.unionByName(new, allowMissingColumns=True)
+    """Rows of ``new`` replace rows of ``existing`` with the same key; NULL keys are equal. Columns only one side has
+    are appended and filled with NULL. Both sides hold a key once, so neither has a hot key."""
+    arriving = new.select(*[F.col(k).alias(f"_new_{k}") for k in keys])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_new_{k}")) for k in keys])
+    return existing.join(arriving, same, "left_anti").unionByName(new, allowMissingColumns=True)

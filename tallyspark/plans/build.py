@@ -7,7 +7,7 @@ size is known from its footers, and lets a failed step start from the last commi
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,6 +24,10 @@ GOLD = ("dim_customer", "dim_product", "dim_date", "dim_region", "dim_channel",
 MARTS = ("monthly_revenue_bridge", "gross_margin_by_segment", "customer_cohort_retention")
 
 
+#: Governed tables stored by month.
+PARTITIONED: dict[str, Callable[[], Column]] = {"gold.fact_sales": lambda: fact_partition()}
+
+
 @dataclass(frozen=True)
 class Settings:
     """What varies between deployments."""
@@ -40,6 +44,61 @@ def fact_partition() -> Column:
     return F.date_format("order_date", "yyyy-MM")
 
 
+def order_partition() -> Column:
+    """Sales lines are stored by order month."""
+    return F.date_format("order_date", "yyyy-MM")
+
+
+def taken(store: TableStore, consumer: str) -> int:
+    """Version of its source that a step has taken rows up to; 0 before its first run."""
+    mark = store.read(f"progress.{consumer}")
+    return 0 if mark is None else mark.first()["version"]
+
+
+def take(store: TableStore, consumer: str, version: int) -> None:
+    """Record what a step has taken, after its result is committed: a run lost in between takes the rows again."""
+    store.replace(f"progress.{consumer}", store.spark.createDataFrame([(version,)], "version bigint"))
+
+
+def load_silver_orders(store: TableStore, contract: FeedContract, regions: DataFrame, fx: DataFrame) -> DataFrame:
+    """Lines of the raw batches that came since the last load, added to those there are; the earliest landed copy of a
+    line wins, so a line that is there already stays as it is.
+
+    Only the new batches are read. Rates apply as of the load: after a restated rate, drop the table and load anew.
+    Returns all lines.
+    """
+    source, target = f"raw.{contract.raw_table}", "silver.silver_orders"
+    version = store.version(source)
+    raw = store.read_since(source, taken(store, "silver_orders"))
+    if raw is not None:
+        store.insert(target, silver.silver_orders(typed(raw, contract), regions, fx), ["order_line_id"], order_partition())
+        take(store, "silver_orders", version)
+    return store.read(target)
+
+
+def capture_products(store: TableStore, products: DataFrame, captures: Sequence[dt.date]) -> DataFrame:
+    """The product snapshot with every capture up to now.
+
+    Captures made before are not made again: their versions are stored state, which stays even when the extracts they
+    came from are purged. A capture not after the newest one made is ignored.
+    """
+    name = "snapshots.product_snapshot"
+    snapshot, made = store.read(name), store.read("snapshots.product_captures")
+    newest = None if made is None else made.agg(F.max("capture")).first()[0]
+    due = sorted(c for c in captures if newest is None or c > newest)
+    if not due:
+        return snapshot
+    if snapshot is None:
+        snapshot = store.replace(name, gold.product_snapshot(products, due))
+    else:
+        # One per scheduled run, as a rule; each is written before the next reads it.
+        for day in due:
+            snapshot = store.replace(name, gold.next_capture(snapshot, products, day))
+    days = store.spark.createDataFrame([(d,) for d in due], "capture date")
+    store.append("snapshots.product_captures", days)
+    return snapshot
+
+
 def build_silver(spark: SparkSession, store: TableStore, settings: Settings) -> None:
     def bronze(feed: str) -> DataFrame:
         contract = settings.contracts[feed]
@@ -47,30 +106,35 @@ def build_silver(spark: SparkSession, store: TableStore, settings: Settings) ->
 
     regions = silver.region_map(spark, settings.regions)
     fx = store.replace("silver.silver_fx_rates", silver.silver_fx_rates(bronze("fx_rates")))
-    store.replace("silver.silver_orders", silver.silver_orders(bronze("pos_orders"), regions, fx))
+    load_silver_orders(store, settings.contracts["pos_orders"], regions, fx)
     store.replace("silver.silver_customers", silver.silver_customers(bronze("customer_master")))
     store.replace("silver.silver_products", silver.silver_products(bronze("product_master")))
     store.replace("silver.silver_gl", silver.silver_gl(bronze("gl_extract")))
 
 
 def build_gold(spark: SparkSession, store: TableStore, settings: Settings) -> None:
-    orders = store.read("silver.silver_orders")
     products = store.read("silver.silver_products")
     regions = store.replace("gold.dim_region", gold.dim_region(silver.region_map(spark, settings.regions)))
-    store.replace("gold.dim_channel", gold.dim_channel(orders))
+    store.replace("gold.dim_channel", gold.dim_channel(store.read("silver.silver_orders")))
     store.replace("gold.dim_date", gold.dim_date(date_spine(spark, *settings.spine), settings.fiscal_start))
     customers = store.replace("gold.dim_customer", gold.dim_customer(store.read("silver.silver_customers")))
-    snapshot = store.replace("snapshots.product_snapshot", gold.product_snapshot(products, settings.captures))
+    snapshot = capture_products(store, products, settings.captures)
     current = store.replace("gold.dim_product", gold.dim_product(snapshot, products))
-    load_fact_sales(store, orders, customers, current)
+    load_fact_sales(store, customers, current)
     store.replace("gold.fact_gl", gold.fact_gl(store.read("silver.silver_gl"), regions))
 
 
-def load_fact_sales(store: TableStore, orders: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
-    """Lines loaded since the last build, upserted by order line."""
-    new = newer_than(orders, read_watermark(store.read("gold.fact_sales")))
-    fact = gold.fact_sales(new, customers, products)
-    return store.upsert("gold.fact_sales", fact, ["order_line_id"], fact_partition())
+def load_fact_sales(store: TableStore, customers: DataFrame, products: DataFrame) -> DataFrame:
+    """Lines loaded since the last build, upserted by order line. Only folders of silver lines that are new are read,
+    and of these the lines past the fact's newest load time."""
+    source = "silver.silver_orders"
+    version = store.version(source)
+    orders = store.read_since(source, taken(store, "fact_sales"))
+    if orders is not None:
+        new = newer_than(orders, read_watermark(store.read("gold.fact_sales")))
+        store.upsert("gold.fact_sales", gold.fact_sales(new, customers, products), ["order_line_id"], fact_partition())
+        take(store, "fact_sales", version)
+    return store.read("gold.fact_sales")
 
 
 def build_marts(store: TableStore) -> None:
@@ -91,10 +155,11 @@ def build(spark: SparkSession, store: TableStore, settings: Settings) -> dict[st
 def governed_tables(store: TableStore) -> dict[str, DataFrame]:
     """Gold and mart tables by name: all that metric requests may read."""
     named = [f"gold.{t}" for t in GOLD] + [f"marts.{t}" for t in MARTS]
-    return {n.split(".")[1]: store.read(n) for n in named if store.exists(n)}
+    # Facts keep the column of their months, which metrics prune folders by.
+    return {n.split(".")[1]: store.read(n, parts=n in PARTITIONED) for n in named if store.exists(n)}
 
 
 def publish(store: TableStore, target: TableStore) -> dict[str, DataFrame]:
     """Copy the governed tables to a read-only set."""
     named = [f"gold.{t}" for t in GOLD] + [f"marts.{t}" for t in MARTS]
-    return {n: target.replace(n, store.read(n)) for n in named}
+    return {n: target.replace(n, store.read(n), PARTITIONED[n]() if n in PARTITIONED else None) for n in named}

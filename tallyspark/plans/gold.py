@@ -95,6 +95,12 @@ def product_snapshot(products: DataFrame, captures: Sequence[dt.date]) -> DataFr
     return scd.replay_snapshots(src, "product_id", "extract_date", PRODUCT_CHECKED, captures)
 
 
+def next_capture(snapshot: DataFrame, products: DataFrame, day: dt.date) -> DataFrame:
+    """A stored snapshot after one more capture, of the products' state as of a day."""
+    state = scd.state_as_of(products.select(*[c for c in snapshot.columns if c not in ("valid_from", "valid_to")]), "product_id", "extract_date", day)
+    return scd.check_snapshot(snapshot, state, "product_id", PRODUCT_CHECKED, dt.datetime.combine(day, dt.time()))
+
+
 def dim_product(snapshot: DataFrame, products: DataFrame) -> DataFrame:
     """SCD2 on category and list price, SCD1 on description."""
     shown = scd.overwrite_with_newest(snapshot, products, "product_id", "extract_date", "description")

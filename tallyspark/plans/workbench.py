@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyspark.functions.calendar import date_spine
 from tallyspark.plans import gold, marts, silver
 from tallyspark.plans.bronze import typed
+from tallyspark.plans.build import PARTITIONED
 from tallyspark.sources import testbed
 from tallyspark.sources.store import TableStore
 
@@ -42,6 +43,7 @@ class Workbench:
         self.contracts = testbed.CONTRACTS_HERE
         self._built: dict[str, DataFrame] = {}
         self._raw: dict[str, DataFrame] = {}
+        self._governed: dict[str, DataFrame] = {}
 
     def source(self, name: str) -> DataFrame:
         return testbed.table(self.spark, self.sf_dir, name)
@@ -90,8 +92,17 @@ class Workbench:
     def table(self, name: str) -> DataFrame:
         """A written table, built on first use."""
         if name not in self._built:
-            self._built[name] = self.store.replace(name, self.plan(name))
+            by_month = PARTITIONED.get(f"gold.{name}")
+            self._built[name] = self.store.replace(name, self.plan(name), by_month() if by_month else None)
         return self._built[name]
 
     def tables(self, *names: str) -> dict[str, DataFrame]:
         return {n: self.table(n) for n in names}
+
+    def governed(self, *names: str) -> dict[str, DataFrame]:
+        """Tables as metric requests read them: facts with the column of their months."""
+        for name in names:
+            if name not in self._governed:
+                self.table(name)
+                self._governed[name] = self.store.read(name, parts=f"gold.{name}" in PARTITIONED)
+        return {n: self._governed[n] for n in names}

@@ -3,6 +3,10 @@
 Every write goes to a fresh folder and becomes visible when one log row names it, so
 a reader never sees a half-written table and a rerun after a lost executor or driver
 starts clean. One writer per table at a time.
+
+Folders are ``<table>/data/_write=<id>/_part=<value>``, so a filter on ``_part`` prunes folders.
+A keyed table keeps beside its data which part each key was put into: a batch's keys are searched
+in the batch's own parts and in those this index names, and no other part is read.
 """
 
 from __future__ import annotations
@@ -17,12 +21,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyspark.operators.joins import lookup_join
 from tallyspark.operators.upsert import upsert
 
-LOG_SCHEMA = "version bigint, schema string, parts array<struct<value:string,path:string>>, batches array<string>"
-PART = "part"
+LOG_SCHEMA = "version bigint, schema string, parts array<struct<value:string,path:string>>, batches array<string>, keys string"
+PART, WRITE = "_part", "_write"
 NO_PARTITION = "none"
+#: The part of a folder written without a partition: it may hold rows of any.
+WHOLE = "all"
+#: Folders of a key index by the keys' hash; a lookup opens those of its own keys.
+KEY_BUCKETS = 64
+BUCKET, KEY = "_bucket", "_key"
 
 
 @dataclass(frozen=True)
@@ -31,7 +39,9 @@ class Version:
 
     number: int
     schema: T.StructType | None
-    parts: list[tuple[str | None, str]]
+    parts: list[tuple[str, str]]
+    #: Folder of the key index that covers these parts, if there is one.
+    keys: str | None = None
 
 
 def widened(old: T.StructType | None, new: T.StructType) -> T.StructType:
@@ -65,19 +75,33 @@ class TableStore:
         last = None if log is None else log.drop("batches").orderBy(F.desc("version")).first()
         if last is None:
             return Version(0, None, [])
-        return Version(last.version, T.StructType.fromJson(json.loads(last.schema)), [(p.value, p.path) for p in last.parts])
+        return Version(last.version, T.StructType.fromJson(json.loads(last.schema)), [(p.value, p.path) for p in last.parts], last.keys)
+
+    def version(self, name: str) -> int:
+        return self._live(name).number
 
     def exists(self, name: str) -> bool:
         return self._live(name).number > 0
 
-    def read(self, name: str) -> DataFrame | None:
-        """The live table, or None before its first commit."""
+    def read(self, name: str, parts: bool = False) -> DataFrame | None:
+        """The live table, or None before its first commit; with ``parts``, its partition column is kept."""
+        live = self._live(name)
+        return self._load(name, live.schema, live.parts, parts) if live.parts else None
+
+    def read_since(self, name: str, version: int, parts: bool = False) -> DataFrame | None:
+        """Rows of the folders that became live after a version; None if there are none. Only these are opened."""
         live = self._live(name)
-        return self._load(live.schema, [path for _, path in live.parts]) if live.parts else None
+        log = self.log(name)
+        before = None if log is None else log.where(F.col("version") == version).select("parts").first()
+        seen = set() if before is None else {p.path for p in before.parts}
+        added = [(v, p) for v, p in live.parts if p not in seen]
+        return self._load(name, live.schema, added, parts) if added else None
 
-    def _load(self, schema: T.StructType, paths: Sequence[str]) -> DataFrame:
+    def _load(self, name: str, schema: T.StructType, parts: Sequence[tuple[str, str]], keep: bool = False) -> DataFrame:
         # The logged schema saves reading every footer; columns a file lacks are NULL.
-        return self.spark.read.schema(schema).parquet(*paths)
+        placed = T.StructType([*schema.fields, T.StructField(WRITE, T.StringType()), T.StructField(PART, T.StringType())])
+        rows = self.spark.read.schema(placed).option("basePath", f"{self._home(name)}/data").parquet(*[p for _, p in parts])
+        return rows.drop(WRITE) if keep else rows.drop(WRITE, PART)
 
     def batches(self, name: str) -> DataFrame:
         """Ids of every batch ever committed to a table."""
@@ -87,67 +111,107 @@ class TableStore:
         return log.select(F.explode("batches").alias("batch_id")).distinct()
 
     def _commit(self, name: str, version: Version, batches: Sequence[str] = ()) -> None:
-        row = [(version.number, version.schema.json(), [{"value": v, "path": p} for v, p in version.parts], list(batches))]
+        parts = [{"value": v, "path": p} for v, p in version.parts]
+        row = [(version.number, version.schema.json(), parts, list(batches), version.keys)]
         self.spark.createDataFrame(row, LOG_SCHEMA).coalesce(1).write.mode("append").json(f"{self._home(name)}/log")
 
-    def _fresh(self, name: str) -> str:
-        return f"{self._home(name)}/data/{uuid.uuid4().hex}"
+    def _write(self, name: str, df: DataFrame, partition: Column | None = None) -> list[tuple[str, str]]:
+        """Rows into a fresh folder, by partition if there is one; returns its parts. Partition values must be plain
+        words, as they name folders, and few (months)."""
+        path = f"{self._home(name)}/data/{WRITE}={uuid.uuid4().hex}"
+        if partition is None:
+            df.write.parquet(f"{path}/{PART}={WHOLE}")
+            return [(WHOLE, f"{path}/{PART}={WHOLE}")]
+        # Adaptive execution splits a month that holds most rows by size, and joins small ones.
+        df.withColumn(PART, partition).hint("rebalance", PART).write.partitionBy(PART).parquet(path)
+        filled = self.spark.read.schema(df.schema.add(PART, "string")).parquet(path).select(PART).distinct().collect()
+        return [(r[0], f"{path}/{PART}={r[0]}") for r in sorted(filled)]
 
-    def replace(self, name: str, df: DataFrame) -> DataFrame:
+    def replace(self, name: str, df: DataFrame, partition: Column | None = None) -> DataFrame:
         """Publish a new full version; the old one stays readable until then."""
-        path = self._fresh(name)
-        df.write.parquet(path)
-        self._commit(name, Version(self._live(name).number + 1, df.schema, [(None, path)]))
+        parts = self._write(name, df, None if partition is None else part_of(partition))
+        # A table without rows still has a folder, so that it can be read.
+        parts = parts or self._write(name, df)
+        self._commit(name, Version(self._live(name).number + 1, df.schema, parts))
         return self.read(name)
 
     def append(self, name: str, df: DataFrame, batches: Sequence[str] = ()) -> None:
         """Add rows, recording the batches they came from in the same commit."""
-        path = self._fresh(name)
-        df.write.parquet(path)
+        parts = self._write(name, df)
         live = self._live(name)
-        schema = widened(live.schema, df.schema)
-        self._commit(name, Version(live.number + 1, schema, [*live.parts, (None, path)]), batches)
+        self._commit(name, Version(live.number + 1, widened(live.schema, df.schema), [*live.parts, *parts]), batches)
+
+    def _staged(self, name: str, new: DataFrame, partition: Column) -> DataFrame:
+        """The batch with its parts, written once, so that it is not computed again for each use."""
+        path = f"{self._home(name)}.staging/{uuid.uuid4().hex}"
+        new.withColumn(PART, part_of(partition)).write.parquet(path)
+        return self.spark.read.parquet(path)
+
+    def _index(self, entries: DataFrame, folder: str) -> DataFrame:
+        """Add (key, part) entries to a key index; returns them. An entry that no commit follows only names a part
+        too many, so an index needs no log."""
+        path = f"{folder}/{WRITE}={uuid.uuid4().hex}"
+        bucketed = entries.withColumn(BUCKET, F.pmod(F.xxhash64(KEY), F.lit(KEY_BUCKETS)).cast("int"))
+        bucketed.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(path)
+        return self.spark.read.schema(f"{KEY} string, {PART} string, {BUCKET} int").parquet(path)
+
+    def _reach(self, name: str, live: Version, batch: DataFrame, keys: Sequence[str], partition: Column) -> tuple[set[str], str]:
+        """Parts that may hold rows with a batch's keys, the batch's own included, and the index folder."""
+        key, value = F.to_json(F.struct(*keys)).alias(KEY), part_of(partition).alias(PART)
+        own = {r[0] for r in batch.select(PART).distinct().collect()}
+        folder = live.keys
+        if folder is None:  # no index yet, or rows came in past it: one pass over the key columns
+            folder = f"{self._home(name)}/keys/{uuid.uuid4().hex}"
+            if live.parts:
+                self._index(self._load(name, live.schema, live.parts).select(key, value), folder)
+        near = [(v, p) for v, p in live.parts if v in own]
+        places = batch.select(key, PART)
+        if near:
+            held = self._load(name, live.schema, near, keep=True).select(key, PART)
+            places = places.join(held, [KEY, PART], "left_anti")
+        fresh = self._index(places, folder)
+        buckets = [r[0] for r in fresh.select(BUCKET).distinct().collect()]  # at most KEY_BUCKETS
+        known = self.spark.read.schema(f"{KEY} string, {PART} string, {WRITE} string, {BUCKET} int").parquet(folder)
+        named = known.where(F.col(BUCKET).isin(buckets)).join(fresh.select(KEY), KEY, "left_semi")
+        return own | {r[0] for r in named.select(PART).distinct().collect()} | {WHOLE}, folder
 
     def upsert(self, name: str, new: DataFrame, keys: Sequence[str], partition: Column) -> DataFrame:
-        """Keyed upsert that rewrites only the partitions it touches.
+        """Keyed upsert that rewrites only the parts it touches.
 
-        A partition is touched when a new row falls into it or when it holds the old
-        row of a replaced key; all others are carried over by path. Finding them
-        reads the key columns only. The number of partitions (months) is small, and
-        their values must be plain words, as they name folders.
+        A part is touched when a new row falls into it or when it may hold the old row of a replaced key; all others
+        are carried over by path, unread. Both sides hold a key once.
         """
         live = self._live(name)
-        parts = live.parts
-        value = F.coalesce(partition.cast("string"), F.lit(NO_PARTITION))
-        # Written once, so the batch is not recomputed for each use below.
-        staged = self._fresh(f"{name}.staging")
-        new.withColumn(PART, value).write.parquet(staged)
-        batch = self.spark.read.parquet(staged)
-        hit = {r[0] for r in batch.select(PART).distinct().collect()}
-        if not hit:
-            return self.read(name) if parts else self.replace(name, batch.drop(PART))
-        kept: list[tuple[str | None, str]] = []
-        merged = batch
+        batch = self._staged(name, new, partition)
+        if not batch.take(1):
+            return self.read(name) if live.parts else self.replace(name, batch.drop(PART))
+        hit, folder = self._reach(name, live, batch, keys, partition)
+        touched = [(v, p) for v, p in live.parts if v in hit]
+        merged = batch.drop(PART)
+        if touched:
+            merged = upsert(self._load(name, live.schema, touched), merged, keys)
+        written = self._write(name, merged, part_of(partition))
+        kept = [(v, p) for v, p in live.parts if v not in hit]
+        self._commit(name, Version(live.number + 1, widened(live.schema, new.schema), kept + written, folder))
+        return self.read(name)
+
+    def insert(self, name: str, new: DataFrame, keys: Sequence[str], partition: Column) -> DataFrame:
+        """Add the rows whose key the table does not hold yet; rows it holds stay as they are, and no folder is
+        rewritten. ``new`` holds a key once."""
+        live = self._live(name)
+        batch = self._staged(name, new, partition)
+        hit, folder = self._reach(name, live, batch, keys, partition)
+        near = [(v, p) for v, p in live.parts if v in hit]
+        added = batch.drop(PART)
+        if near:
+            added = added.join(self._load(name, live.schema, near).select(*keys), list(keys), "left_anti")
+        parts = self._write(name, added, part_of(partition))
+        if not live.parts and not parts:
+            return self.replace(name, added)
         if parts:
-            key = F.to_json(F.struct(*keys))
-            old = self._load(live.schema, [p for _, p in parts]).select(key.alias("_old"), value.alias(PART), *keys)
-            arriving = batch.select(key.alias("_new")).distinct()
-            moved = lookup_join(old, arriving, "_old", "_new", list(keys), how="left_semi")
-            hit |= {r[0] for r in moved.select(PART).distinct().collect()}
-            # Folders written without partitions may hold rows of any of them.
-            mixed = [p for v, p in parts if v is None]
-            if mixed:
-                hit |= {r[0] for r in self._load(live.schema, mixed).select(value).distinct().collect()}
-            kept = [(v, p) for v, p in parts if v is not None and v not in hit]
-            touched = [p for v, p in parts if v is None or v in hit]
-            if touched:
-                merged = upsert(self._load(live.schema, touched).withColumn(PART, value), batch, keys)
-        path = self._fresh(name)
-        # Adaptive execution splits a month that holds most rows by size, and joins small ones.
-        merged.hint("rebalance", PART).write.partitionBy(PART).parquet(path)
-        # Every merged row lies in a touched partition; some of those may be empty now.
-        folder = F.regexp_extract("_metadata.file_path", f"/{PART}=([^/]+)/", 1)
-        filled = {r[0] for r in self.spark.read.schema(new.schema).parquet(path).select(folder).distinct().collect()}
-        written = [(v, f"{path}/{PART}={v}") for v in sorted(hit) if v in filled]
-        self._commit(name, Version(live.number + 1, widened(live.schema, new.schema), kept + written))
+            self._commit(name, Version(live.number + 1, widened(live.schema, new.schema), [*live.parts, *parts], folder))
         return self.read(name)
+
+
+def part_of(partition: Column) -> Column:
+    return F.coalesce(partition.cast("string"), F.lit(NO_PARTITION))

@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -74,3 +76,52 @@ def test_upsert_into_a_replaced_table(spark, store):
     store.replace("gold.f", frame(spark, [("a", "2024-01", 1), ("b", "2024-02", 2)]))
     out = store.upsert("gold.f", frame(spark, [("b", "2024-03", 20)]), ["id"], F.col("month"))
     assert rows(out) == [("a", "2024-01", 1), ("b", "2024-03", 20)]
+
+
+def test_upsert_reads_no_other_part(spark, store):
+    """Months that hold none of a batch's keys are neither read nor rewritten: their folders are gone here."""
+    months = [f"2024-{m:02d}" for m in range(1, 10)]
+    store.upsert("gold.f", frame(spark, [(f"k{m}", m, 1) for m in months]), ["id"], F.col("month"))
+    parts = dict(store._live("gold.f").parts)
+    for m in months[4:]:
+        for f in Path(parts[m]).glob("*.parquet"):
+            f.write_bytes(b"not a parquet file")
+    # k1 moves from 2024-01, k2 stays, new is new.
+    batch = [("k2024-01", "2024-03", 7), ("k2024-02", "2024-02", 8), ("new", "2024-04", 9)]
+    store.upsert("gold.f", frame(spark, batch), ["id"], F.col("month"))
+    live = store._live("gold.f")
+    assert [p for v, p in live.parts if v in months[4:]] == [parts[m] for m in months[4:]]
+    rest = store._load("gold.f", live.schema, [(v, p) for v, p in live.parts if v not in months[4:]])
+    assert rows(rest) == [("k2024-01", "2024-03", 7), ("k2024-02", "2024-02", 8), ("k2024-03", "2024-03", 1), ("k2024-04", "2024-04", 1), ("new", "2024-04", 9)]
+    store.insert("gold.f", frame(spark, [("k2024-02", "2024-03", 0), ("newer", "2024-03", 5)]), ["id"], F.col("month"))
+    assert store.read("gold.f", parts=True).where("_part = '2024-03' and id = 'newer'").count() == 1
+
+
+def test_index_is_built_anew_after_other_writes(spark, store):
+    store.upsert("gold.f", frame(spark, [("a", "2024-01", 1)]), ["id"], F.col("month"))
+    store.replace("gold.f", frame(spark, [("b", "2024-02", 2)]), F.col("month"))
+    out = store.upsert("gold.f", frame(spark, [("b", "2024-03", 20)]), ["id"], F.col("month"))
+    assert rows(out) == [("b", "2024-03", 20)]
+    store.append("gold.f", frame(spark, [("c", "2024-04", 3)]))
+    out = store.upsert("gold.f", frame(spark, [("c", "2024-05", 30), ("b", "2024-03", 21)]), ["id"], F.col("month"))
+    assert rows(out) == [("b", "2024-03", 21), ("c", "2024-05", 30)]
+
+
+def test_insert_keeps_the_rows_there_are(spark, store):
+    assert rows(store.insert("gold.f", frame(spark, []), ["id"], F.col("month"))) == []
+    store.insert("gold.f", frame(spark, [("a", "2024-01", 1), ("b", None, 2)]), ["id"], F.col("month"))
+    version, before = store.version("gold.f"), store._live("gold.f").parts
+    out = store.insert("gold.f", frame(spark, [("a", "2024-07", 9), ("b", "2024-01", 9), ("c", "2024-01", 3)]), ["id"], F.col("month"))
+    assert rows(out) == [("a", "2024-01", 1), ("b", None, 2), ("c", "2024-01", 3)]
+    assert store._live("gold.f").parts[: len(before)] == before
+    assert rows(store.read_since("gold.f", version)) == [("c", "2024-01", 3)]
+    again = store.insert("gold.f", frame(spark, [("c", "2024-01", 4)]), ["id"], F.col("month"))
+    assert rows(again) == rows(out) and store.read_since("gold.f", store.version("gold.f")) is None
+
+
+def test_filters_on_the_part_prune_folders(spark, store):
+    store.replace("gold.f", frame(spark, [(f"k{m}", f"2024-{m:02d}", m) for m in range(1, 10)]), F.col("month"))
+    one = store.read("gold.f", parts=True).where("_part = '2024-05'")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_part" in plan and rows(one.drop("_part")) == [("k5", "2024-05", 5)]
+    assert len(one.inputFiles()) == 9 and "2024-05" in plan
