@@ -109,7 +109,8 @@ def surprising(have: np.ndarray, toxic: np.ndarray, left: np.ndarray, right: np.
         apart = sign * (toxic - have * p)
         return (apart > 0) & (apart**2 >= LEAST_PAIR_CHI2 * (have * p * (1 - p) + 1))
 
-    left, right = left[:, None], right[None, :]
+    have, toxic = have.astype(np.float32), toxic.astype(np.float32)
+    left, right, rate = left[:, None].astype(np.float32), right[None, :].astype(np.float32), np.float32(rate)
     added = 1 / (1 + np.exp(-np.clip(odds(left) + odds(right) - odds(rate), -30, 30)))
     above = beyond(np.maximum(left, right), 1) & beyond(added, 1)
     return (have >= LEAST_ROWS) & (above | beyond(np.minimum(left, right), -1) & beyond(added, -1))
@@ -117,14 +118,16 @@ def surprising(have: np.ndarray, toxic: np.ndarray, left: np.ndarray, right: np.
 
 def pair_counts(rows: list[np.ndarray], labels: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Rows, and toxic rows, that hold a slot of `left` and one of `right`."""
-    have, toxic = (np.zeros((len(left), len(right)), np.float32) for _ in range(2))
+    number = np.uint16 if len(rows) < 1 << 16 else np.uint32
+    dense = len(right) <= FREQUENT_SLOTS  # slots so frequent that matrices are full
+    have, toxic = (np.zeros((len(left), len(right)), np.float32 if dense else number) for _ in range(2))
     at = []
     for slots in (left, right):
-        at.append(np.full(1 << SLOT_BITS, -1))
+        at.append(np.full(1 << SLOT_BITS, -1, np.int32))
         at[-1][slots] = np.arange(len(slots))
     for b in range(0, len(rows), BLOCK_ROWS):
         part, label = rows[b : b + BLOCK_ROWS], labels[b : b + BLOCK_ROWS]
-        if len(right) <= FREQUENT_SLOTS:  # so frequent that matrices are full
+        if dense:
             there = []
             for column, n in zip(at, (len(left), len(right)), strict=True):
                 block = np.zeros((len(part), n + 1), np.float32)
@@ -147,10 +150,12 @@ def pair_counts(rows: list[np.ndarray], labels: np.ndarray, left: np.ndarray, ri
 def telling_slots(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     """For each slot its number among the kept ones, or -1."""
     n, positive = len(labels), labels.sum()
-    ids = np.concatenate(rows) if rows else np.zeros(0, np.int64)
-    label = np.repeat(labels, [len(r) for r in rows])
-    have = np.bincount(ids, minlength=1 << SLOT_BITS).astype(float)
-    both = np.bincount(ids, weights=label, minlength=1 << SLOT_BITS)
+    have, both = np.zeros((2, 1 << SLOT_BITS))
+    for b in range(0, n, BLOCK_ROWS):
+        part = rows[b : b + BLOCK_ROWS]
+        ids = np.concatenate(part).astype(np.int64)
+        have += np.bincount(ids, minlength=1 << SLOT_BITS)
+        both += np.bincount(ids, weights=np.repeat(labels[b : b + BLOCK_ROWS], [len(r) for r in part]), minlength=1 << SLOT_BITS)
     expected = have * positive / max(n, 1)
     spread = expected * (1 - positive / max(n, 1)) * (1 - have / max(n, 1))
     chi2 = np.where(spread > 0, (both - expected) ** 2 / np.maximum(spread, 1e-9), 0)
@@ -237,7 +242,10 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     # Repeated doc_ids may give more rows than the sample has ids; the smallest hashes stay.
     gathered = joined.mapInArrow(terms, "doc_id bigint, toxic int, slots binary")
     sample = gathered.orderBy(F.xxhash64("doc_id"), "doc_id", "slots").limit(sample_rows).collect()
-    return fit([np.frombuffer(r["slots"], np.int32).astype(np.int64) for r in sample], np.array([r["toxic"] for r in sample], float))
+    toxic = np.array([r["toxic"] for r in sample], float)
+    rows = [np.frombuffer(r["slots"], np.int32) for r in sample]
+    del sample  # the rows share its bytes; the driver holds them once
+    return fit(rows, toxic)
 
 
 def scored(docs: DataFrame, machine: Machine, score: str) -> DataFrame:
