@@ -13,7 +13,7 @@ from tallyspark.llm.decontaminate import remove_leaks
 from tallyspark.llm.neardup import drop_near_duplicates
 from tallyspark.llm.packing import pack
 from tallyspark.llm.repeats import remove_repeats
-from tallyspark.llm.tables import reachable, read, settle
+from tallyspark.llm.tables import bounded, read, settle
 from tallyspark.llm.toxicity import drop_toxic
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -26,24 +26,25 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents joined by links of a similarity of 0.8 on five-word shingles, the smallest doc_id stays."""
-    reachable(spark)
+    bounded(spark)
     return drop_near_duplicates(docs)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 50 bytes that a document with a smaller doc_id has are cut out; every document stays."""
-    reachable(spark)
+    bounded(spark)
     return remove_repeats(docs)
 
 
 def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark passages are cut out of the texts; every document stays."""
+    bounded(spark)
     return remove_leaks(docs, read(spark, sf_dir, "benchmark"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents in sequences of 4096 tokens: a row per piece with its place."""
-    reachable(spark)
+    bounded(spark)
     return pack(docs)
 
 

@@ -27,6 +27,20 @@ DEFAULT_BATCH_ROWS = 10_000
 BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
+#: Text that a Python worker gets at a time where a chain of operators runs in one application, in place of Spark's
+#: default: a batch of very long texts is then as small as one of short texts.
+BATCH_BYTES = 4 << 20
+DEFAULT_BATCH_BYTES = "67108864b"
+BYTES_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded(spark: SparkSession) -> None:
+    """`reachable`, with batches bounded by their bytes. A session that sets its own size keeps it."""
+    reachable(spark)
+    if spark.conf.get(BYTES_SETTING) == DEFAULT_BATCH_BYTES:
+        spark.conf.set(BYTES_SETTING, str(BATCH_BYTES))
+
+
 def reachable(spark: SparkSession) -> None:
     """Python workers look for this package where the driver found it, too, and get texts in batches that bound
     their memory. A session that sets its own batch size keeps it."""
