@@ -141,6 +141,19 @@ def landing_files(w: Workbench) -> DataFrame:
     return store.read(f"raw.{contract.raw_table}").select(*contract.names, F.col("_loaded_at").cast("date").alias("landed"))
 
 
+@query
+def landing_quoted(w: Workbench) -> DataFrame:
+    """Documents as CSV files whose quoted cells hold line breaks, commas and quotes, landed and read back."""
+    rules = (ColumnRule("doc_id", "integer"), ColumnRule("text", "string", nullable=True), ColumnRule("lang", "string", nullable=True))
+    contract = FeedContract("documents", "DOC", "*.csv", "raw_documents", ("doc_id",), rules)
+    folder, store = _dropped(w), TableStore(w.spark, f"{w.store.root}/landed-{uuid.uuid4().hex}")
+    kept = {"header": True, "quoteAll": True, "escape": '"', "emptyValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    w.source("documents").select(*contract.names).write.options(**kept).csv(folder)
+    assert landing.land_folder(w.spark, store, folder, [contract], dt.datetime(2002, 1, 1)).passed
+    landed = store.read(f"raw.{contract.raw_table}")
+    return landed.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", "lang")
+
+
 # How the files of each region's nations are spoiled before they are landed.
 SPOILED_FILES = {0: "none", 1: "surplus cell", 2: "missing cell", 3: "repeated column", 4: "text for a number"}
 

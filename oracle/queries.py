@@ -102,6 +102,7 @@ FROM lineitem WHERE l_partkey % 6 IN (3, 4) GROUP BY l_returnflag"""
 SELECTS["landing_files"] = """
 SELECT CAST(extract_date AS VARCHAR) AS extract_date, customer_id, customer_name, customer_segment, region,
        CAST(signup_date AS VARCHAR) AS signup_date, '2002-01-01' AS landed FROM bronze_customers"""
+SELECTS["landing_quoted"] = "SELECT doc_id, coalesce(text, '') AS text, coalesce(lang, '') AS lang FROM documents"
 SELECTS["landing_malformed"] = """
 SELECT CAST(n_regionkey AS BIGINT) AS region, CASE n_regionkey WHEN 0 THEN 'append' ELSE 'reject' END AS action,
        CASE n_regionkey WHEN 0 THEN '' WHEN 3 THEN 'duplicate_column' WHEN 4 THEN 'dtype' WHEN 2 THEN 'malformed_row,not_null' ELSE 'malformed_row' END AS reason,

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from tallyspark.operators.gate import MALFORMED
 from tallyspark.sources.contracts import FeedContract
+from tallyspark.sources.records import ends_inside, numbered_lines, records
 
 WAVE_FILES = 1000
 #: Lines whose digests are folded together.
@@ -68,17 +69,16 @@ def content_batch_id(content: Column) -> Column:
 
 
 def manifest(spark: SparkSession, files: Sequence, block_lines: int = BLOCK_LINES) -> DataFrame:
-    """(path, batch_id, header) of a wave of files, of any size; a file without bytes has neither id nor header.
+    """(path, batch_id, header, broken) of a wave of files, of any size; a file without bytes has neither id nor header.
+
+    `broken` tells whether quoted cells may hold line breaks, which takes another way to read a file.
 
     The id is one definition for every size: lines are numbered over the file's splits, each line's bytes are hashed,
     digests of `block_lines` lines in order are folded, then the blocks' digests in order with the file's length. It
     depends on every byte and on the order of lines, not on where splits fall, and no task holds a file.
     """
     sizes = spark.createDataFrame([(f.path, f.length) for f in files], "path string, bytes bigint")
-    lines = spark.read.option("lineSep", "\n").text([f.path for f in files]).select(
-        F.col(FILE_PATH).alias("path"), F.col("_metadata.file_block_start").alias("split"),
-        F.monotonically_increasing_id().alias("at"), "value",
-    )
+    lines = numbered_lines(spark, [f.path for f in files])
     hashed = lines.select("path", "split", "at", F.sha2(F.col("value").cast("binary"), 256).alias("digest"))
     counts = lines.groupBy("path", "split").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("path").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
@@ -97,10 +97,12 @@ def manifest(spark: SparkSession, files: Sequence, block_lines: int = BLOCK_LINE
 
     blocks = numbered.groupBy("path", block).agg(folded("line", "digest").alias("digest"))
     whole = blocks.groupBy("path").agg(folded("block", "digest").alias("digest"))
-    first = lines.where("split = 0").groupBy("path").agg(F.min_by("value", "at").alias("header"))
+    first = lines.groupBy("path").agg(
+        F.min_by("value", F.struct("split", "at")).alias("header"), F.max(ends_inside(F.col("value"))).alias("broken")
+    )
     ids = F.substring(F.sha2(F.concat_ws("|", F.col("bytes").cast("string"), "digest").cast("binary"), 256), 1, 16)
     found = sizes.join(whole, "path", "left").join(first, "path", "left")
-    return found.select("path", F.when(F.col("digest").isNotNull(), ids).alias("batch_id"), "header")
+    return found.select("path", F.when(F.col("digest").isNotNull(), ids).alias("batch_id"), "header", F.coalesce("broken", F.lit(False)).alias("broken"))
 
 
 def header_columns(header: str) -> tuple[str, ...]:
@@ -117,25 +119,27 @@ def header_fault(columns: Sequence[str]) -> str | None:
     return "duplicate_column" if len(set(folded)) < len(folded) else None
 
 
-def read_text_columns(spark: SparkSession, paths: Sequence[str], columns: Sequence[str]) -> DataFrame:
+def _ddl(schema: T.StructType) -> str:
+    return ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema)
+
+
+def read_text_columns(spark: SparkSession, paths: Sequence[str], columns: Sequence[str], broken: bool = False) -> DataFrame:
     """CSV files of one header layout with every column text, nothing inferred and
     blanks kept as '' (landing's null policy); adds the file path as ``_path`` and
-    whether a row has more or fewer cells than the header as ``_malformed``."""
+    whether a row has more or fewer cells than the header as ``_malformed``. Files
+    stay splittable; those with line breaks in quoted cells are read as ``broken``."""
     schema = T.StructType([*(T.StructField(c, T.StringType()) for c in columns), T.StructField(CORRUPT, T.StringType())])
-    raw = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("escape", '"')
-        .option("nullValue", NEVER)
-        .option("emptyValue", "")
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .csv(list(paths))
-    )
+    options = {"escape": '"', "nullValue": NEVER, "emptyValue": "", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    if broken:
+        cells = F.from_csv("text", _ddl(schema), options | {"multiLine": "true"})
+        found = records(numbered_lines(spark, paths)).select(cells.alias("r"), F.col("path").alias("_path"))
+        raw, path = found.select("r.*", "_path"), F.col("_path")
+    else:
+        raw, path = spark.read.schema(schema).options(header=True, **options).csv(list(paths)), F.col(FILE_PATH).alias("_path")
     texts = [F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in columns]
     # Spark refuses to read the mark alone, so it is always read beside a cell.
     malformed = (F.length(F.coalesce(F.col(f"`{columns[0]}`"), F.lit(""))) >= 0) & F.col(CORRUPT).isNotNull()
-    return raw.select(*texts, malformed.alias(MALFORMED), F.col(FILE_PATH).alias("_path"))
+    return raw.select(*texts, malformed.alias(MALFORMED), path)
 
 
 def stamp(rows: DataFrame, loaded_at: Column, source_file: Column, batch_id: Column, source_system: str) -> DataFrame:

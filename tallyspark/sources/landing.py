@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from tallyspark.sources.contracts import FeedContract
 from tallyspark.sources.feeds import (
     discover, empty_files, header_columns, header_fault, manifest, read_text_columns, stamp, unmatched, waves,
 )
+from tallyspark.sources.records import numbered_lines, open_files
 from tallyspark.sources.store import TableStore
 
 
@@ -88,13 +90,22 @@ def land_wave(spark, store, wave, contract, loaded_at, dry_run, seen: set[str] |
     files = manifest(spark, wave)
     known = lookup_join(files, store.batches(table).withColumnRenamed("batch_id", "_known"), "batch_id", "_known", ["path"])
     report, layouts = [], {}
-    for f in known.orderBy("path").collect():  # at most WAVE_FILES rows
+    found = known.orderBy("path").collect()  # at most WAVE_FILES rows
+    broken = [f.path for f in found if f.broken and f._known is None]
+    unclosed = {r.path for r in open_files(numbered_lines(spark, broken)).collect()} if broken else set()
+    rejected: dict[str, str] = {}
+    for f in found:
+        if f._known is None and f.batch_id in rejected:
+            report.append(Landed(contract.feed, names[f.path], f.batch_id, None, "reject", rejected[f.batch_id]))
+            continue
         if f._known is not None or f.batch_id in seen:
             report.append(Landed(contract.feed, names[f.path], f.batch_id, None, "skip"))
             continue
         seen.add(f.batch_id)
         columns = header_columns(f.header or "")
-        fault = header_fault(columns)
+        fault = header_fault(columns) or ("open_quote" if f.path in unclosed else None)
+        if fault:
+            rejected[f.batch_id] = fault
         if fault:
             report.append(Landed(contract.feed, names[f.path], f.batch_id, None, "reject", fault))
         else:
@@ -110,7 +121,9 @@ def stamped_rows(spark, columns, group, names, contract: FeedContract, loaded_at
     ids = spark.createDataFrame(
         [(f.path, names[f.path], f.batch_id) for f in group], "_file_path string, _name string, _id string"
     )
-    rows = read_text_columns(spark, [f.path for f in group], columns)
+    kinds = [(k, [f.path for f in group if f.broken == k]) for k in (False, True)]
+    read = [read_text_columns(spark, paths, columns, broken) for broken, paths in kinds if paths]
+    rows = reduce(DataFrame.unionByName, read)
     joined = rows.join(F.broadcast(ids), F.col("_path") == F.col("_file_path"))
     out = stamp(joined, F.lit(loaded_at), F.col("_name"), F.col("_id"), contract.source_system)
     return out.drop("_path", "_file_path", "_name", "_id")
