@@ -154,32 +154,35 @@ def landing_quoted(w: Workbench) -> DataFrame:
     return landed.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", "lang")
 
 
-# How the files of each region's nations are spoiled before they are landed.
+# How a customer's file is spoiled before it is landed, by the last digit of its key.
 SPOILED_FILES = {0: "none", 1: "surplus cell", 2: "missing cell", 3: "repeated column", 4: "text for a number"}
 
 
 @query
 def landing_malformed(w: Workbench) -> DataFrame:
-    """One file of nations per region, most of them spoiled, and what landing does with each."""
+    """Customers in files, most of them spoiled, and what landing does with each kind."""
     contract = FeedContract(
-        "nations", "REF", "*.txt", "raw_nations", ("n_nationkey",), (ColumnRule("n_nationkey", "integer"), ColumnRule("n_name", "string"))
+        "customers", "REF", "*.csv", "raw_customers", ("c_custkey",), (ColumnRule("c_custkey", "integer"), ColumnRule("c_name", "string"))
     )
-    nations = w.source("nation")
-    key = F.col("n_nationkey").cast("string")
+    customers = w.source("customer")
+    key = F.col("c_custkey").cast("string")
     found = []
-    for region, spoiled in SPOILED_FILES.items():
-        header = "n_nationkey,n_name" + ",N_NAME" * (spoiled == "repeated column")
-        cells = {"surplus cell": [key, "n_name", F.lit("x")], "missing cell": [key], "text for a number": [F.concat(key, F.lit("f")), "n_name"]}
-        line = F.concat_ws(",", *cells.get(spoiled, [key, F.col("n_name")]))
-        lines = nations.where(F.col("n_regionkey") == region).select(F.col("n_nationkey").alias("at"), line.alias("value"))
-        head = w.spark.range(1).select(F.lit(-1).alias("at"), F.lit(header).alias("value"))
+    for kind, spoiled in SPOILED_FILES.items():
+        header = "c_custkey,c_name" + ",C_NAME" * (spoiled == "repeated column")
+        cells = {"surplus cell": [key, "c_name", F.lit("x")], "missing cell": [key], "text for a number": [F.concat(key, F.lit("f")), "c_name"]}
+        line = F.concat_ws(",", *cells.get(spoiled, [key, F.col("c_name")]))
         folder = _dropped(w)
-        head.unionByName(lines).repartition(1).sortWithinPartitions("at").select("value").write.text(folder)
-        store = TableStore(w.spark, f"{folder}-landed")
-        report = landing.land_folder(w.spark, store, folder, [contract], dt.datetime(2002, 1, 1))
-        rules = [r.rule for t in landing.gate_report(w.spark, folder, contract) for r in t.collect()]
-        found += [(region, f.action, f.reason or ",".join(sorted(rules)), f.rows) for f in report.files]
-    return w.spark.createDataFrame(found, "region bigint, action string, reason string, rows bigint")
+        # One column under a header with commas, unquoted: lines as they stand.
+        lines = customers.where(F.col("c_custkey") % len(SPOILED_FILES) == kind).select(line.alias(header))
+        lines.write.options(header=True, sep="\t", quote="").csv(folder)
+        files = landing.land_folder(w.spark, TableStore(w.spark, f"{folder}-landed"), folder, [contract], dt.datetime(2002, 1, 1)).files
+        unexplained = any(f.action == "reject" and not f.reason for f in files)
+        tables = landing.gate_report(w.spark, folder, contract) if unexplained else []
+        rules = {r.rule for t in tables for r in t.select("rule").distinct().collect()}
+        rows = None if spoiled == "repeated column" else sum(f.rows for f in files)
+        for action, reason in sorted({(f.action, f.reason or ",".join(sorted(rules))) for f in files}):
+            found.append((kind, action, reason, rows))
+    return w.spark.createDataFrame(found, "kind bigint, action string, reason string, rows bigint")
 
 
 @query

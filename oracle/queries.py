@@ -104,9 +104,9 @@ SELECT CAST(extract_date AS VARCHAR) AS extract_date, customer_id, customer_name
        CAST(signup_date AS VARCHAR) AS signup_date, '2002-01-01' AS landed FROM bronze_customers"""
 SELECTS["landing_quoted"] = "SELECT doc_id, coalesce(text, '') AS text, coalesce(lang, '') AS lang FROM documents"
 SELECTS["landing_malformed"] = """
-SELECT CAST(n_regionkey AS BIGINT) AS region, CASE n_regionkey WHEN 0 THEN 'append' ELSE 'reject' END AS action,
-       CASE n_regionkey WHEN 0 THEN '' WHEN 3 THEN 'duplicate_column' WHEN 4 THEN 'dtype' WHEN 2 THEN 'malformed_row,not_null' ELSE 'malformed_row' END AS reason,
-       CASE WHEN n_regionkey <> 3 THEN count(*) END AS rows FROM nation GROUP BY n_regionkey"""
+SELECT c_custkey % 5 AS kind, CASE c_custkey % 5 WHEN 0 THEN 'append' ELSE 'reject' END AS action,
+       CASE c_custkey % 5 WHEN 0 THEN '' WHEN 3 THEN 'duplicate_column' WHEN 4 THEN 'dtype' WHEN 2 THEN 'malformed_row,not_null' ELSE 'malformed_row' END AS reason,
+       CASE WHEN c_custkey % 5 <> 3 THEN count(*) END AS rows FROM customer GROUP BY 1, 2, 3, c_custkey % 5"""
 
 # Bronze and silver
 
