@@ -1,5 +1,7 @@
 """DuckDB statements for the queries that SQL can express."""
 
+from tallyspark.llm.licenses import TEMPLATES
+
 # Vector codes: rounds are the same statement over the codebook before.
 _ROUNDS = 6
 _NEAREST = """
@@ -88,28 +90,81 @@ FROM page LEFT JOIN found USING (page_id)
 WITH doc AS (
   SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '') AS words
   FROM documents
+), wording AS (
+  SELECT number, license, list_filter(regexp_split_to_array(lower(text), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '') AS words
+  FROM (VALUES """
+    + ",\n    ".join(f"({i}, '{name}', '{text.replace(chr(39), chr(39) * 2)}')" for i, (name, text) in enumerate(TEMPLATES))
+    + r""") AS t(number, license, text)
 ), template AS (
-  SELECT * FROM (VALUES
-    ('mit', 1, 1, ['released under the mit license']),
-    ('cc-by-nc-4.0', 5, 2, ['licensed under cc by nc', 'under cc by nc 4', 'cc by nc 4 0']),
-    ('apache-2.0', 5, 2, ['licensed under the apache license', 'under the apache license version', 'the apache license version 2',
-      'apache license version 2 0']),
-    ('gpl-3.0', 11, 4, ['this work is licensed under', 'work is licensed under the', 'is licensed under the gnu',
-      'licensed under the gnu general', 'under the gnu general public', 'the gnu general public license',
-      'gnu general public license version', 'general public license version 3']),
-    ('mpl-2.0', 20, 7, ['this source code form is', 'source code form is subject', 'code form is subject to', 'form is subject to the',
-      'is subject to the terms', 'subject to the terms of', 'to the terms of the', 'the terms of the mozilla', 'terms of the mozilla public',
-      'of the mozilla public license', 'the mozilla public license v', 'mozilla public license v 2', 'public license v 2 0'])
-  ) AS t(license, size, stride, shingles)
+  SELECT number, license, list_distinct(list_transform(range(1, greatest(len(words) - 4, 1) + 1), lambda i: array_to_string(words[i:i + 4], ' '))) AS shingles
+  FROM wording
+), alike AS (
+  -- Wordings of like length (up to the next power of two) are looked for in windows of one size.
+  SELECT *, len(shingles) AS n, max(len(shingles)) OVER (PARTITION BY ceil(log2(len(shingles)))) AS longest FROM template
+), sized AS (
+  SELECT *, greatest(1, longest // 2) AS stride, longest + greatest(1, longest // 2) - 1 AS size FROM alike
 ), shingled AS (
   SELECT doc_id, list_transform(range(1, greatest(len(words) - 4, 1) + 1), lambda i: array_to_string(words[i:i + 4], ' ')) AS s
   FROM doc WHERE len(words) > 0
+), near AS (
+  SELECT doc_id, number FROM (SELECT DISTINCT doc_id, unnest(s) AS x FROM shingled) JOIN (SELECT number, n, unnest(shingles) AS x FROM sized) USING (x)
+  GROUP BY doc_id, number, n HAVING 100 * count(*) >= 80 * n
 ), windowed AS (
-  SELECT doc_id, license, shingles, list_distinct(s[k + 1:k + size]) AS own
-  FROM shingled, template, LATERAL (SELECT unnest(range(0, len(s), stride)) AS k) WHERE list_has_any(s, shingles)
+  SELECT doc_id, license, shingles, n, list_distinct(s[a + k + 1:a + k + size]) AS own
+  FROM near JOIN sized USING (number) JOIN shingled USING (doc_id), LATERAL (SELECT unnest(range(0, len(s), 5040)) AS a),
+       LATERAL (SELECT unnest(range(0, least(5040, len(s) - a), stride)) AS k)
+)
+SELECT doc_id, license, max(len(list_intersect(own, shingles)) / n) AS containment
+FROM windowed WHERE 100 * len(list_intersect(own, shingles)) >= 80 * n GROUP BY ALL
+""",
+    "op7_suffix_array_dedup": r"""
+WITH doc AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), place AS (
+  SELECT doc_id, i, md5(substr(h, 2 * i + 1, 100)) AS g FROM doc, LATERAL (SELECT unnest(range(0, len(h) // 2 - 49)) AS i)
+), hit AS (
+  SELECT doc_id, i FROM place JOIN (SELECT g, min(doc_id) AS first FROM place GROUP BY g) USING (g) WHERE first < doc_id
+), numbered AS (
+  SELECT doc_id, i, sum(opens) OVER (PARTITION BY doc_id ORDER BY i) AS run
+  FROM (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50 THEN 0 ELSE 1 END AS opens FROM hit)
+), span AS (SELECT doc_id, run, min(i) AS a, max(i) + 50 AS b FROM numbered GROUP BY doc_id, run),
+gap AS (SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS before FROM span),
+cut AS (
+  SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS last,
+         string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS head
+  FROM gap JOIN doc USING (doc_id) GROUP BY doc_id
 )
-SELECT doc_id, license, max(len(list_intersect(own, shingles)) / len(shingles)) AS containment
-FROM windowed WHERE 100 * len(list_intersect(own, shingles)) >= 80 * len(shingles) GROUP BY ALL
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM doc LEFT JOIN cut USING (doc_id)
+""",
+    "op9_near_duplicates": r"""
+WITH RECURSIVE doc AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ \t\n\x0B\f\r]+') AS words
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) = 1 THEN words
+    ELSE list_sort(list_distinct(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]))) END AS s
+  FROM doc
+), same AS (  -- documents of equal sets stand as one
+  SELECT min(doc_id) AS id, s, len(s) AS n FROM sets WHERE len(s) > 0 GROUP BY s
+), item AS (SELECT id, n, unnest(s) AS x FROM same),
+ranked AS (
+  SELECT id, n, x, row_number() OVER (PARTITION BY id ORDER BY often, x) AS place
+  FROM item JOIN (SELECT x, count(*) AS often FROM item GROUP BY x) USING (x)
+), first AS (  -- sets alike at 0.8 share one of their rarest n - ceil(0.8 n) + 1 members
+  SELECT id, n, x FROM ranked WHERE place <= n - (8 * n + 9) // 10 + 1
+), pair AS (
+  SELECT DISTINCT a.id AS a, b.id AS b FROM first a JOIN first b ON a.x = b.x AND a.id < b.id AND 10 * a.n >= 8 * b.n AND 10 * b.n >= 8 * a.n
+), link AS (
+  SELECT a, b FROM pair JOIN same l ON l.id = a JOIN same r ON r.id = b
+  WHERE 100 * len(list_intersect(l.s, r.s)) >= 80 * (l.n + r.n - len(list_intersect(l.s, r.s)))
+), edge AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach AS (SELECT a AS id, a AS to_id FROM edge UNION SELECT r.id, e.b FROM reach r JOIN edge e ON e.a = r.to_id),
+component AS (SELECT id, min(to_id) AS component_id FROM reach GROUP BY id)
+SELECT d.doc_id, CAST(len(d.s) AS BIGINT) AS n_shingles, coalesce(c.component_id, m.id, d.doc_id) AS component_id,
+       d.doc_id = coalesce(c.component_id, m.id, d.doc_id) AS kept
+FROM sets d LEFT JOIN same m ON len(d.s) > 0 AND d.s = m.s LEFT JOIN component c ON c.id = m.id
 """,
     "op12_vector_codes": """
 WITH kept AS (

@@ -6,6 +6,7 @@ import hashlib
 import importlib
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 
@@ -21,6 +22,40 @@ def test_queries_match_their_statements(spark, name):
     assert ok, note
 
 
+@pytest.fixture
+def beside(spark, tmp_path):
+    """Whether a query over given texts equals its statement over the same texts."""
+
+    def check(name, texts):
+        path = f"{tmp_path}/documents.parquet"
+        documents(spark, list(enumerate(texts))).write.mode("overwrite").parquet(path)
+        con = duckdb.connect()
+        con.execute(f"CREATE VIEW documents AS SELECT * FROM '{path}/*.parquet'")
+        return compare(spark, con, str(tmp_path), name, queries.QUERIES[name], oracles.ORACLES[name])
+
+    return check
+
+
+def test_license_statement_covers_all_wordings(beside):
+    texts = []
+    for _, wording in licenses.TEMPLATES:
+        words = wording.split()
+        texts += [wording, "Some file. " + wording + " More text after it. " * 3, " ".join(words[: len(words) * 9 // 10]), " ".join(words[: len(words) // 2])]
+    texts += [None, "", "Licensed", "word " * 7000 + "Licensed under the MIT License. " + "word " * 9000]
+    ok, note = beside("op6_licenses", texts)
+    assert ok, note
+
+
+def test_statements_on_odd_texts(beside):
+    line = "a line of words that goes on beyond fifty bytes and stands in several of the texts\n"
+    # The statement for passages takes a slice per byte, so the text of 200,000 characters is left to the test by force.
+    texts = [t for _, t in ODD_ROWS if t is None or ("\x00" not in t and len(t) < 10_000)]
+    texts += [line * 3, "x" + line, line[:50], line[:49], "Ü" * 60, "y" + "Ü" * 40, line + "\x0b tail", line + "\u00a0tail", line.upper()]
+    for name in ("op7_suffix_array_dedup", "op9_near_duplicates"):
+        ok, note = beside(name, texts)
+        assert ok, (name, note)
+
+
 # Archive
 
 PAGES = [(5, "http://a/", "x"), (3, "http://b/\r\nEvil: 1", "x"), (9, None, "x"), (4, "http://c/", None), (2, "http://d/", ""), (7, "u", "Ü" * 50_000),
