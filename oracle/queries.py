@@ -501,7 +501,7 @@ SELECT event_id, screen_reason = 'fine' AS allowed, screen_reason FROM (
     WHEN word <> '' THEN 'word:' || upper(word) ELSE 'fine' END AS screen_reason
   FROM (SELECT *, regexp_extract(parts[1], '(?i)\b(INSERT|UPDATE|DELETE|DROP|ALTER|CREATE|MERGE|COPY|GRANT|REVOKE|ATTACH|DETACH|INSTALL|LOAD|PRAGMA|EXPORT|IMPORT|VACUUM|REINDEX|READ_CSV|READ_CSV_AUTO|READ_PARQUET|READ_JSON|READ_JSON_AUTO|READ_TEXT|READ_BLOB|PARQUET_SCAN|CSV_SCAN|GLOB)\b', 1) AS word
         FROM (SELECT *, list_filter(string_split(code, ';'), lambda x: regexp_matches(x, '\S')) AS parts
-              FROM (SELECT *, regexp_replace(sql, '/\*(.|\n)*?\*/|--[^\n]*', ' ', 'g') AS code FROM statements) a) b) c) d"""
+              FROM (SELECT *, regexp_replace(regexp_replace(sql, '/\*(.|\n)*?\*/', ' ', 'g'), '--[^\n]*', ' ', 'g') AS code FROM statements) a) b) c) d"""
 SELECTS["audit_totals"] = """
 SELECT unnest(['all', 'allow', 'deny', 'other', 'without_tool']) AS measure,
        unnest([count(*), count_if(decision = 'allow'), count_if(decision = 'deny'),

@@ -348,8 +348,9 @@ SELECT event_id, replace([
   'SELECT d.*, ''/* @ */'' AS stars FROM gold.dim_date d',
   'SELECT @ -- one' || chr(10) || 'FROM gold.dim_channel /* two' || chr(10) || 'three */ LIMIT 4',
   ';;; ;',
-  'CREATE VIEW v@ AS SELECT 1'
-][event_id % 20 + 1], '@', CAST(event_id AS VARCHAR)) AS sql FROM events"""
+  'CREATE VIEW v@ AS SELECT 1',
+  'SELECT @ AS a -- /* one' || chr(10) || '; SELECT 2 AS b */'
+][event_id % 21 + 1], '@', CAST(event_id AS VARCHAR)) AS sql FROM events"""
 
 
 def steps_for(text: str) -> list[str]:

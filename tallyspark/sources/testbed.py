@@ -384,6 +384,7 @@ STATEMENTS = (
     "SELECT @ -- one\nFROM gold.dim_channel /* two\nthree */ LIMIT 4",
     ";;; ;",
     "CREATE VIEW v@ AS SELECT 1",
+    "SELECT @ AS a -- /* one\n; SELECT 2 AS b */",
 )
 
 

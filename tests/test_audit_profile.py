@@ -53,6 +53,8 @@ def test_summaries(calls):
         ("select * from Read_Parquet('x')", "word:READ_PARQUET"),
         ("select 5 as load, 6 as copy", "word:LOAD"),
         ("select '/*' from lines where note = '*/' ; vacuum", "parts:2"),
+        ("select 5 -- /* six\n; select 7 */", "fine"),
+        ("select 5 /* -- six */ ; select 7", "parts:2"),
         (None, "blank"),
         ("", "blank"),
         ("\n \t", "blank"),
