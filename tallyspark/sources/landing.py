@@ -87,18 +87,17 @@ def land_wave(spark, store, wave, contract, loaded_at, dry_run, seen: set[str] |
     seen = set() if seen is None else seen
     table = f"raw.{contract.raw_table}"
     names = {f.path: f.name for f in wave}
-    files = manifest(spark, wave)
-    known = lookup_join(files, store.batches(table).withColumnRenamed("batch_id", "_known"), "batch_id", "_known", ["path"])
+    found = manifest(spark, wave).orderBy("path").collect()  # at most WAVE_FILES rows
+    known = store.known_batches(table, [f.batch_id for f in found])
     report, layouts = [], {}
-    found = known.orderBy("path").collect()  # at most WAVE_FILES rows
-    broken = [f.path for f in found if f.broken and f._known is None]
+    broken = [f.path for f in found if f.broken and f.batch_id not in known]
     unclosed = {r.path for r in open_files(numbered_lines(spark, broken)).collect()} if broken else set()
     rejected: dict[str, str] = {}
     for f in found:
-        if f._known is None and f.batch_id in rejected:
+        if f.batch_id in rejected:
             report.append(Landed(contract.feed, names[f.path], f.batch_id, None, "reject", rejected[f.batch_id]))
             continue
-        if f._known is not None or f.batch_id in seen:
+        if f.batch_id in known or f.batch_id in seen:
             report.append(Landed(contract.feed, names[f.path], f.batch_id, None, "skip"))
             continue
         seen.add(f.batch_id)
@@ -106,7 +105,6 @@ def land_wave(spark, store, wave, contract, loaded_at, dry_run, seen: set[str] |
         fault = header_fault(columns) or ("open_quote" if f.path in unclosed else None)
         if fault:
             rejected[f.batch_id] = fault
-        if fault:
             report.append(Landed(contract.feed, names[f.path], f.batch_id, None, "reject", fault))
         else:
             layouts.setdefault(columns, []).append(f)

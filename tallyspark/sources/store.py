@@ -4,6 +4,10 @@ Every write goes to a fresh folder and becomes visible when one log row names it
 a reader never sees a half-written table and a rerun after a lost executor or driver
 starts clean. One writer per table at a time.
 
+The log is ``<table>/log/commit=<version>-<mark>``, one row a folder: a reader lists names and opens the newest only.
+Ids of landed batches are ``<table>/batches/_prefix=<first two characters>``, each with the mark of the commit it
+belongs to. They are written before it, and count only once the log names the mark.
+
 Folders are ``<table>/data/_write=<id>/_part=<value>``, so a filter on ``_part`` prunes folders.
 A keyed table keeps beside its data which part each key was put into: a batch's keys are searched
 in the batch's own parts and in those this index names, and no other part is read.
@@ -13,7 +17,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -23,7 +27,9 @@ from pyspark.sql import types as T
 
 from tallyspark.operators.upsert import upsert
 
-LOG_SCHEMA = "version bigint, schema string, parts array<struct<value:string,path:string>>, batches array<string>, keys string"
+LOG_SCHEMA = "version bigint, schema string, parts array<struct<value:string,path:string>>, keys string"
+BATCH_SCHEMA = "batch_id string, mark string, _prefix string"
+PREFIX, PREFIX_LENGTH = "_prefix", 2
 PART, WRITE = "_part", "_write"
 NO_PARTITION = "none"
 #: The part of a folder written without a partition: it may hold rows of any.
@@ -51,6 +57,10 @@ def widened(old: T.StructType | None, new: T.StructType) -> T.StructType:
     return T.StructType([*fields, *[f for f in new.fields if f.name not in names]])
 
 
+def commit_name(version: int, mark: str) -> str:
+    return f"commit={version:012d}-{mark}"
+
+
 class TableStore:
     """Tables under one root: ``<root>/<layer>/<table>``."""
 
@@ -61,20 +71,35 @@ class TableStore:
     def _home(self, name: str) -> str:
         return f"{self.root}/{name.replace('.', '/')}"
 
-    def log(self, name: str) -> DataFrame | None:
+    def _read_folder(self, path: str, read: Callable[[str], DataFrame]) -> DataFrame | None:
+        """A folder's files, or None before its first one."""
         try:
-            return self.spark.read.schema(LOG_SCHEMA).json(f"{self._home(name)}/log")
+            return read(path)
         except AnalysisException as missing:
             if "PATH_NOT_FOUND" in str(missing):
                 return None
             raise
 
+    def log(self, name: str) -> DataFrame | None:
+        """All commits of a table, with ``commit``, their folder's name."""
+        return self._read_folder(f"{self._home(name)}/log", self.spark.read.schema(f"{LOG_SCHEMA}, commit string").json)
+
+    def commits(self, name: str) -> DataFrame | None:
+        """(path, version, mark) of each commit, from the names of files alone."""
+        listed = self.spark.read.format("binaryFile").option("pathGlobFilter", "*.json").option("recursiveFileLookup", True)
+        files = self._read_folder(f"{self._home(name)}/log", listed.load)
+        if files is None:
+            return None
+        part = lambda i: F.regexp_extract("path", r"/commit=(\d+)-([0-9a-f]+)/[^/]*$", i)
+        return files.select("path", part(1).cast("bigint").alias("version"), part(2).alias("mark"))
+
     def _live(self, name: str) -> Version:
         """Live version, its columns and its folders: one log row."""
-        log = self.log(name)
-        last = None if log is None else log.drop("batches").orderBy(F.desc("version")).first()
-        if last is None:
+        commits = self.commits(name)
+        newest = None if commits is None else commits.agg(F.max_by("path", "version")).first()[0]
+        if newest is None:
             return Version(0, None, [])
+        last = self.spark.read.schema(LOG_SCHEMA).json(newest).first()
         return Version(last.version, T.StructType.fromJson(json.loads(last.schema)), [(p.value, p.path) for p in last.parts], last.keys)
 
     def version(self, name: str) -> int:
@@ -92,7 +117,8 @@ class TableStore:
         """Rows of the folders that became live after a version; None if there are none. Only these are opened."""
         live = self._live(name)
         log = self.log(name)
-        before = None if log is None else log.where(F.col("version") == version).select("parts").first()
+        name_of = F.col("commit").startswith(f"{version:012d}-")  # opens this commit's folder only
+        before = None if log is None else log.where(name_of).select("parts").first()
         seen = set() if before is None else {p.path for p in before.parts}
         added = [(v, p) for v, p in live.parts if p not in seen]
         return self._load(name, live.schema, added, parts) if added else None
@@ -105,15 +131,31 @@ class TableStore:
 
     def batches(self, name: str) -> DataFrame:
         """Ids of every batch ever committed to a table."""
-        log = self.log(name)
-        if log is None:
+        entries = self._read_folder(f"{self._home(name)}/batches", self.spark.read.schema(BATCH_SCHEMA).parquet)
+        commits = self.commits(name)
+        if entries is None or commits is None:
             return self.spark.createDataFrame([], "batch_id string")
-        return log.select(F.explode("batches").alias("batch_id")).distinct()
+        return entries.join(commits.select("mark"), "mark", "left_semi").select("batch_id").distinct()
+
+    def known_batches(self, name: str, ids: Sequence[str]) -> set[str]:
+        """Which of a wave's ids were committed. Opens the folders of their prefixes only."""
+        if not ids:
+            return set()
+        entries = self._read_folder(f"{self._home(name)}/batches", self.spark.read.schema(BATCH_SCHEMA).parquet)
+        if entries is None:
+            return set()
+        prefixes = sorted({i[:PREFIX_LENGTH] for i in ids})
+        own = entries.where(F.col(PREFIX).isin(prefixes) & F.col("batch_id").isin(list(ids)))
+        return {r.batch_id for r in own.join(self.commits(name).select("mark"), "mark", "left_semi").select("batch_id").collect()}
 
     def _commit(self, name: str, version: Version, batches: Sequence[str] = ()) -> None:
+        mark = uuid.uuid4().hex
+        if batches:
+            entries = self.spark.createDataFrame([(i, mark, i[:PREFIX_LENGTH]) for i in batches], BATCH_SCHEMA)
+            entries.coalesce(1).write.mode("append").partitionBy(PREFIX).parquet(f"{self._home(name)}/batches")
         parts = [{"value": v, "path": p} for v, p in version.parts]
-        row = [(version.number, version.schema.json(), parts, list(batches), version.keys)]
-        self.spark.createDataFrame(row, LOG_SCHEMA).coalesce(1).write.mode("append").json(f"{self._home(name)}/log")
+        row = [(version.number, version.schema.json(), parts, version.keys)]
+        self.spark.createDataFrame(row, LOG_SCHEMA).coalesce(1).write.json(f"{self._home(name)}/log/{commit_name(version.number, mark)}")
 
     def _write(self, name: str, df: DataFrame, partition: Column | None = None) -> list[tuple[str, str]]:
         """Rows into a fresh folder, by partition if there is one; returns its parts. Partition values must be plain
@@ -195,6 +237,28 @@ class TableStore:
         self._commit(name, Version(live.number + 1, widened(live.schema, new.schema), kept + written, folder))
         return self.read(name)
 
+    def purge(self, name: str) -> list[str]:
+        """Delete what the live version doesn't name: replaced folders, those of writes that never ended, staged copies
+        and old key indexes. Run it while nobody writes the table or reads an older version. Returns what it deleted."""
+        home, live = self._home(name), self._live(name)
+        kept = {"/".join(p.rstrip("/").rsplit("/", 2)[1:]) for _, p in live.parts}
+        gone = [p for write in self._folders(f"{home}/data") for p in self._folders(write) if "/".join(p.rsplit("/", 2)[1:]) not in kept]
+        gone += self._folders(f"{home}.staging")
+        index = None if live.keys is None else live.keys.rstrip("/").rsplit("/", 1)[1]
+        gone += [p for p in self._folders(f"{home}/keys") if p.rsplit("/", 1)[1] != index]
+        for path in gone:
+            place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
+        return gone
+
+    def _folders(self, path: str) -> list[str]:
+        """Folders right under one."""
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        files = place.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+        if not files.exists(place):
+            return []
+        return [f.getPath().toString() for f in files.listStatus(place) if f.isDirectory()]
+
     def insert(self, name: str, new: DataFrame, keys: Sequence[str], partition: Column) -> DataFrame:
         """Add the rows whose key the table does not hold yet; rows it holds stay as they are, and no folder is
         rewritten. ``new`` holds a key once."""

@@ -125,3 +125,46 @@ def test_filters_on_the_part_prune_folders(spark, store):
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(_part" in plan and rows(one.drop("_part")) == [("k5", "2024-05", 5)]
     assert len(one.inputFiles()) == 9 and "2024-05" in plan
+
+
+def log_files(tmp_path, name):
+    return sorted(Path(tmp_path).glob(f"{name.replace('.', '/')}/log/commit=*/*.json"))
+
+
+def test_a_landing_reads_one_manifest(spark, store, tmp_path):
+    """Older manifests are broken here, and so are the ids of other prefixes: none of them is opened."""
+    ids = ["00aa", "1e10", "ff01", "ff02"]
+    for i, batch in enumerate(ids):
+        store.append("raw.t", frame(spark, [(f"k{i}", "m", i)]), batches=[batch])
+    for old in log_files(tmp_path, "raw.t")[:-1]:
+        old.write_text('{"version": 99, "schema": "broken"')
+    for other in Path(tmp_path).glob("raw/t/batches/_prefix=00/*.parquet"):
+        other.write_bytes(b"not a parquet file")
+    assert store.known_batches("raw.t", ["1e10", "ff02", "ff03"]) == {"1e10", "ff02"}
+    assert store.version("raw.t") == 4 and store.read("raw.t").count() == 4
+    store.append("raw.t", frame(spark, [("k9", "m", 9)]), batches=["ff03"])
+    assert store.version("raw.t") == 5 and store.known_batches("raw.t", ["ff03", "ab00"]) == {"ff03"}
+    assert store.known_batches("raw.t", []) == store.known_batches("raw.none", ["ff03"]) == set()
+
+
+def test_ids_without_their_commit_do_not_count(spark, store, tmp_path):
+    store.append("raw.t", frame(spark, [("a", "m", 1)]), batches=["aa01"])
+    lost = spark.createDataFrame([("aa02", "0" * 32, "aa")], "batch_id string, mark string, _prefix string")
+    lost.write.mode("append").partitionBy("_prefix").parquet(f"{tmp_path}/raw/t/batches")
+    assert store.known_batches("raw.t", ["aa01", "aa02"]) == {"aa01"}
+    assert [r.batch_id for r in store.batches("raw.t").collect()] == ["aa01"]
+
+
+def test_purge_deletes_what_is_not_live(spark, store):
+    assert store.purge("gold.f") == []
+    store.upsert("gold.f", frame(spark, [("a", "2024-01", 1), ("b", "2024-02", 2)]), ["id"], F.col("month"))
+    store.upsert("gold.f", frame(spark, [("b", "2024-02", 3), ("c", "2024-03", 4)]), ["id"], F.col("month"))
+    parts = store._live("gold.f").parts
+    gone = store.purge("gold.f")
+    assert len(gone) == 3 and sum("staging" in g for g in gone) == 2  # the first 2024-02 and two staged copies
+    assert store._live("gold.f").parts == parts and store.purge("gold.f") == []
+    assert rows(store.read("gold.f")) == [("a", "2024-01", 1), ("b", "2024-02", 3), ("c", "2024-03", 4)]
+    store.replace("gold.f", frame(spark, [("z", "2024-01", 9)]))
+    assert any("/keys/" in g for g in store.purge("gold.f"))
+    out = store.upsert("gold.f", frame(spark, [("z", "2024-04", 8)]), ["id"], F.col("month"))
+    assert rows(out) == [("z", "2024-04", 8)]
