@@ -115,7 +115,7 @@ def bronze_idempotent_append(w: Workbench) -> DataFrame:
 
 @query
 def bronze_gate(w: Workbench) -> DataFrame:
-    raw = w.raw("pos_orders")
+    raw = w.landed("pos_orders")
     good = landing.only_passing(raw, gate.verdicts(raw, w.contracts["pos_orders"]))
     return good.groupBy(F.col("_source_file").alias("file")).agg(F.count(F.lit(1)).alias("rows"))
 
@@ -282,7 +282,7 @@ def gate_boolean(w: Workbench) -> DataFrame:
 @query
 def gate_verdict(w: Workbench) -> DataFrame:
     fed = ("pos_orders", "customer_master", "product_master", "fx_rates", "gl_extract")
-    return reduce(DataFrame.unionByName, [gate.verdicts(w.raw(f), w.contracts[f]) for f in fed])
+    return reduce(DataFrame.unionByName, [gate.verdicts(w.landed(f), w.contracts[f]) for f in fed])
 
 
 # Bronze and silver

@@ -58,6 +58,13 @@ class Workbench:
             self._raw[feed] = plan
         return self._raw[feed]
 
+    def landed(self, feed: str) -> DataFrame:
+        """A raw feed as landing leaves it: written once, so that checks of many rules don't derive it for each."""
+        name = f"raw.{self.contracts[feed].raw_table}"
+        if name not in self._built:
+            self._built[name] = self.store.replace(name, self.raw(feed))
+        return self._built[name]
+
     def bronze(self, feed: str) -> DataFrame:
         return typed(self.raw(feed), self.contracts[feed])
 
