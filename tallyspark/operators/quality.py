@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyspark.operators.joins import BROADCAST_ROWS, lookup_join
+from tallyspark.operators.joins import BROADCAST_ROWS, rows_within, salted_join
 
 WARN_HOURS = 36
 ERROR_HOURS = 72
@@ -131,14 +131,42 @@ def negative_sales(fact: DataFrame) -> DataFrame:
     return fact.where(~F.col("is_return") & (F.col("net_revenue") < 0)).select("order_line_id", "net_revenue")
 
 
-def orphan_keys(fact: DataFrame, dimensions: Mapping[str, DataFrame], max_broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def _lost_keys(fact: DataFrame, dimensions: Mapping[str, DataFrame], limit: int) -> DataFrame | None:
+    """(_place, _lost): key values of the fact, as text, that their dimension lacks; None if there are over ``limit``.
+
+    Key values collapse within the map tasks before they meet the dimensions, so no row of the fact is shuffled."""
+    cells = [F.struct(F.lit(i).alias("_place"), F.col(key).cast("string").alias("_lost")) for i, key in enumerate(dimensions)]
+    seen = fact.select(F.explode(F.array(*cells)).alias("c")).select("c.*").where("_lost IS NOT NULL").distinct()
+    held = [
+        dim.select(F.lit(i).alias("_place"), F.col(key).cast(fact.schema[key].dataType).cast("string").alias("_lost"))
+        for i, (key, dim) in enumerate(dimensions.items())
+    ]
+    found = seen.join(reduce(DataFrame.unionByName, held), ["_place", "_lost"], "left_anti").limit(limit + 1).collect()
+    return fact.sparkSession.createDataFrame(found, "_place int, _lost string") if len(found) <= limit else None
+
+
+def orphan_keys(
+    fact: DataFrame, dimensions: Mapping[str, DataFrame], max_broadcast_rows: int = BROADCAST_ROWS, max_lost_keys: int = BROADCAST_ROWS
+) -> DataFrame:
     """Fact rows with any foreign key missing from its dimension (or null).
 
-    ``dimensions`` maps a fact key column to the dimension with a column of that name."""
+    ``dimensions`` maps a fact key column to the dimension with a column of that name. Dimensions of at most
+    ``max_broadcast_rows`` rows are broadcast. For the others one more scan finds the key values without a member; up to
+    ``max_lost_keys`` of them are broadcast in the dimensions' place, and beyond that rows and dimensions are shuffled."""
     rows = fact.select("order_line_id", *dimensions)
-    for key, dim in dimensions.items():
-        held = dim.select(F.col(key).alias("_dim_key")).distinct()
-        rows = lookup_join(rows, held, key, "_dim_key", ["order_line_id"], max_broadcast_rows=max_broadcast_rows, base=fact)
+    held = {key: dim.select(F.col(key).alias("_dim_key")).distinct() for key, dim in dimensions.items()}
+    large = [key for key in dimensions if not rows_within(held[key], max_broadcast_rows)]
+    lost = _lost_keys(fact, {key: dimensions[key] for key in large}, max_lost_keys) if large else None
+    for key in dimensions:
+        if lost is not None and key in large:
+            own = F.broadcast(lost.where(F.col("_place") == large.index(key)).select("_lost"))
+            rows = rows.join(own, F.col(key).cast("string") == F.col("_lost"), "left")
+            rows = rows.withColumn(f"_no_{key}", F.col(key).isNull() | F.col("_lost").isNotNull()).drop("_lost")
+            continue
+        if key in large:
+            rows = salted_join(rows, held[key], key, "_dim_key", ["order_line_id"], base=fact)
+        else:
+            rows = rows.join(F.broadcast(held[key]), F.col(key) == F.col("_dim_key"), "left")
         rows = rows.withColumn(f"_no_{key}", F.col("_dim_key").isNull()).drop("_dim_key")
     orphan = reduce(lambda a, b: a | b, [F.col(f"_no_{k}") for k in dimensions])
     return rows.where(orphan).select("order_line_id", *dimensions)

@@ -54,6 +54,17 @@ def test_seeded_faults_are_found(w):
     want = fact.where("is_unknown_customer").count()
     assert quality.orphan_keys(fact, dims).count() == want > 0
     assert quality.orphan_keys(fact, dims, max_broadcast_rows=0).count() == want
+    assert quality.orphan_keys(fact, dims, max_broadcast_rows=0, max_lost_keys=0).count() == want
+
+
+def test_orphans_of_large_dimensions(spark):
+    """Lost key values are broadcast, or rows and dimensions shuffled: either way the same rows, nulls and text keys too."""
+    fact = spark.createDataFrame([("l1", 1, "a"), ("l2", 2, "a"), ("l3", None, "b"), ("l4", 3, "z"), ("l5", 1, None)], "order_line_id string, n int, s string")
+    dims = {"n": spark.createDataFrame([(1,), (2,), (2,)], "n bigint"), "s": spark.createDataFrame([("a",), ("b",), (None,)], "s string")}
+    want = [("l3", None, "b"), ("l4", 3, "z"), ("l5", 1, None)]
+    for limits in ({}, {"max_broadcast_rows": 0}, {"max_broadcast_rows": 0, "max_lost_keys": 0}):
+        assert sorted(tuple(r) for r in quality.orphan_keys(fact, dims, **limits).collect()) == want, limits
+    assert quality.orphan_keys(fact.limit(0), dims, max_broadcast_rows=0).count() == 0
 
 
 def test_overlap_beyond_the_neighbour(spark):
