@@ -31,7 +31,7 @@ from tallyspark.operators.metrics import capped, metric  # noqa: E402
 from tallyspark.operators.upsert import newer_than, read_watermark, upsert  # noqa: E402
 from tallyspark.plans import gold, marts, silver  # noqa: E402
 from tallyspark.plans.build import GOLD, MARTS, Settings, build, capture_products, load_silver_orders, order_partition, publish  # noqa: E402
-from tallyspark.plans.checks import run_checks  # noqa: E402
+from tallyspark.plans.checks import CHECKS, run_checks, run_rules  # noqa: E402
 from tallyspark.plans.workbench import Workbench  # noqa: E402
 from tallyspark.sources import feeds, landing, testbed  # noqa: E402
 from tallyspark.sources.contracts import ColumnRule, FeedContract  # noqa: E402
@@ -729,7 +729,10 @@ SUITE = (
 
 @query
 def dq_suite(w: Workbench) -> DataFrame:
-    return run_checks(w.tables(*SUITE))
+    """Every declared assertion, on raw tables as landed, too, and the business rules."""
+    landed = {c.raw_table: w.landed(feed) for feed, c in w.contracts.items() if c.raw_table in CHECKS}
+    tables = landed | w.tables(*SUITE)
+    return run_checks(tables).unionByName(run_rules(tables))
 
 
 # Audit

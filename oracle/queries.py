@@ -342,13 +342,17 @@ SELECTS["publish_counts"] = " UNION ALL ".join(
     for n, cte in _TABLES.items()
 )
 _PROFILED = {
-    "customer_sk": "string", "customer_id": "string", "customer_segment": "string", "signup_date": "date", "is_current": "boolean",
-}
+    "customer_sk": ("string", "Key of one version of a customer."),
+    "customer_id": ("string", "The customer in the source; UNKNOWN where a sale names none."),
+    "customer_segment": ("string", "Segment of the customer while the version held."),
+    "signup_date": ("date", "Day the customer signed up."),
+    "is_current": ("boolean", "Whether the version still holds."),
+}
 SELECTS["profile_samples"] = " UNION ALL ".join(
-    f"SELECT '{c}' AS column_name, '{kind}' AS data_type, true AS nullable, "
+    f"SELECT '{c}' AS column_name, '{kind}' AS data_type, true AS nullable, '{about}' AS description, "
     f"(SELECT string_agg(v, '|' ORDER BY v) FROM (SELECT DISTINCT CAST({c} AS VARCHAR) AS v FROM dim_customer "
     f"WHERE {c} IS NOT NULL ORDER BY v LIMIT 3) s) AS samples"
-    for c, kind in _PROFILED.items()
+    for c, (kind, about) in _PROFILED.items()
 )
 SELECTS["preview"] = f"""
 SELECT order_line_id, {text('order_date')}, quantity, {double('net_revenue')}, is_return
@@ -443,6 +447,8 @@ FROM silver_orders WHERE currency <> 'USD'
 GROUP BY 1, 2"""
 
 _SUITE_TABLES = {
+    "raw_pos_orders": "bronze_pos", "raw_gl_extract": "bronze_gl", "raw_customer_master": "bronze_customers",
+    "raw_product_master": "bronze_products",
     "silver_orders": "silver_orders", "silver_customers": "silver_customers", "silver_products": "silver_products",
     "silver_gl": "silver_gl", "silver_fx_rates": "silver_fx", **_TABLES,
 }
@@ -475,6 +481,8 @@ def _suite() -> str:
             f"count(*) AS failures FROM (SELECT {keys} FROM {_SUITE_TABLES[table]} GROUP BY ALL HAVING count(*) > 1) u")
     for table, condition in suite.EXPRESSION.items():
         add(table, "expression", condition, f"count(*) AS failures FROM {_SUITE_TABLES[table]} WHERE NOT ({condition})")
+    for (table, name), failing in suite.RULES.items():
+        add(table, "rule", name, f"count(*) AS failures FROM ({failing}) r")
     return " UNION ALL ".join(out)
 
 

@@ -1,4 +1,4 @@
-"""Declared assertions per table and a runner that counts their failures."""
+"""Declared assertions per table, business rules across tables, and runners that count their failures."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.functions.keys import UNKNOWN_MEMBER
+from tallyspark.operators import quality
 from tallyspark.sources.contracts import ACCOUNTS, CATEGORIES, CHANNELS, CURRENCIES, REGIONS, SEGMENTS
 
 
@@ -215,3 +216,43 @@ def run_checks(tables: Mapping[str, DataFrame], checks: Mapping[str, TableChecks
         if spec.unique or spec.accepted or spec.combination or any(t in tables for t in spec.parents.values()):
             out.append(_per_value(df, spec, tables).select(F.lit(name).alias("table_name"), "*"))
     return reduce(DataFrame.unionByName, out)
+
+
+#: Tables that the business rules read, and the history tables by the key whose versions they hold.
+RULE_TABLES = (
+    "raw_pos_orders", "fact_sales", "fact_gl", "dim_date", "dim_customer", "dim_product", "dim_region", "dim_channel",
+    "gross_margin_by_segment", "monthly_revenue_bridge",
+)
+HISTORIES = {"dim_customer": "customer_id", "dim_product": "product_id"}
+
+
+def business_rules(tables: Mapping[str, DataFrame]) -> list[tuple[str, str, DataFrame]]:
+    """Table, name and failing rows of the rules that no single column declares; needs all of RULE_TABLES."""
+    missing = [t for t in RULE_TABLES if t not in tables]
+    if missing:
+        raise ValueError(f"business rules need tables {missing}")
+    sales, ledger = tables["fact_sales"], tables["fact_gl"]
+    rules = [
+        ("fact_sales", "rowcount_within_source", quality.rowcount_within(tables["raw_pos_orders"], sales)),
+        ("fact_sales", "net_revenue_sign", quality.negative_sales(sales)),
+        ("fact_gl", "ties_to_sales", quality.gl_ties_to_sales(sales, ledger)),
+        ("fact_sales", "no_orphan_keys", quality.orphan_keys(sales, {c: tables[t] for c, t in CHECKS["fact_sales"].parents.items()})),
+    ]
+    margins = quality.margin_in_range(tables["gross_margin_by_segment"], tables["monthly_revenue_bridge"])
+    for mart in ("gross_margin_by_segment", "monthly_revenue_bridge"):
+        rules.append((mart, "margin_in_range", margins.where(F.col("model") == mart)))
+    for history, key in HISTORIES.items():
+        rules.append((history, "no_overlapping_windows", quality.overlapping_windows(tables[history], key)))
+        rules.append((history, "one_current_version", quality.not_one_current({key: tables[history]})))
+    return rules
+
+
+def run_rules(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """(table_name, test, column_name, failures) of the business rules; the rule's name stands in place of a column."""
+    counted = [
+        failing.agg(F.count(F.lit(1)).alias("failures")).select(
+            F.lit(table).alias("table_name"), F.lit("rule").alias("test"), F.lit(name).alias("column_name"), "failures"
+        )
+        for table, name, failing in business_rules(tables)
+    ]
+    return reduce(DataFrame.unionByName, counted)

@@ -1,7 +1,8 @@
 import pytest
 
+import __spark_entry__ as entry
 from tallyspark.operators import audit, profile
-from tests.conftest import rows
+from tests.conftest import SMALL, rows
 
 
 @pytest.fixture
@@ -85,6 +86,15 @@ def test_profile_covers_the_whole_table(spark):
     assert {r.column_name: r.samples for r in profile.column_profile(with_nulls).collect()}["s"] == []
 
 
+def test_profile_describes_every_governed_column(spark):
+    df = spark.createDataFrame([(1, "a")], "quantity int, other string")
+    assert {r.column_name: r.description for r in profile.column_profile(df).collect()}["other"] == ""
+    assert {r.column_name: r.description for r in profile.column_profile(df, {"other": "x"}).collect()} == {"quantity": "", "other": "x"}
+    w = entry.workbench(spark, SMALL)
+    for name, table in w.tables(*entry.GOLD, *entry.MARTS).items():
+        assert set(table.columns) <= set(profile.COLUMN_DESCRIPTIONS), name
+
+
 def test_preview_is_clamped(spark):
     df = spark.range(100)
     assert profile.preview(df, 500, ["id"]).count() == 50

@@ -34,6 +34,17 @@ def test_suite_on_built_tables(w):
     assert {r.test for r in failing.collect()} == {"accepted_values"}
 
 
+def test_rules_run_over_built_tables(w):
+    tables = {"raw_pos_orders": w.landed("pos_orders")} | w.tables(*GOLD, *MARTS)
+    found = checks.run_rules(tables).collect()
+    assert len(found) == 10 and not any(r.failures for r in found)
+    spoilt = tables | {"fact_sales": tables["fact_sales"].where("not is_return").withColumn("region_sk", F.lit("none"))}
+    broken = {r.column_name for r in checks.run_rules(spoilt).where("failures > 0").collect()}
+    assert {"ties_to_sales", "no_orphan_keys"} <= broken
+    with pytest.raises(ValueError, match="fact_gl"):
+        checks.run_rules({k: v for k, v in tables.items() if k != "fact_gl"})
+
+
 def test_business_rules_pass_on_clean_tables(w):
     fact, ledger = w.table("fact_sales"), w.table("fact_gl")
     dims = {k: w.table(t) for k, t in checks.CHECKS["fact_sales"].parents.items()}
