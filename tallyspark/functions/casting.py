@@ -1,17 +1,19 @@
 """Null-safe casts from landed text to contract types, and exact money arithmetic.
 
-Money stays DECIMAL end to end: DECIMAL(18,4) amounts times DECIMAL(18,9) rates
-need 37 digits, so Spark never has to drop scale before the final rounding.
+Money stays DECIMAL end to end. Numbers land with nine decimals and are priced with them: DECIMAL(28,9) amounts times
+DECIMAL(18,9) rates are DECIMAL(38,9), rounded to cents after. From silver on amounts are DECIMAL(18,4).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CENTS = "decimal(18,2)"
-NUMERIC_SCALE = 4
+NUMERIC_SCALE = 9
 RATE_SCALE = 9
+#: Amounts from silver on.
+AMOUNT = "decimal(18,4)"
 
 # Text date layouts the gate accepts besides ISO.
 DATE_LAYOUTS = ("MM/dd/yyyy", "dd-MMM-yyyy", "yyyy/MM/dd", "yyyyMMdd", "MMM d, yyyy")
@@ -23,7 +25,7 @@ FALSE_WORDS = ("false", "False", "0")
 def spark_type(logical: str, scale: int | None = None) -> str:
     """Physical Spark type of a contract type."""
     if logical == "numeric":
-        return f"decimal(18,{NUMERIC_SCALE if scale is None else scale})"
+        return f"decimal(28,{NUMERIC_SCALE})" if scale is None else f"decimal(18,{scale})"
     return {
         "string": "string",
         "integer": "bigint",
@@ -50,6 +52,12 @@ def parse_timestamp(col: Column) -> Column:
     return F.coalesce(iso, *[F.try_to_timestamp(col, F.lit(layout)) for layout in DATE_LAYOUTS])
 
 
+def narrowed(df: DataFrame, *amounts: str) -> DataFrame:
+    """Landed amounts rounded to silver's four decimals, half away from zero; NULL where one has over 14 digits before
+    the point, which the gate lets no file land."""
+    return df.withColumns({a: F.round(a, 4).try_cast(AMOUNT) for a in amounts})
+
+
 def cents(amount: Column) -> Column:
     """Round half away from zero to cents."""
     return F.round(amount, 2).cast(CENTS)

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyspark.functions.casting import FALSE_WORDS, TRUE_WORDS, null_safe_cast, parse_timestamp
+from tallyspark.functions.casting import AMOUNT, FALSE_WORDS, TRUE_WORDS, null_safe_cast, parse_timestamp
 from tallyspark.plans.bronze import META_COLUMNS
 from tallyspark.sources.contracts import ColumnRule, FeedContract
 
@@ -63,12 +63,15 @@ def _parsed(rule: ColumnRule) -> Column:
 
 
 def _kept(rule: ColumnRule) -> Column:
-    """Whether typing keeps a number as it is: bronze's own cast finds room for it and for all its decimals."""
+    """Whether typing keeps a number to nine decimals: bronze's own cast finds room for it, and silver's for amounts."""
     col = F.col(rule.name)
     if rule.dtype == "float":
         return F.lit(True)
     wide, landed = col.try_cast(WIDE), null_safe_cast(col, rule.dtype, rule.scale)
-    return F.coalesce(wide == landed.cast(WIDE), F.lit(False))
+    kept = wide == landed.try_cast(WIDE)
+    if rule.dtype == "numeric" and rule.scale is None:
+        kept = kept & F.round(landed, 4).try_cast(AMOUNT).isNotNull()
+    return F.coalesce(kept, F.lit(False))
 
 
 def _bound(value: float | str, dtype: str) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.functions.calendar import month_start
-from tallyspark.functions.casting import cents
+from tallyspark.functions.casting import cents, narrowed
 from tallyspark.functions.keys import UNKNOWN_MEMBER, is_missing_text, resolved_customer
 from tallyspark.operators.dedup import earliest, latest
 from tallyspark.operators.joins import multi_key_lookup, lookup_join
@@ -63,6 +63,7 @@ def silver_orders(bronze_pos: DataFrame, regions: DataFrame, fx: DataFrame) -> D
         {"order_month": month_start(F.col("order_date")), "is_return": F.col("quantity") < 0}
     )
     clean = convert_currency(resolve_customer(conform_region(lines, regions)), fx)
+    clean = narrowed(clean, "unit_price", "gross_revenue", "discount_amount", "net_revenue")
     return clean.select(
         "order_line_id", "order_id", "order_date", "order_month",
         "customer_id", "is_unknown_customer", "product_id", "region", "region_raw",
@@ -83,7 +84,8 @@ def silver_customers(bronze: DataFrame) -> DataFrame:
 
 def silver_products(bronze: DataFrame) -> DataFrame:
     """Product history: one row per product and extract, all extracts kept."""
-    return latest(bronze, "product_id", "extract_date").select(
+    rows = narrowed(latest(bronze, "product_id", "extract_date"), "list_price", "standard_cost")
+    return rows.select(
         "product_id", "extract_date", F.trim("description").alias("description"),
         "category", "subcategory", "list_price", "standard_cost", *LINEAGE,
     )
@@ -91,7 +93,7 @@ def silver_products(bronze: DataFrame) -> DataFrame:
 
 def silver_gl(bronze: DataFrame) -> DataFrame:
     """Ledger postings: one row per posting."""
-    return latest(bronze, "gl_id").select(
+    return narrowed(latest(bronze, "gl_id"), "amount_usd").select(
         "gl_id", "posting_date", month_start(F.col("posting_date")).alias("posting_month"),
         "account_code", "account_name", "region", "cost_center", "amount_usd", "currency",
         "source_system", *LINEAGE,

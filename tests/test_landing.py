@@ -49,7 +49,7 @@ def test_lands_text_with_metadata_and_keeps_blanks(spark, store, drop):
     assert (one._source_file, one._source_system, one._loaded_at) == ("pos_orders.csv", "POS", NOW)
     assert len(one._batch_id) == 16
     assert all(f.dataType.simpleString() == "string" for f in raw.schema if not f.name.startswith("_loaded"))
-    assert typed(raw, POS).schema["net_revenue"].dataType.simpleString() == "decimal(18,4)"
+    assert typed(raw, POS).schema["net_revenue"].dataType.simpleString() == "decimal(28,9)"
 
 
 def ids(spark, drop, **kw):

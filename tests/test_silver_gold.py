@@ -42,6 +42,15 @@ def test_integer_and_rounding_casts(spark):
     assert z.select(percent(F.col("a"), F.col("b"))).first()[0] is None
 
 
+def test_amounts_are_priced_before_they_are_narrowed(spark):
+    """Nine decimals reach the conversion: 0.00495 is no cent, though its four decimals, 0.0050, would round to one."""
+    row = orders(spark, GOOD | {"currency": "USD", "net_revenue": "0.00495", "unit_price": "8.400010009"}).first()
+    assert row.net_revenue == Decimal("0.0050") and row.net_revenue_usd == Decimal("0.00")
+    assert row.unit_price == Decimal("8.4000")
+    huge = orders(spark, GOOD | {"net_revenue": "123456789012345.5"}).first()
+    assert huge.net_revenue is None
+
+
 def test_regions_are_conformed(spark):
     spelled = [s for s, _ in REGION_SPELLINGS] + [" West ", "Mars"]
     df = orders(spark, *[GOOD | {"order_line_id": f"OL-{i:08d}", "region": s} for i, s in enumerate(spelled)])
