@@ -91,6 +91,20 @@ def test_archive_stores_a_payload_once_and_rebuilds_records(spark):
         head, _, rest = r.partition(b"\r\n\r\n")
         fields = dict(line.split(b": ", 1) for line in head.split(b"\r\n")[1:])
         assert b"Evil" not in fields and rest.endswith(b"\r\n\r\n") and len(rest) - 4 == int(fields[b"Content-Length"])
+        assert fields[b"WARC-Date"] == archive.NO_DATE.encode()
+        if fields[b"WARC-Type"] == b"response":
+            status, _, body = rest[:-4].partition(b"\r\n\r\n")
+            lines = status.split(b"\r\n")
+            assert fields[b"Content-Type"] == b"application/http;msgtype=response" and lines[0] == b"HTTP/1.1 200 OK"
+            assert lines[-1] == b"Content-Length: %d" % len(body)
+            assert fields[b"WARC-Payload-Digest"] == b"sha1:" + base64.b32encode(hashlib.sha1(body).digest())
+
+
+def test_records_carry_fetch_times(spark):
+    timed = spark.sql("SELECT 1L AS page_id, 'u' AS url, 'x' AS html, timestamp'2024-02-29 12:00:00+02:00' AS at UNION ALL SELECT 2L, 'v', 'y', NULL")
+    made = archive.write_archive(timed, fetched="at")
+    dates = {r["header"].split("<urn:page:")[1][0]: r["header"].split("WARC-Date: ")[1][:20] for r in archive.read_records(spark, made).collect()}
+    assert dates == {"1": "2024-02-29T10:00:00Z", "2": archive.NO_DATE}
 
 
 def test_short_payloads_are_never_revisited(spark):
