@@ -14,11 +14,13 @@
 from __future__ import annotations
 
 import bisect
+import json
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from itertools import chain, islice
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -49,25 +51,63 @@ ID = np.dtype("<u4")
 PUNCTUATION = "!%#*&$,.;:?|"
 
 
+#: The normaliser and the pattern under which a text's ids are those of its words in turn.
+NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}],
+}
+PATTERN = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {
+            "type": "Split",
+            "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+            "behavior": "Removed",
+            "invert": True,
+        },
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+WORD_END = "</w>"
+SPECIAL_OPENING = "<|"
+
+
 @lru_cache(maxsize=2)
 def tokenizer(path: str) -> Tokenizer:
-    return Tokenizer.from_file(path)
+    """The library's tokenizer, without truncation or padding that its file may ask for."""
+    out = Tokenizer.from_file(path)
+    out.no_truncation()
+    out.no_padding()
+    return out
+
+
+def word_by_word(path: str) -> bool:
+    """Whether a tokenizer's file proves that ids follow words: its normaliser and pattern let nothing reach across white
+    space, merges are plain ones within a match that ends in an end-of-word token, and added tokens share their opening."""
+    spec = json.loads(Path(path).read_text(encoding="utf-8"))
+    model = spec["model"]
+    plain = not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "byte_fallback", "ignore_merges"))
+    merges = model["type"] == "BPE" and model.get("end_of_word_suffix") == WORD_END and plain
+    added = all(t["content"].startswith(SPECIAL_OPENING) and not t["lstrip"] and not t["rstrip"] for t in spec["added_tokens"])
+    return merges and added and spec["normalizer"] == NORMALIZER and spec["pre_tokenizer"] == PATTERN
 
 
 class WordIds:
     """Ids of texts as little-endian bytes, word by word.
 
     The tokenizer's pattern keeps no match across white space and its normaliser changes nothing across it, so a text's
-    ids are those of its words in turn. Texts with a special token's opening go to the tokenizer whole.
+    ids are those of its words in turn. Texts with a special token's opening go to the tokenizer whole, and so do all
+    texts where the tokenizer's file doesn't prove this.
     """
 
     def __init__(self, path: str) -> None:
+        self.proven = word_by_word(path)
         self.encode = tokenizer(path).encode
         self.known: dict[bytes, bytes] = {b"": b""}
         self.tails: dict[str, bytes] = {}
         self.ends = np.zeros(max(tokenizer(path).get_vocab().values()) + 1, bool)
         for token, i in tokenizer(path).get_vocab().items():
-            self.ends[i] = token.endswith("</w>")
+            self.ends[i] = token.endswith(WORD_END)
 
     def whole(self, text: str) -> bytes:
         return np.asarray(self.encode(text, add_special_tokens=False).ids, ID).tobytes()
@@ -114,11 +154,13 @@ class WordIds:
         return self.tails[tail]
 
     def of_texts(self, texts: list[str | None]) -> list[bytes]:
+        if not self.proven:
+            return [self.whole(text or "") for text in texts]
         split: list[list[bytes] | None] = []
         for text in texts:
             data = (text or "").encode()
             # only ASCII letters are lowered here, which the tokenizer does too
-            split.append(None if b"<|" in data else data.lower().replace(b"\n", b" ").split(b" "))
+            split.append(None if SPECIAL_OPENING.encode() in data else data.lower().replace(b"\n", b" ").split(b" "))
         # A small dictionary of these texts' own words stays in the processor's cache; the large one doesn't.
         known = self.known.get
         own = {w: known(w) for w in set(chain.from_iterable(w for w in split if w is not None))}

@@ -1,5 +1,6 @@
 """Token counts and packing against the tokenizers themselves."""
 
+import json
 import zlib
 from collections import defaultdict
 
@@ -32,6 +33,24 @@ def test_counts_and_ids_of_any_text(text):
     assert np.frombuffer(packing.word_ids(WORD).of_texts([text])[0], "<u4").tolist() == want
 
 
+def test_words_stand_alone_only_where_the_file_proves_it(spark, odd, tmp_path):
+    assert packing.word_by_word(WORD)
+    other = public_tokenizers.path("byte_bpe_50k.json")
+    assert not packing.word_by_word(other)
+    texts = ["The  quick\tfox's <|x 12", "", None, "one\n two"]
+    want = [packing.tokenizer(other).encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(b, "<u4").tolist() for b in packing.word_ids(other).of_texts(texts)] == want
+    spec = json.loads(open(WORD, encoding="utf-8").read())
+    changes = [("normalizer", None), ("pre_tokenizer", None), ("model", spec["model"] | {"end_of_word_suffix": None})]
+    for number, (part, value) in enumerate(changes):
+        changed = tmp_path / f"{number}.json"
+        changed.write_text(json.dumps(spec | {part: value}), encoding="utf-8")
+        assert not packing.word_by_word(str(changed)), part
+    cutting = tmp_path / "cutting.json"
+    cutting.write_text(json.dumps(spec | {"truncation": {"direction": "Right", "max_length": 4, "strategy": "LongestFirst", "stride": 0}}), encoding="utf-8")
+    assert len(packing.tokenizer(str(cutting)).encode("a b c d e f g h", add_special_tokens=False).ids) == 8
+
+
 def test_token_counts_of_odd_rows(spark, odd, none):
     want = sorted(
         ((d, len((t or "").encode()), n := len(tokens.processor(SP).encode(t or "")), n > 4096) for d, t in ODD_ROWS), key=repr
