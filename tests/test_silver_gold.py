@@ -5,10 +5,12 @@ from pyspark.sql import functions as F
 
 from tallyspark.functions import calendar as cal
 from tallyspark.functions.casting import cents, null_safe_cast, percent
+from tallyspark.operators import joins
 from tallyspark.operators.dedup import earliest, latest
 from tallyspark.operators.upsert import newer_than, read_watermark, upsert
 from tallyspark.plans import gold, marts, silver
 from tallyspark.plans.bronze import typed
+from tallyspark.sources import testbed
 from tallyspark.sources.contracts import CONTRACTS, REGION_SPELLINGS
 from tests.conftest import rows
 from tests.test_gate import GOOD, POS, landed
@@ -185,3 +187,27 @@ def test_days_outside_the_calendar_leave_the_marts(spark):
 
 def test_contract_scales():
     assert CONTRACTS["fx_rates"].columns[3].scale == 9
+
+
+def test_lines_are_dealt_to_tasks_by_rows(spark, tmp_path, monkeypatch):
+    """Silver sorts the wide lines in the tasks of the order lookup: none may hold most of them."""
+    ids = spark.range(0, 2000, 1, 4)
+    tables = {
+        "region": spark.createDataFrame([(0, "ASIA")], "r_regionkey bigint, r_name string"),
+        "nation": spark.createDataFrame([(0, 0)], "n_nationkey bigint, n_regionkey bigint"),
+        "customer": ids.selectExpr("id AS c_custkey", "0L AS c_nationkey"),
+        "part": ids.selectExpr("id AS p_partkey", "id / 4 AS p_retailprice"),
+        "orders": ids.selectExpr("id AS o_orderkey", "id AS o_custkey", "DATE'1996-03-01' AS o_orderdate", "'1-URGENT' AS o_orderpriority"),
+        "lineitem": ids.selectExpr(
+            "id AS l_orderkey", "explode(sequence(1, 3)) AS l_linenumber", "1999 - id AS l_partkey", "id % 50 AS l_suppkey",
+            "5 AS l_quantity", "0.05 AS l_discount", "'N' AS l_returnflag",
+        ),
+    }
+    for name, df in tables.items():
+        df.write.parquet(str(tmp_path / f"{name}.parquet"))
+    monkeypatch.setattr(joins, "TASK_ROWS", 100, raising=False)
+    monkeypatch.setattr(joins, "rows_within", lambda df, limit: df.count() < 100)
+    lines = testbed.raw_pos_orders(spark, str(tmp_path))
+    held = [r["count"] for r in lines.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(held) == 6000 and max(held) <= 300
+    assert lines.where("unit_price = (1999 - cast(substring(order_id, 5) AS int)) / 4").count() == 6000
