@@ -183,8 +183,13 @@ def test_audit_stream(spark, tmp_path):
 
 
 def test_stream_landing_takes_files_of_a_header_alone(spark, tmp_path):
-    for name in ("region", "nation", "customer"):
-        spark.read.parquet(f"{SMALL}/{name}.parquet").coalesce(1).write.parquet(str(tmp_path / f"{name}.parquet"))
+    tables = {
+        "region": spark.createDataFrame([(0, "ASIA")], "r_regionkey bigint, r_name string"),
+        "nation": spark.createDataFrame([(0, 0)], "n_nationkey bigint, n_regionkey bigint"),
+        "customer": spark.range(1000).selectExpr("id AS c_custkey", "concat('C', id) AS c_name", "0L AS c_nationkey", "'BUILDING' AS c_mktsegment"),
+    }
+    for name, df in tables.items():
+        df.coalesce(1).write.parquet(str(tmp_path / f"{name}.parquet"))
     # Splits smaller than the one row group: the first task of a scan has no rows.
     sizes = {"spark.sql.files.maxPartitionBytes": "700b", "spark.sql.files.openCostInBytes": "0"}
     before = {k: spark.conf.get(k) for k in sizes}
