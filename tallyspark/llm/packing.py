@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import bisect
 import json
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -48,7 +49,9 @@ CACHE_BYTES = 48
 TEXTS_AT_ONCE = 400
 ID = np.dtype("<u4")
 #: Marks that may follow a word; none of them begins or continues a match with letters.
-PUNCTUATION = "!%#*&$,.;:?|"
+PUNCTUATION = b"!%#*&$,.;:?|"
+#: Whether a word in UTF-8 has letters below U+0250 only: each of them ends its word in an end-of-word token.
+LATIN = re.compile(b"(?:" + b"|".join(re.escape(chr(c).encode()) for c in range(0x250) if chr(c).isalpha()) + b")+").fullmatch
 
 
 #: The normaliser and the pattern under which a text's ids are those of its words in turn.
@@ -104,7 +107,7 @@ class WordIds:
         self.proven = word_by_word(path)
         self.encode = tokenizer(path).encode
         self.known: dict[bytes, bytes] = {b"": b""}
-        self.tails: dict[str, bytes] = {}
+        self.tails: dict[bytes, bytes] = {}
         self.ends = np.zeros(max(tokenizer(path).get_vocab().values()) + 1, bool)
         for token, i in tokenizer(path).get_vocab().items():
             self.ends[i] = token.endswith(WORD_END)
@@ -118,39 +121,38 @@ class WordIds:
         A word of Latin letters ends in its one end-of-word token, so such words go to the tokenizer together. So do
         the letters of a word with punctuation after them, which the tokenizer's pattern parts from letters.
         """
-        letters: dict[str, bytes] = {}
-        ending: list[tuple[bytes, str, str]] = []
         found: dict[bytes, bytes] = {}
+        letters: dict[bytes, bytes] = {}
+        ending: list[tuple[bytes, bytes]] = []
+        known = self.known.get
         for word in words:
-            text = word.decode()
-            core = text.rstrip(PUNCTUATION)
-            if not core.isalpha() or max(core) >= "ɐ":
-                found[word] = self.whole(text)
+            core = word.rstrip(PUNCTUATION)
+            if not (core.isalpha() or LATIN(core)):
+                found[word] = self.whole(word.decode())
                 continue
-            known = self.known.get(core.encode()) if len(core) < len(text) else None
-            letters[core] = known if known is not None else b""
-            if len(core) < len(text):
-                ending.append((word, core, text[len(core) :]))
+            letters[core] = b""
+            if len(core) < len(word):
+                letters[core] = known(core) or b""
+                ending.append((word, core))
         open_ = [c for c, ids in letters.items() if not ids]
         for i in range(0, len(open_), 500):
             part = open_[i : i + 500]
-            ids = np.asarray(self.encode(" ".join(part), add_special_tokens=False).ids, ID)
+            ids = np.asarray(self.encode(b" ".join(part).decode(), add_special_tokens=False).ids, ID)
             stops = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
             if len(stops) == len(part):
                 data = ids.tobytes()
                 letters.update(zip(part, (data[b:e] for b, e in zip([0, *stops], stops, strict=False)), strict=True))
             else:
-                letters.update((text, self.whole(text)) for text in part)
-        for word, core, tail in ending:
-            found[word] = letters[core] + self.of_tail(tail)
-        found.update((core.encode(), ids) for core, ids in letters.items())
+                letters.update((core, self.whole(core.decode())) for core in part)
+        found.update((word, letters[core] + self.of_tail(word[len(core) :])) for word, core in ending)
+        found.update(letters)
         return found
 
-    def of_tail(self, tail: str) -> bytes:
+    def of_tail(self, tail: bytes) -> bytes:
         if tail not in self.tails:
             if len(self.tails) > 10_000:
                 self.tails.clear()
-            self.tails[tail] = self.whole(tail)
+            self.tails[tail] = self.whole(tail.decode())
         return self.tails[tail]
 
     def of_texts(self, texts: list[str | None]) -> list[bytes]:
@@ -162,8 +164,8 @@ class WordIds:
             # only ASCII letters are lowered here, which the tokenizer does too
             split.append(None if SPECIAL_OPENING.encode() in data else data.lower().replace(b"\n", b" ").split(b" "))
         # A small dictionary of these texts' own words stays in the processor's cache; the large one doesn't.
-        known = self.known.get
-        own = {w: known(w) for w in set(chain.from_iterable(w for w in split if w is not None))}
+        used = set(chain.from_iterable(w for w in split if w is not None))
+        own = dict(zip(used, map(self.known.get, used), strict=True))
         new = self.learn([w for w, ids in own.items() if ids is None])
         own.update(new)
         short = (item for item in new.items() if len(item[0]) <= CACHE_BYTES)

@@ -33,6 +33,15 @@ def test_counts_and_ids_of_any_text(text):
     assert np.frombuffer(packing.word_ids(WORD).of_texts([text])[0], "<u4").tolist() == want
 
 
+def test_words_are_learnt_from_their_bytes():
+    words = ["naïve,", "été!?", "été", "ŋa", "ɐb", "ɐb.", "ªº", "ǆ|", "...", "x1", "日", "a\u0301,"] + [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}é;" for i in range(600)]
+    found = packing.WordIds(WORD).learn([w.encode() for w in words])
+    for word in words:
+        want = packing.tokenizer(WORD).encode(word, add_special_tokens=False).ids
+        assert np.frombuffer(found[word.encode()], "<u4").tolist() == want
+    assert "été".encode() in found
+
+
 def test_words_stand_alone_only_where_the_file_proves_it(spark, odd, tmp_path):
     assert packing.word_by_word(WORD)
     other = public_tokenizers.path("byte_bpe_50k.json")
