@@ -25,6 +25,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -171,7 +172,7 @@ def planes(values: np.ndarray) -> bytes:
     return values.view(np.uint8).reshape(len(values), -1).T.tobytes()
 
 
-def unplaned(data: bytes, kind: type) -> np.ndarray:
+def unplaned(data: bytes | pa.Buffer, kind: type) -> np.ndarray:
     width = np.dtype(kind).itemsize
     return np.frombuffer(data, np.uint8).reshape(width, -1).T.copy().view(kind).reshape(-1)
 
@@ -246,30 +247,49 @@ def entries(batch: pa.RecordBatch, doc: np.ndarray, place: np.ndarray, size: np.
 def answers(later: bool) -> Callable[[pa.Table], pa.Table]:
     """For a bucket: the entries whose digest another (with `later`: an earlier) document has."""
     def settle_bucket(table: pa.Table) -> pa.Table:
-        ids, tags, base = [], [], 0
-        open_parts, known_parts = [], []
-        for docs, *cells in zip(*(table.column(n).to_pylist() for n in ENTRY_FIELDS), strict=True):
-            count = len(docs) // 12
-            ids.append(np.frombuffer(docs, np.int64, count))
-            tags.append(np.frombuffer(docs, np.int32, count, 8 * count).astype(np.int64))
-            hi, lo, of = (np.frombuffer(c, k) for c, k in zip(cells, (np.uint64, np.uint32, np.uint16), strict=False))
-            place, size = unstepped(of, unplaned(cells[3], np.uint32)), unplaned(cells[4], np.uint16)
-            of = np.where(size == KNOWN, -1, of.astype(np.int64) + base)
-            if len(lo):
-                open_parts.append((hi if later else lo, lo, of, place, size))
-            else:
-                known_parts.append((of, place, size))
-            base += count
+        ids, tags, base, at = [], [], 0, 0
+        known_parts = []
+        # The open entries are laid out once, in the widths they travel in; cells are read in place.
+        open_entries = pc.sum(pc.binary_length(table.column("lo"))).as_py() // 4
+        hi = np.zeros(open_entries if later else 0, np.uint64)
+        lo, open_of = np.zeros(open_entries, np.uint32), np.zeros(open_entries, np.int32)
+        open_place, open_size = np.zeros(open_entries, np.uint32), np.zeros(open_entries, np.uint16)
+        for batch in table.to_batches():
+            for docs, *cells in zip(*(batch.column(n) for n in ENTRY_FIELDS), strict=True):
+                docs, *cells = docs.as_buffer(), *(c.as_buffer() for c in cells)
+                count = len(docs) // 12
+                ids.append(np.frombuffer(docs, np.int64, count))
+                tags.append(np.frombuffer(docs, np.int32, count, 8 * count).astype(np.int64))
+                of = np.frombuffer(cells[2], np.uint16)
+                place, size = unstepped(of, unplaned(cells[3], np.uint32)), unplaned(cells[4], np.uint16)
+                of = np.where(size == KNOWN, -1, of.astype(np.int64) + base)
+                n = len(cells[1]) // 4
+                if n:
+                    here = slice(at, at + n)
+                    if later:
+                        hi[here] = np.frombuffer(cells[0], np.uint64)
+                    lo[here] = np.frombuffer(cells[1], np.uint32)
+                    open_of[here], open_place[here], open_size[here] = of, place, size
+                    at += n
+                else:
+                    known_parts.append((of, place, size))
+                base += count
         ids, tags = np.concatenate(ids), np.concatenate(tags)
-        if open_parts:
-            hi, lo, of, place, size = (np.concatenate(c) for c in zip(*open_parts, strict=True))
-            order = np.argsort(hi, kind="stable")
-            runs = runs_of(order, hi, lo)
+        if open_entries:
+            keys = (hi, lo) if later else (lo,)
+            order = np.argsort(keys[0], kind="stable")
+            runs = runs_of(order, *keys)
             if later and len(runs) != len(runs_of(order, hi)):
                 order = np.lexsort((lo, hi))
-                runs = runs_of(order, hi, lo)
-            of, place, size = of[order], place[order], size[order]
-            sizes = np.diff(np.append(runs, len(of)))
+                runs = runs_of(order, *keys)
+            # Most digests are alone in their bucket and share with nobody.
+            sizes = np.diff(np.append(runs, len(order)))
+            order = order[np.repeat(sizes > 1, sizes)]
+            sizes = sizes[sizes > 1]
+            runs = np.cumsum(sizes) - sizes
+            del hi, lo, keys
+            of, place, size = open_of[order], open_place[order], open_size[order]
+            del open_of, open_place, open_size, order
             own = ids[of]
             known = np.repeat(np.minimum.reduceat(of, runs) < 0, sizes)
             low, high = np.minimum.reduceat(own, runs), np.maximum.reduceat(own, runs)

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 
 import pytest
 
@@ -143,3 +144,33 @@ def test_remove_repeats_keeps_rows_and_columns(spark, odd):
     assert len(got) == len(ODD_ROWS)
     assert {r["text"] for r in got if r["doc_id"] == 8} == {""} and {r["n_chars"] for r in got if r["doc_id"] == 8} == {0}
     assert {r["text"] for r in got if r["doc_id"] == 11} == {dict(ODD_ROWS)[11]}
+
+
+def bucket_of_texts(texts):
+    """A bucket's entries: all phrases of each text, sent by a shard of its own."""
+    found = []
+    for doc, text in enumerate(texts):
+        batch = repeats.pa.RecordBatch.from_pydict({"doc_id": [doc], "tag": [0], "text": [text]})
+        of, start, size, hi, lo = repeats.Shard([text]).phrases()
+        order = repeats.np.lexsort((lo, hi))
+        bucket = repeats.np.zeros(len(hi), repeats.np.int64)
+        found.append(repeats.entries(batch, of, start, size, hi, lo, bucket, order, repeats.runs_of(order, hi, lo), later=True))
+    return repeats.pa.Table.from_batches(found)
+
+
+def test_a_bucket_takes_few_times_its_own_size():
+    draw = random.Random(5)
+    own = ["".join(draw.choices("abcdefghij ", k=400_000)) for _ in range(8)]
+    table = bucket_of_texts([*own, own[0][:300_000]])
+    tracemalloc.start()
+    out = repeats.answers(later=True)(table)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert out.column("doc_id").to_pylist() == [8]
+    assert peak < 3 * table.nbytes
+
+
+def test_a_bucket_without_shared_digests_answers_nothing():
+    draw = random.Random(6)
+    table = bucket_of_texts(["".join(draw.choices("abcdefghij ", k=5_000)) for _ in range(3)])
+    assert repeats.answers(later=True)(table).num_rows == 0
