@@ -82,8 +82,20 @@ def _value(rule: ColumnRule) -> str:
     return f"_parsed_{rule.name}"
 
 
+def _lands(rule: ColumnRule) -> str:
+    return f"_lands_{rule.name}"
+
+
+def readings(rule: ColumnRule) -> dict[str, Column]:
+    """What the rules of one column read beside its text: the parsed value, and whether typing keeps it."""
+    if rule.dtype == "string":
+        return {}
+    kept = {_lands(rule): _kept(rule)} if rule.dtype in ("integer", "float", "numeric") else {}
+    return {_value(rule): _parsed(rule)} | kept
+
+
 def column_rules(rule: ColumnRule) -> list[Rule]:
-    """Row conditions of one column, over its text and its parsed value. Range,
+    """Row conditions of one column, over its text and its `readings`. Range,
     domain and pattern rules skip nulls."""
     col = F.col(rule.name)
     value = F.col(_value(rule))
@@ -92,7 +104,7 @@ def column_rules(rule: ColumnRule) -> list[Rule]:
     if rule.dtype != "string":
         good = value.isNotNull()
         if rule.dtype in ("integer", "float", "numeric"):
-            good = good & _kept(rule)
+            good = good & F.col(_lands(rule))
         out.append(Rule(rule.name, "dtype", f"cells that can't be landed as {rule.dtype}", col.isNotNull() & ~good))
     if not rule.nullable:
         out.append(Rule(rule.name, "not_null", "cells left empty", col.isNull()))
@@ -131,8 +143,8 @@ def count_broken(raw: DataFrame, contract: FeedContract) -> FileCounts:
     if MALFORMED in raw.columns:
         rules.append(Rule("*", "malformed_row", "more or fewer cells than the header names", F.col(MALFORMED)))
     named = [(f"r{i}", r) for i, r in enumerate(rules)]
-    # Parsed once per row here; every rule of the column reads the result.
-    values = df.withColumns({_value(c): _parsed(c) for c in present if c.dtype != "string"})
+    # Read once per row here; every rule of the column takes the result.
+    values = df.withColumns({name: value for c in present for name, value in readings(c).items()})
     counts = values.groupBy(FILE).agg(
         F.count(F.lit(1)).alias("rows"),
         *[F.count_if(r.broken).alias(n) for n, r in named],
