@@ -129,7 +129,7 @@ def test_rules_of_a_number_share_its_reading(spark):
     rule = ColumnRule("amount", "numeric", min=0, max=9)
     assert not [r.rule for r in gate.column_rules(rule) if "round" in str(r.broken).lower()]
     contract = FeedContract("amounts", "POS", "*", "raw_amounts", (), (rule,))
-    cells = [("1",), ("-1",), ("10",), ("0.0000000001",), ("x",), (None,)]
+    cells = [("1",), ("-1",), ("10",), ("999999999999999999",), ("x",), (None,)]
     raw = spark.createDataFrame([(c, "f") for (c,) in cells], "amount string, _source_file string")
     found = {r["rule"]: r["n"] for r in gate.violations(raw, contract).collect()}
     assert found == {"dtype": 2, "not_null": 1, "min": 1, "max": 1}
