@@ -211,3 +211,14 @@ def test_lines_are_dealt_to_tasks_by_rows(spark, tmp_path, monkeypatch):
     held = [r["count"] for r in lines.groupBy(F.spark_partition_id()).count().collect()]
     assert sum(held) == 6000 and max(held) <= 300
     assert lines.where("unit_price = (1999 - cast(substring(order_id, 5) AS int)) / 4").count() == 6000
+
+
+def test_lines_carry_starts_only_where_keys_follow_from_them(spark):
+    lost = GOOD | {"order_line_id": "OL-3", "customer_id": "", "product_id": "PROD-9999"}
+    o, dc, dp = warehouse(spark, GOOD, GOOD | {"order_line_id": "OL-2", "order_date": "2023-01-31"}, lost)
+    lines = gold.fact_lines(o, dc, dp)
+    assert {"_customer_from", "_product_from"} < set(lines.columns) and not {"customer_sk", "product_sk"} & set(lines.columns)
+    numbered = dc.withColumn("customer_sk", F.concat(F.lit("C"), "customer_sk"))
+    assert "customer_sk" in gold.fact_lines(o, numbered, dp).columns
+    got = gold.fact_sales(o, numbered, dp).withColumn("customer_sk", F.expr("substring(customer_sk, 2)"))
+    assert rows(got) == rows(gold.fact_sales(o, dc, dp))

@@ -168,3 +168,14 @@ def test_purge_deletes_what_is_not_live(spark, store):
     assert any("/keys/" in g for g in store.purge("gold.f"))
     out = store.upsert("gold.f", frame(spark, [("z", "2024-04", 8)]), ["id"], F.col("month"))
     assert rows(out) == [("z", "2024-04", 8)]
+
+
+def test_stored_columns_are_made_after_the_shuffle(spark, store):
+    data = [("a", "2024-01", 1), ("b", "2024-02", 2), ("c", None, 3), ("a", "2024-01", 1)]
+    columns = ["id", F.md5("id").alias("key"), (F.col("v") * 2).alias("twice")]
+    out = store.replace("gold.f", frame(spark, data), F.col("month"), columns)
+    assert rows(out) == rows(frame(spark, data).select(*columns)) and out.columns == ["id", "key", "twice"]
+    assert [v for v, _ in store._live("gold.f").parts] == ["2024-01", "2024-02", "none"]
+    assert all(f.endswith(".zstd.parquet") for f in out.inputFiles())
+    empty = store.replace("gold.f", frame(spark, []), F.col("month"), columns)
+    assert empty.columns == ["id", "key", "twice"] and empty.count() == 0
