@@ -5,7 +5,8 @@ from tallyspark.operators import quality
 from tallyspark.operators.dedup import earliest
 from tallyspark.plans import gold, marts
 from tallyspark.plans.checks import run_checks
-from tests.conftest import SMALL
+from tallyspark.plans.workbench import Workbench
+from tests.conftest import SMALL, rows
 
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
@@ -70,3 +71,13 @@ def test_the_suite_scans_a_fact_twice(spark):
     suite = run_checks(w.tables("fact_sales", "dim_date", "dim_customer", "dim_product", "dim_region", "dim_channel"))
     logical = suite._jdf.queryExecution().optimizedPlan().toString()
     assert sum("order_line_id" in line for line in logical.splitlines() if "Relation" in line) == 2
+
+
+def test_a_landed_feed_is_read_back(spark):
+    """What was written is not derived again from orders and their lines."""
+    w = Workbench(spark, SMALL)
+    derived = w.raw("pos_orders")
+    assert "Join" in plan(derived)
+    w.landed("pos_orders")
+    assert "Join" not in plan(w.bronze("pos_orders"))
+    assert rows(w.raw("pos_orders")) == rows(derived) and w.raw("pos_orders").columns == derived.columns

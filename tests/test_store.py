@@ -179,3 +179,12 @@ def test_stored_columns_are_made_after_the_shuffle(spark, store):
     assert all(f.endswith(".zstd.parquet") for f in out.inputFiles())
     empty = store.replace("gold.f", frame(spark, []), F.col("month"), columns)
     assert empty.columns == ["id", "key", "twice"] and empty.count() == 0
+
+
+def test_a_first_insert_is_written_once(spark, store):
+    store.insert("gold.f", frame(spark, [("a", "2024-01", 1), ("b", "2024-02", 2)]), ["id"], F.col("month"))
+    assert not store._folders(f"{store._home('gold.f')}.staging")
+    late = frame(spark, [("a", "2024-03", 9), ("c", "2024-03", 3)])  # the index knows where "a" is
+    assert rows(store.insert("gold.f", late, ["id"], F.col("month"))) == [("a", "2024-01", 1), ("b", "2024-02", 2), ("c", "2024-03", 3)]
+    bare = store.insert("gold.e", frame(spark, []), ["id"], F.col("month"))
+    assert bare.columns == ["id", "month", "v"] and bare.count() == 0
