@@ -297,21 +297,17 @@ def raw_gl_extract(orders: DataFrame, products: DataFrame) -> DataFrame:
         .groupBy("order_month", "region", "channel")
         .agg(F.sum("net").alias("net"), F.sum(cents(F.col("units") * F.col("standard_cost"))).alias("cogs"))
     )
-    entry = [
-        F.struct(F.lit("4000").alias("account_code"), F.col("channel").alias("cost_center"), cents(-F.col("net")).alias("amount")),
-        F.struct(F.lit("5000").alias("account_code"), F.col("channel").alias("cost_center"), cents(F.col("cogs")).alias("amount")),
-    ]
-    direct = sums.select("order_month", "region", F.inline(F.array(*entry)))
-    regional = sums.groupBy("order_month", "region").agg(F.sum("net").alias("net"))
-    opex = [
-        F.struct(
-            F.lit(code).alias("account_code"),
-            F.lit("Corporate").alias("cost_center"),
-            cents(F.col("net") * F.lit(pct) / F.lit(100)).alias("amount"),
-        )
-        for code, pct in OPEX_PERCENT.items()
-    ]
-    posted = direct.unionByName(regional.select("order_month", "region", F.inline(F.array(*opex))))
+    # One row per month and region holds its few channels, so that the lines are summed once for both kinds of posting.
+    held = F.collect_list(F.struct("channel", "net", "cogs")).alias("channels")
+    regional = sums.groupBy("order_month", "region").agg(held, F.sum("net").alias("net"))
+
+    def entry(code: str, center: Column, amount: Column) -> Column:
+        return F.struct(F.lit(code).alias("account_code"), center.alias("cost_center"), cents(amount).alias("amount"))
+
+    revenue = F.transform("channels", lambda c: entry("4000", c["channel"], -c["net"]))
+    cost = F.transform("channels", lambda c: entry("5000", c["channel"], c["cogs"]))
+    opex = [entry(code, F.lit("Corporate"), F.col("net") * F.lit(pct) / F.lit(100)) for code, pct in OPEX_PERCENT.items()]
+    posted = regional.select("order_month", "region", F.inline(F.concat(revenue, cost, F.array(*opex))))
     names = F.create_map(*[F.lit(x) for pair in ACCOUNT_NAMES.items() for x in pair])
     identity = F.concat_ws("|", F.col("order_month").cast("string"), "region", "account_code", "cost_center")
     feed = posted.select(

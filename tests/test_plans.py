@@ -6,6 +6,7 @@ from tallyspark.operators.dedup import earliest
 from tallyspark.plans import gold, marts
 from tallyspark.plans.checks import run_checks
 from tallyspark.plans.workbench import Workbench
+from tallyspark.sources import testbed
 from tests.conftest import SMALL, rows
 
 def plan(df):
@@ -81,3 +82,9 @@ def test_a_landed_feed_is_read_back(spark):
     w.landed("pos_orders")
     assert "Join" not in plan(w.bronze("pos_orders"))
     assert rows(w.raw("pos_orders")) == rows(derived) and w.raw("pos_orders").columns == derived.columns
+
+
+def test_the_ledger_sums_its_lines_once(spark):
+    w = entry.workbench(spark, SMALL)
+    text = plan(testbed.raw_gl_extract(w.table("silver_orders"), w.table("silver_products")))
+    assert sum("net_revenue_usd" in line for line in text.splitlines() if "FileScan" in line) == 1
