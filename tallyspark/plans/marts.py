@@ -95,14 +95,12 @@ def gross_margin_by_segment(fact: DataFrame, customers: DataFrame, dates: DataFr
 
 def purchase_months(fact: DataFrame, customers: DataFrame) -> DataFrame:
     """Distinct (customer_id, order_month); unknown customers and returns left out."""
-    bought = (
-        fact.where(~F.col("is_unknown_customer") & ~F.col("is_return"))
-        .select("customer_sk", month_start(F.col("order_date")).alias("order_month"))
-        .distinct()
-    )
+    sales = fact.where(~F.col("is_unknown_customer") & ~F.col("is_return"))
+    bought = sales.select("customer_sk", month_start(F.col("order_date")).alias("order_month")).distinct()
     names = customers.select(F.col("customer_sk").alias("_sk"), "customer_id")
+    # Hot keys are looked for in the stored sales, which need no second shuffle for it.
     return (
-        lookup_join(bought, names, "customer_sk", "_sk", ["customer_sk", "order_month"], how="inner")
+        lookup_join(bought, names, "customer_sk", "_sk", ["customer_sk", "order_month"], how="inner", base=sales)
         .select("customer_id", "order_month")
         .distinct()
     )

@@ -1,7 +1,9 @@
 """Physical plans keep the shape large tables need."""
 
+from functools import partial
+
 import __spark_entry__ as entry
-from tallyspark.operators import quality
+from tallyspark.operators import joins, quality
 from tallyspark.operators.dedup import earliest
 from tallyspark.plans import gold, marts
 from tallyspark.plans.checks import run_checks
@@ -88,3 +90,24 @@ def test_the_ledger_sums_its_lines_once(spark):
     w = entry.workbench(spark, SMALL)
     text = plan(testbed.raw_gl_extract(w.table("silver_orders"), w.table("silver_products")))
     assert sum("net_revenue_usd" in line for line in text.splitlines() if "FileScan" in line) == 1
+
+
+def sketched_plans(monkeypatch):
+    """Plans of the tables in which hot keys are looked for from here on."""
+    seen, sketched = [], joins._sketched
+
+    def watched(df, key, parts):
+        seen.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return sketched(df, key, parts)
+
+    monkeypatch.setattr(joins, "_sketched", watched)
+    return seen
+
+
+def test_hot_buyers_are_looked_for_in_the_stored_fact(spark, monkeypatch):
+    w = entry.workbench(spark, SMALL)
+    fact, customers = w.table("fact_sales"), w.table("dim_customer")
+    expected, seen = rows(marts.purchase_months(fact, customers)), sketched_plans(monkeypatch)
+    monkeypatch.setattr(marts, "lookup_join", partial(joins.lookup_join, max_broadcast_rows=0))
+    assert rows(marts.purchase_months(fact, customers)) == expected
+    assert len(seen) == 1 and "Aggregate" not in seen[0]
