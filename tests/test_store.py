@@ -188,3 +188,30 @@ def test_a_first_insert_is_written_once(spark, store):
     assert rows(store.insert("gold.f", late, ["id"], F.col("month"))) == [("a", "2024-01", 1), ("b", "2024-02", 2), ("c", "2024-03", 3)]
     bare = store.insert("gold.e", frame(spark, []), ["id"], F.col("month"))
     assert bare.columns == ["id", "month", "v"] and bare.count() == 0
+
+
+def test_a_first_upsert_looks_for_no_key(spark, store, monkeypatch):
+    with monkeypatch.context() as m:
+        m.setattr(store, "_reach", None)
+        first = store.upsert("gold.f", frame(spark, [("a", "2024-01", 1), ("b", "2024-02", 2)]), ["id"], F.col("month"))
+    assert rows(first) == [("a", "2024-01", 1), ("b", "2024-02", 2)] and store._live("gold.f").keys
+    late = frame(spark, [("a", "2024-02", 9), ("c", None, 3)])  # the index knows where "a" was
+    assert rows(store.upsert("gold.f", late, ["id"], F.col("month"))) == [("a", "2024-02", 9), ("b", "2024-02", 2), ("c", None, 3)]
+    bare = store.upsert("gold.e", frame(spark, []), ["id"], F.col("month"))
+    assert bare.columns == ["id", "month", "v"] and bare.count() == 0
+
+
+def test_a_lookup_reads_no_entries_of_the_batchs_own_parts(spark, store, monkeypatch):
+    store.upsert("gold.f", frame(spark, [("a", "2024-01", 1), ("b", "2024-02", 2)]), ["id"], F.col("month"))
+    looked, frames = [], type(store.read("gold.f"))
+    join = frames.join
+
+    def watched(self, other, on=None, how=None):
+        if how == "left_semi" and "_part" in self.columns:
+            looked.extend(r["_part"] for r in self.collect())
+        return join(self, other, on, how)
+
+    monkeypatch.setattr(frames, "join", watched)
+    out = store.upsert("gold.f", frame(spark, [("a", "2024-02", 9), ("b", "2024-02", 8)]), ["id"], F.col("month"))
+    assert rows(out) == [("a", "2024-02", 9), ("b", "2024-02", 8)]
+    assert set(looked) <= {"2024-01"}
