@@ -129,7 +129,8 @@ def metric(
         keys = sorted({*own, *joined, *(key for key, _, _ in large), *([spec.distinct] if spec.distinct else [])})
         rows = rows.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in spec.sums]) if spec.sums else rows.select(*keys).distinct()
         for key, side, how in large:
-            rows = salted_join(rows, side, key, f"_{key}", keys, how=how)
+            # Hot keys are looked for in the stored fact: in the rows, the fact would be summed once more for it.
+            rows = salted_join(rows, side, key, f"_{key}", keys, how=how, base=base)
 
     out = rows.groupBy(*[F.col(DIMENSIONS[d].column).alias(d) for d in groups]).agg(spec.value().alias(name))
     if groups:

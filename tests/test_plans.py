@@ -5,6 +5,7 @@ from functools import partial
 import __spark_entry__ as entry
 from tallyspark.operators import joins, quality
 from tallyspark.operators.dedup import earliest
+from tallyspark.operators.metrics import metric
 from tallyspark.plans import gold, marts
 from tallyspark.plans.checks import run_checks
 from tallyspark.plans.workbench import Workbench
@@ -104,6 +105,15 @@ def sketched_plans(monkeypatch):
     return seen
 
 
+def test_hot_keys_of_a_metric_are_looked_for_in_the_stored_fact(spark, monkeypatch):
+    w = entry.workbench(spark, SMALL)
+    tables = w.tables("fact_sales", "dim_region", "dim_channel", "dim_customer", "dim_product", "dim_date")
+    asked = ("revenue_per_customer", ["customer_segment", "channel"], {}, "fiscal_year")
+    expected, seen = rows(metric(tables, *asked)), sketched_plans(monkeypatch)
+    assert rows(metric(tables, *asked, max_broadcast_rows=0)) == expected
+    assert seen and not any("Aggregate" in text or "Join" in text for text in seen)
+
+
 def test_hot_buyers_are_looked_for_in_the_stored_fact(spark, monkeypatch):
     w = entry.workbench(spark, SMALL)
     fact, customers = w.table("fact_sales"), w.table("dim_customer")
