@@ -121,3 +121,12 @@ def test_hot_buyers_are_looked_for_in_the_stored_fact(spark, monkeypatch):
     monkeypatch.setattr(marts, "lookup_join", partial(joins.lookup_join, max_broadcast_rows=0))
     assert rows(marts.purchase_months(fact, customers)) == expected
     assert len(seen) == 1 and "Aggregate" not in seen[0]
+
+
+def test_lines_meet_their_customers_last(spark):
+    """Their months are filled after it: from rows in the order of customers, so that lines of an order lie together."""
+    w = entry.workbench(spark, SMALL)
+    lines = gold.fact_lines(w.table("silver_orders"), w.table("dim_customer"), w.table("dim_product"), max_broadcast_rows=0)
+    logical = lines._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    lookups = [line for line in logical if "Join LeftOuter" in line and "_copy#" in line]
+    assert len(lookups) == 2 and "customer_id#" in lookups[0] and "product_id#" in lookups[1]
