@@ -1,8 +1,10 @@
+import time
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from tallyspark.operators.shuffles import RELEASE
 from tallyspark.sources.store import TableStore
 from tests.conftest import rows
 
@@ -215,3 +217,94 @@ def test_a_lookup_reads_no_entries_of_the_batchs_own_parts(spark, store, monkeyp
     out = store.upsert("gold.f", frame(spark, [("a", "2024-02", 9), ("b", "2024-02", 8)]), ["id"], F.col("month"))
     assert rows(out) == [("a", "2024-02", 9), ("b", "2024-02", 8)]
     assert set(looked) <= {"2024-01"}
+
+
+def shuffle_bytes(spark):
+    """Bytes of shuffle files on this machine's disk, by the number of their shuffle."""
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    files = [found.apply(i) for i in range(found.size())]
+    held = {}
+    for f in (f for f in files if f.getName().startswith("shuffle_")):
+        number = int(f.getName().split("_")[1])
+        held[number] = held.get(number, 0) + f.length()
+    return held
+
+
+def test_a_stored_step_leaves_no_shuffle_files(spark, store):
+    """Those of its rows go when the write has ended, not when the driver happens to collect its garbage."""
+    spark.range(10).repartition(3, "id").count()
+    before = max(shuffle_bytes(spark), default=-1)
+    lines = spark.range(20_000).select(F.md5(F.col("id").cast("string")).alias("id"), F.lit("2024-01").alias("month"), F.col("id").alias("v"))
+    store.replace("gold.t", lines.repartition(3, "id"))
+    store.replace("gold.f", lines, F.col("month"))
+    for rate in (1, 2):
+        out = store.upsert("gold.u", lines.withColumn("v", F.col("v") * rate), ["id"], F.col("month"))
+    until = time.time() + 20
+    while (left := {n: b for n, b in shuffle_bytes(spark).items() if n > before and b > 100_000}) and time.time() < until:
+        time.sleep(0.2)
+    assert not left
+    assert spark.conf.get(RELEASE) == "false" and out.agg(F.sum("v")).first()[0] == 2 * sum(range(20_000))
+
+
+def test_a_staged_batch_is_freed_with_its_commit(spark, store):
+    store.upsert("gold.f", frame(spark, [("a", "2024-01", 1)]), ["id"], F.col("month"))
+    store.upsert("gold.f", frame(spark, [("a", "2024-02", 2)]), ["id"], F.col("month"))
+    store.insert("gold.f", frame(spark, [("b", "2024-02", 3)]), ["id"], F.col("month"))
+    assert not list(Path(store.root).glob("gold/f.staging/*/*.parquet"))
+    assert rows(store.read("gold.f")) == [("a", "2024-02", 2), ("b", "2024-02", 3)]
+
+
+def test_lying_rows_are_stored_without_a_shuffle(spark, store, monkeypatch):
+    months = [f"2024-{m:02d}" for m in range(1, 13)]
+    data = [(f"k{m}{i}", m, i) for m in months for i in range(3)] + [("n", None, 1)]
+    source = store.replace("gold.f", frame(spark, data), F.col("month"))
+    expected = dict(store._live("gold.f").parts).keys()
+    monkeypatch.setattr(type(source), "hint", None)  # what shuffles rows to their parts
+    out = store.replace("gold.copy", source, F.col("month"), lying=True)
+    assert rows(out) == rows(source) and dict(store._live("gold.copy").parts).keys() == expected
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+def test_rows_that_are_there_go_before_they_are_made(spark, store):
+    """Offered rows repeat, one has no key and one no part; the table's rows stay and new ones are written once."""
+    given = []
+
+    def made_of(offered):
+        def made(held):
+            given.append(None if held is None else {r[0] for r in held.collect()})
+            new = offered.dropDuplicates(["id"])
+            return new if held is None else new.join(held, "id", "left_anti").select(*offered.columns)
+
+        return made
+
+    columns = lambda carried: [*carried, (F.col("v") * 2).alias("twice")]
+    first = frame(spark, [("a", "2024-01", 1), ("a", "2024-01", 1), ("b", None, 2)])
+    out = store.insert_of("gold.f", first, made_of(first), ["id"], F.col("month"), columns)
+    assert rows(out) == [("a", "2024-01", 1, 2), ("b", None, 2, 4)]
+    before, version = store._live("gold.f").parts, store.version("gold.f")
+    late = frame(spark, [("a", "2024-07", 9), ("b", "2024-01", 9), ("c", "2024-01", 3), ("c", "2024-01", 3), (None, "2024-02", 5)])
+    out = store.insert_of("gold.f", late, made_of(late), ["id"], F.col("month"), columns)
+    assert given[0] is None and given[1] == {"a", "b"}
+    assert sorted(rows(out), key=str) == [("a", "2024-01", 1, 2), ("b", None, 2, 4), ("c", "2024-01", 3, 6), (None, "2024-02", 5, 10)]
+    assert store._live("gold.f").parts[: len(before)] == before and not store._folders(f"{store._home('gold.f')}.staging")
+    assert len(rows(store.read_since("gold.f", version))) == 2
+    again = store.insert_of("gold.f", first, made_of(first), ["id"], F.col("month"), columns)
+    assert again.count() == 4 and store._live("gold.f").parts[: len(before)] == before
+    moved = store.upsert("gold.f", frame(spark, [("c", "2024-05", 7)]).withColumn("twice", F.lit(0).cast("bigint")), ["id"], F.col("month"))
+    assert rows(moved.where("id = 'c'")) == [("c", "2024-05", 7, 0)]  # the index knows where "c" was
+
+
+def test_upserted_rows_are_staged_narrow(spark, store, monkeypatch):
+    staged, kept = [], store._staged
+
+    def watched(name, new, partition):
+        staged.append(new.columns)
+        return kept(name, new, partition)
+
+    monkeypatch.setattr(store, "_staged", watched)
+    columns = ["id", "month", F.md5("id").alias("key")]
+    for data in ([("a", "2024-01", 1), ("b", "2024-02", 2)], [("a", "2024-02", 3)], [("c", "2024-07", 4)]):
+        out = store.upsert("gold.f", frame(spark, data), ["id"], F.col("month"), columns)
+    expected = frame(spark, [("a", "2024-02", 0), ("b", "2024-02", 0), ("c", "2024-07", 0)]).select(*columns)
+    assert rows(out) == rows(expected) and out.columns == ["id", "month", "key"]
+    assert staged == [["id", "month", "v"]] * 3
