@@ -6,7 +6,8 @@ import __spark_entry__ as entry
 from tallyspark.operators import joins, quality
 from tallyspark.operators.dedup import earliest
 from tallyspark.operators.metrics import metric
-from tallyspark.plans import gold, marts
+from tallyspark.plans import gold, marts, silver
+from tallyspark.plans.bronze import typed
 from tallyspark.plans.checks import run_checks
 from tallyspark.plans.workbench import Workbench
 from tallyspark.sources import testbed
@@ -130,3 +131,31 @@ def test_lines_meet_their_customers_last(spark):
     logical = lines._jdf.queryExecution().optimizedPlan().toString().splitlines()
     lookups = [line for line in logical if "Join LeftOuter" in line and "_copy#" in line]
     assert len(lookups) == 2 and "customer_id#" in lookups[0] and "product_id#" in lookups[1]
+
+
+def test_lines_that_are_there_go_with_the_dedups_shuffle(spark):
+    """Known lines leave right after the dedup, on its own layout, so that they meet no lookup."""
+    w = Workbench(spark, SMALL)
+    bronze, fx = w.bronze("pos_orders"), w.table("silver_fx_rates")
+    lines = w.table("silver_orders")
+    held = lines.where("region = 'ASIA'").select("order_line_id")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rest = silver.silver_orders(bronze, w.regions(), fx, held)
+        text = plan(rest)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert rows(rest) == rows(lines.where("region <> 'ASIA'"))
+    assert text.count("Exchange hashpartitioning(order_line_id") == 2  # of the lines, and of the keys held
+    assert text.index("raw_region") < text.index("LeftAnti")
+
+
+def test_hot_keys_of_unstored_lines_are_looked_for_in_a_stored_table(spark, monkeypatch):
+    w = Workbench(spark, SMALL)
+    landed = typed(w.landed("pos_orders"), w.contracts["pos_orders"])
+    orders = silver.silver_orders(landed, w.regions(), w.table("silver_fx_rates"))
+    tables = (w.table("dim_customer"), w.table("dim_product"))
+    expected, seen = rows(gold.fact_lines(orders, *tables)), sketched_plans(monkeypatch)
+    base = silver.resolve_customer(landed)
+    assert rows(gold.fact_lines(orders, *tables, max_broadcast_rows=0, base=base)) == expected
+    assert len(seen) == 2 and not any("Window" in text or "Join" in text for text in seen)
